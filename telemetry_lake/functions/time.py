@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 MILLIS_ABOVE = 20_000_000_000
 
 _EPOCH = r"^[+-]?[0-9]+([.][0-9]+)?$"
+_DATED = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$"
+_ISO_UTC = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{6})?Z$"
 _UNITS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
 
 
@@ -40,10 +42,12 @@ def event_timestamp(value: Column) -> Column:
     return F.when(text.rlike(_EPOCH), epoch_timestamp(text)).otherwise(F.try_to_timestamp(text))
 
 
-def is_event_timestamp(value: Column) -> Column:
-    """Whether text is a complete date, date-time or epoch number (a bare time of day is not)."""
-    dated = value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ].*)?$") & F.try_to_timestamp(value).isNotNull()
-    return F.when(value.rlike(_EPOCH), epoch_timestamp(value).isNotNull()).otherwise(dated)
+def is_event_timestamp(value: Column, parsed: Column) -> Column:
+    """Whether text is a complete date, date-time or epoch number (a bare time of day is not).
+
+    ``parsed`` is its ``event_timestamp``.
+    """
+    return parsed.isNotNull() & (value.rlike(_EPOCH) | value.rlike(_DATED))
 
 
 def iso_utc(ts: Column) -> Column:
@@ -55,6 +59,11 @@ def iso_utc(ts: Column) -> Column:
     )
 
 
+def normal_stamp(value: Column, parsed: Column) -> Column:
+    """Time text in the ``iso_utc`` form; text that already has it is passed on."""
+    return F.when(value.rlike(_ISO_UTC), value).otherwise(iso_utc(parsed))
+
+
 def date_parts(ts: Column) -> dict[str, Column]:
     return {"year": F.year(ts), "month": F.month(ts), "day": F.dayofmonth(ts)}
 

@@ -1,26 +1,29 @@
 """Record validation: JSON text to typed rows, with a reason for every refusal.
 
-The text is parsed once into a VARIANT; each field is then checked by type and extracted.
-Everything is a built-in expression, so a batch scan and a stream run the same plan and
-nothing is shuffled.
+The text is parsed once into a VARIANT, whose type description tells in one comparison whether a
+record has exactly the expected shape; nearly all do, and they are extracted in one step. Only the
+others are looked at field by field. Everything is a built-in expression, so a batch scan and a
+stream run the same plan and nothing is shuffled.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetry_lake.functions.time import event_timestamp, is_event_timestamp, iso_utc
+from telemetry_lake.functions.time import event_timestamp, is_event_timestamp, normal_stamp
 from telemetry_lake.schema import SILVER_COLUMNS, TELEMETRY
 
 MODES = ("lax", "strict")
 NOT_JSON = "not_json"
-_RAW, _DOC, _VALUES, _REASONS = "_raw", "_doc", "_values", "reject_reasons"
 
 # Number text that stands for a whole number, such as 12 or 12.0.
 _WHOLE = r"^[+-]?[0-9]+([.]0+)?$"
 _NUMBER_TYPES = r"^(BIGINT|BOOLEAN|DOUBLE|FLOAT|DECIMAL.*)$"
+_INTEGERS = (T.IntegerType, T.LongType)
 
 
 def check_records(df: DataFrame, value_col: str = "value", mode: str = "lax") -> DataFrame:
@@ -32,23 +35,34 @@ def check_records(df: DataFrame, value_col: str = "value", mode: str = "lax") ->
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
-    parsed = df.select(F.col(value_col).alias(_RAW)).withColumn(_DOC, F.try_parse_json(_RAW))
-    columns: list[Column] = []
-    reasons: list[Column] = []
-    for field in TELEMETRY.fields:
-        column, failures = _read(field, f"$.{field.name}", mode)
-        columns.append(column.alias(field.name))
-        reasons.extend(failures)
-    is_object = F.coalesce(F.expr(f"schema_of_variant({_DOC})").startswith("OBJECT"), F.lit(False))
-    found = F.when(~is_object, F.array(F.lit(NOT_JSON))).otherwise(F.array_compact(F.array(*reasons)))
-    checked = parsed.select(_RAW, found.alias(_REASONS), F.struct(*columns).alias(_VALUES))
-    valid = F.size(_REASONS) == 0
-    return checked.select(
-        f"{_VALUES}.*",
-        valid.alias("valid"),
-        _REASONS,
-        F.when(~valid, F.col(_RAW)).alias("raw"),
+    rows = df.select(F.col(value_col).alias("_raw")).withColumn("_doc", F.try_parse_json("_raw"))
+    rows = rows.withColumns(
+        {
+            "_shape": F.schema_of_variant("_doc"),
+            "_record": F.try_variant_get("_doc", "$", TELEMETRY.simpleString()),
+            "_stamp": F.try_variant_get("_doc", "$.timestamp", "string"),
+        }
+    )
+    rows = rows.withColumn("_at", event_timestamp(F.col("_stamp")))
+    rows = rows.withColumn("_timed", is_event_timestamp(F.col("_stamp"), F.col("_at")))
+    rows = rows.withColumn("_plain", F.coalesce(_is_plain(), F.lit(False)))
+    rows = rows.withColumn("_checked", _inspected(mode))
+
+    stamp = normal_stamp(F.col("_stamp"), F.col("_at"))
+    record = F.when(F.col("_plain"), F.col("_record")).otherwise(F.col("_checked.record"))
+    reasons = F.when(F.col("_plain"), F.array().cast("array<string>")).otherwise(F.col("_checked.reasons"))
+    rows = rows.select(
+        F.when(F.col("_timed"), stamp).alias("timestamp"),
+        record.alias("_record"),
+        (F.col("_plain") | (F.size(reasons) == 0)).alias("valid"),
+        reasons.alias("reject_reasons"),
+        F.when(~F.col("_plain") & (F.size(reasons) > 0), F.col("_raw")).alias("raw"),
     )
+    fields = [F.col(f"_record.{n}").alias(n) for n in TELEMETRY.fieldNames() if n != "timestamp"]
+    whole = F.struct("timestamp", *fields, "valid", "reject_reasons", "raw")
+    # A one-element generator: a filter on its output stays behind it, so the checks above are
+    # not evaluated a second time to decide which rows to keep.
+    return rows.select(F.inline(F.array(whole)))
 
 
 def validate(df: DataFrame, value_col: str = "value", mode: str = "lax") -> tuple[DataFrame, DataFrame]:
@@ -59,56 +73,139 @@ def validate(df: DataFrame, value_col: str = "value", mode: str = "lax") -> tupl
     return valid, rejects
 
 
-def _read(field: T.StructField, path: str, mode: str) -> tuple[Column, list[Column]]:
-    """The extracted column and the reasons (NULL when fine) of one field."""
-    name = path[2:]
-    kind = F.expr(f"schema_of_variant(try_variant_get({_DOC}, '{path}', 'variant'))")
-    text = F.expr(f"try_variant_get({_DOC}, '{path}', 'string')")
-    absent = kind.isNull() | (kind == "VOID")
-    wanted = field.dataType
+def _paths(struct: T.StructType, prefix: str = "") -> list[tuple[str, T.DataType]]:
+    """Every field, nested ones after their parent, with its type."""
+    found = []
+    for field in struct.fields:
+        found.append((prefix + field.name, field.dataType))
+        if isinstance(field.dataType, T.StructType):
+            found.extend(_paths(field.dataType, f"{prefix}{field.name}."))
+    return found
 
-    if isinstance(wanted, T.StructType):
-        parts = [_read(part, f"{path}.{part.name}", mode) for part in wanted.fields]
-        column = F.struct(*[c.alias(part.name) for (c, _), part in zip(parts, wanted.fields, strict=True)])
-        shaped = kind.startswith("OBJECT")
-        inner = [F.when(shaped, reason) for _, failures in parts for reason in failures]
-        return F.when(shaped, column), [_reason(name, absent, shaped), *inner]
 
-    if isinstance(wanted, T.ArrayType):
-        # An empty array has no element type.
-        fits = kind.isin("ARRAY<STRING>", "ARRAY<VOID>") & ~F.exists(_strings(path), lambda x: x.isNull())
-        return F.when(fits, _strings(path)), [_reason(name, absent, fits)]
+def _plain_name(path: str) -> str:
+    return path.replace(".", "_")
 
-    if name == "timestamp":
-        fits = (kind == "STRING") | kind.rlike(_NUMBER_TYPES) & (kind != "BOOLEAN")
-        fits = fits & is_event_timestamp(text)
-        return F.when(fits, iso_utc(event_timestamp(text))), [_reason(name, absent, fits)]
 
-    if isinstance(wanted, T.StringType):
-        fits = kind == "STRING"
-        return F.when(fits, text), [_reason(name, absent, fits)]
+def _inspected(mode: str) -> Column:
+    """Record and reasons of a row that is not plain, NULL for the others.
 
-    number = F.expr(f"try_variant_get({_DOC}, '{path}', '{wanted.simpleString()}')")
+    Written as steps over a one-element array, so that each step can use the one before by name
+    and plain rows, which have no array, skip all of it.
+    """
+
+    def look(x: Column) -> Column:
+        found = [x["doc"].alias("doc"), x["timed"].alias("timed"), x["object"].alias("object")]
+        for path, _ in _paths(TELEMETRY):
+            value = F.try_variant_get(x["doc"], f"$.{path}", "variant")
+            text = F.try_variant_get(x["doc"], f"$.{path}", "string")
+            found.append(F.struct(F.schema_of_variant(value).alias("kind"), text.alias("text")).alias(_plain_name(path)))
+        return F.struct(*found)
+
+    def judge(x: Column) -> Column:
+        fits = [
+            F.coalesce(_fits(x, path, dtype, mode), F.lit(False)).alias(_plain_name(path))
+            for path, dtype in _paths(TELEMETRY)
+        ]
+        return F.struct(x.alias("seen"), F.struct(*fits).alias("ok"))
+
+    def settle(x: Column) -> Column:
+        read = F.struct(*[_value(x, f.name, f.dataType).alias(f.name) for f in TELEMETRY.fields])
+        reasons = F.array_except(F.array(*_reasons(x)), _null_text())
+        reasons = F.when(x["seen"]["object"], reasons).otherwise(F.array(F.lit(NOT_JSON)))
+        return F.struct(read.alias("record"), reasons.alias("reasons"))
+
+    is_object = F.coalesce(F.startswith(F.col("_shape"), F.lit("OBJECT")), F.lit(False))
+    start = F.struct(F.col("_doc").alias("doc"), F.col("_timed").alias("timed"), is_object.alias("object"))
+    steps = F.when(~F.col("_plain"), F.array(start))
+    for step in (look, judge, settle):
+        steps = F.transform(steps, step)
+    return steps[0]
+
+
+def _shape(dtype: T.DataType) -> str:
+    """How a VARIANT describes a value of this type; objects list their fields by name."""
+    if isinstance(dtype, T.StructType):
+        inner = sorted((f.name, _shape(f.dataType)) for f in dtype.fields)
+        return "OBJECT<" + ", ".join(f"{name}: {kind}" for name, kind in inner) + ">"
+    if isinstance(dtype, T.ArrayType):
+        return f"ARRAY<{_shape(dtype.elementType)}>"
+    return "BIGINT" if isinstance(dtype, _INTEGERS) else "STRING"
+
+
+def _is_plain() -> Column:
+    """Records whose every field has its natural JSON type, whose numbers fit and whose time reads."""
+    usual = _shape(TELEMETRY)
+    shapes = []
+    for stamp, flags in product(("STRING", "BIGINT"), ("STRING", "VOID")):
+        shape = usual.replace("timestamp: STRING", f"timestamp: {stamp}")
+        shapes.append(shape.replace("flags: ARRAY<STRING>", f"flags: ARRAY<{flags}>"))
+    plain = F.col("_shape").isin(*shapes) & F.col("_timed") & _has_no_null(F.col("_record.flags"))
+    for path, dtype in _paths(TELEMETRY):
+        if isinstance(dtype, _INTEGERS):
+            plain = plain & F.col(f"_record.{path}").isNotNull()
+    return plain
+
+
+def _null_text() -> Column:
+    return F.array(F.lit(None).cast("string"))
+
+
+def _has_no_null(texts: Column) -> Column:
+    return F.size(F.array_except(_null_text(), texts)) == 1
+
+
+def _number_in_text(text: Column, dtype: T.DataType) -> Column:
+    return F.regexp_replace(F.trim(text), r"[.]0+$", "").try_cast(dtype)
+
+
+def _fits(x: Column, path: str, dtype: T.DataType, mode: str) -> Column:
+    field = x[_plain_name(path)]
+    kind, text = field["kind"], field["text"]
+    if isinstance(dtype, T.StructType):
+        return kind.startswith("OBJECT")
+    if isinstance(dtype, T.ArrayType):
+        # An empty array has no element type.
+        texts = F.try_variant_get(x["doc"], f"$.{path}", "array<string>")
+        return kind.isin("ARRAY<STRING>", "ARRAY<VOID>") & _has_no_null(texts)
+    if path == "timestamp":
+        return x["timed"] & ((kind == "STRING") | (kind.rlike(_NUMBER_TYPES) & (kind != "BOOLEAN")))
+    if isinstance(dtype, T.StringType):
+        return kind == "STRING"
+    number = F.try_variant_get(x["doc"], f"$.{path}", dtype.simpleString())
     if mode == "strict":
-        fits = (kind == "BIGINT") & number.isNotNull()
-        return F.when(fits, number), [_reason(name, absent, fits)]
-    from_text = F.regexp_replace(F.trim(text), r"[.]0+$", "").try_cast(wanted)
-    whole_text = (kind == "STRING") & F.trim(text).rlike(_WHOLE) & from_text.isNotNull()
-    double = F.expr(f"try_variant_get({_DOC}, '{path}', 'double')")
+        return (kind == "BIGINT") & number.isNotNull()
+    double = F.try_variant_get(x["doc"], f"$.{path}", "double")
     whole_number = kind.rlike(_NUMBER_TYPES) & number.isNotNull() & (double == F.floor(double))
-    fits = whole_text | whole_number
-    value = F.when(whole_text, from_text).when(whole_number, number)
-    return value, [_reason(name, absent, fits)]
-
-
-def _strings(path: str) -> Column:
-    return F.expr(f"try_variant_get({_DOC}, '{path}', 'array<string>')")
-
-
-def _reason(name: str, absent: Column, fits: Column) -> Column:
-    return F.when(absent, F.lit(f"{name}: missing")).when(
-        ~F.coalesce(fits, F.lit(False)), F.lit(f"{name}: wrong type")
-    )
+    whole_text = F.trim(text).rlike(_WHOLE) & _number_in_text(text, dtype).isNotNull()
+    return F.when(kind == "STRING", whole_text).otherwise(whole_number)
+
+
+def _reasons(x: Column) -> list[Column]:
+    """One entry per field, NULL when it is fine; a nested field speaks only if its parent is there."""
+    reasons = []
+    for path, _ in _paths(TELEMETRY):
+        kind = x["seen"][_plain_name(path)]["kind"]
+        reason = F.when(kind.isNull() | (kind == "VOID"), F.lit(f"{path}: missing")).when(
+            ~x["ok"][_plain_name(path)], F.lit(f"{path}: wrong type")
+        )
+        parent = path.rpartition(".")[0]
+        reasons.append(F.when(x["ok"][parent], reason) if parent else reason)
+    return reasons
+
+
+def _value(x: Column, path: str, dtype: T.DataType) -> Column:
+    field, doc = x["seen"][_plain_name(path)], x["seen"]["doc"]
+    if isinstance(dtype, T.StructType):
+        value = F.struct(*[_value(x, f"{path}.{f.name}", f.dataType).alias(f.name) for f in dtype.fields])
+    elif isinstance(dtype, T.ArrayType):
+        value = F.try_variant_get(doc, f"$.{path}", "array<string>")
+    elif isinstance(dtype, T.StringType):
+        value = field["text"]
+    else:
+        number = F.try_variant_get(doc, f"$.{path}", dtype.simpleString())
+        value = F.when(field["kind"] == "STRING", _number_in_text(field["text"], dtype)).otherwise(number)
+    return F.when(x["ok"][_plain_name(path)], value)
 
 
 def parse_events(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
