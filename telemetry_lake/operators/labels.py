@@ -74,9 +74,9 @@ def port_scans(
     busy pair over its ports, keeps only counters as streaming state and works on batches and
     streams alike.
     """
-    probes = assign_event_time(df, ts, watermark).filter(
-        (F.size("flags") == 1) & F.array_contains("flags", SCAN_FLAG) & F.col("dst_port").isNotNull()
-    )
+    bare_syn = (F.size("flags") == 1) & F.array_contains("flags", SCAN_FLAG) & F.col("dst_port").isNotNull()
+    # Naming the time in the condition keeps it behind the watermark, which all traffic moves on.
+    probes = assign_event_time(df, ts, watermark).filter(F.when(F.col(ts).isNotNull(), bare_syn))
     frame = F.window(ts, window).alias("w")
     per_port = probes.groupBy("src_ip", "dst_ip", frame, "dst_port").agg(F.count("*").alias("n"))
     per_pair = per_port.groupBy("src_ip", "dst_ip", "w").agg(
