@@ -1,3 +1,4 @@
+from telemetry_lake.functions.frames import evaluated
 from telemetry_lake.functions.text import exfil_message, json_lines, lock_key, utf8, webhook_payload
 from telemetry_lake.functions.time import (
     date_parts,
@@ -13,6 +14,7 @@ __all__ = [
     "date_parts",
     "epoch_millis",
     "epoch_timestamp",
+    "evaluated",
     "event_timestamp",
     "exfil_message",
     "iso_utc",

@@ -39,10 +39,11 @@ def unique_events(
         if watermark is None:
             raise ValueError("de-duplicating a stream needs a watermark delay")
         return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
+    # Rows without an id get a number of their own and so stay apart, in the same scan.
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_alone")
     rest = [c for c in df.columns if c not in (key, ts)]
-    first = F.min(F.struct(ts, *rest)).alias("r")
-    unique = df.filter(F.col(key).isNotNull()).groupBy(key).agg(first).select(key, "r.*")
-    return unique.select(*df.columns).unionByName(df.filter(F.col(key).isNull()))
+    first = F.min(F.struct(ts, *rest)).alias("_first")
+    return df.withColumn("_alone", alone).groupBy(key, "_alone").agg(first).select(key, "_first.*").select(*df.columns)
 
 
 def to_gold(silver: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from telemetry_lake.functions.frames import evaluated
 from telemetry_lake.functions.time import event_timestamp, is_event_timestamp, normal_stamp
 from telemetry_lake.schema import SILVER_COLUMNS, TELEMETRY
 
@@ -59,10 +60,7 @@ def check_records(df: DataFrame, value_col: str = "value", mode: str = "lax") ->
         F.when(~F.col("_plain") & (F.size(reasons) > 0), F.col("_raw")).alias("raw"),
     )
     fields = [F.col(f"_record.{n}").alias(n) for n in TELEMETRY.fieldNames() if n != "timestamp"]
-    whole = F.struct("timestamp", *fields, "valid", "reject_reasons", "raw")
-    # A one-element generator: a filter on its output stays behind it, so the checks above are
-    # not evaluated a second time to decide which rows to keep.
-    return rows.select(F.inline(F.array(whole)))
+    return evaluated(rows.select("timestamp", *fields, "valid", "reject_reasons", "raw"))
 
 
 def validate(df: DataFrame, value_col: str = "value", mode: str = "lax") -> tuple[DataFrame, DataFrame]:
@@ -217,16 +215,14 @@ def parse_events(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, Da
     """
     numbers = {"bytes_sent": "bigint", "latency_ms": "int"}
     schema = T.StructType([T.StructField(name, T.StringType()) for name in SILVER_COLUMNS])
-    raw = F.col(value_col)
-    parsed = df.select(raw.alias("raw"), F.from_json(value_col, schema).alias("r")).select("raw", "r.*")
-    typed = parsed.withColumns({"ts": event_timestamp(F.col("timestamp"))} | {
-        f"_{name}": F.coalesce(F.col(name), F.lit("0")).try_cast("decimal(38,9)").try_cast(kind)
-        for name, kind in numbers.items()
-    })
-    readable = F.col("ts").isNotNull() & F.col("src_ip").isNotNull()
-    for name in numbers:
-        readable = readable & F.col(f"_{name}").isNotNull()
-    events = typed.filter(readable).select(
-        *[F.col(f"_{c}").alias(c) if c in numbers else F.col(c) for c in SILVER_COLUMNS], "ts"
-    )
-    return events, typed.filter(~readable).select("raw")
+    parsed = df.select(F.col(value_col).alias("raw"), F.from_json(value_col, schema).alias("r"))
+    typed = {name: F.col(f"r.{name}") for name in SILVER_COLUMNS}
+    for name, kind in numbers.items():
+        text = F.coalesce(typed[name], F.lit("0"))
+        typed[name] = F.coalesce(text.try_cast(kind), text.try_cast("decimal(38,9)").try_cast(kind))
+    typed["ts"] = event_timestamp(F.col("r.timestamp"))
+    rows = evaluated(parsed.select("raw", *[column.alias(name) for name, column in typed.items()]))
+    readable = F.lit(True)
+    for name in ("ts", "src_ip", *numbers):
+        readable = readable & F.col(name).isNotNull()
+    return rows.filter(readable).drop("raw"), rows.filter(~readable).select("raw")
