@@ -42,8 +42,9 @@ def throttle_batch(
 ) -> DataFrame:
     """Deliver what the lock table lets through; every attempt comes back with ``delivered``.
 
-    ``deliver`` takes the payload on an executor and tells whether it was accepted. The result
-    is lazy, and each evaluation delivers: write it once and read the written rows.
+    ``deliver`` takes the payload on an executor and tells whether it was accepted. If it has
+    ``open`` or ``close``, they are called once per task, around its deliveries. The result is
+    lazy, and each evaluation delivers: write it once and read the written rows.
     """
     free = unlocked(alerts, locks, clock, seconds)
     tagged = free.withColumn(_OK, F.lit(False))
@@ -78,7 +79,20 @@ def _attempts(alerts: DataFrame, clock: str, seconds: int, key: str, sender) ->
     ordered = ordered.repartition(key).sortWithinPartitions(key, _CLOCK, *ties)
     hold = seconds * 1_000_000
 
+    def _nothing() -> None:
+        pass
+
     def walk(batches):
+        if not sender:
+            yield from step(batches)
+            return
+        getattr(sender[1], "open", _nothing)()
+        try:
+            yield from step(batches)
+        finally:
+            getattr(sender[1], "close", _nothing)()
+
+    def step(batches):
         import pyarrow as pa
 
         current, fired = None, None

@@ -139,3 +139,23 @@ def test_rankings_break_ties_by_key(spark):
     assert {(r.src_ip, r["rank"]) for r in ranked.collect()} == {("a", 1), ("b", 2)}
     assert "WindowGroupLimit" in ranked._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in top_ip_days(gold)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_day_holding_most_rows_is_split(spark, folder):
+    """Adaptive execution cuts a large day into several tasks; small days stay whole."""
+    day = F.when(F.col("id") % 10 < 8, 15).otherwise(F.col("id") % 7 + 1)
+    rows = spark.range(400_000).select(
+        F.format_string("2024-01-%02dT00:00:00Z", day).alias("timestamp"),
+        F.sha2(F.col("id").cast("string"), 256).alias("event_id"),
+        F.lit("s").alias("src_ip"), F.lit("d").alias("dst_ip"),
+        F.col("id").alias("bytes_sent"), F.lit(1).alias("latency_ms"),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4MB")
+    try:
+        write_silver(to_silver(rows), f"{folder}/silver")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    day_files = lambda d: [f for f in os.listdir(f"{folder}/silver/year=2024/month=1/day={d}") if f.endswith(".parquet")]
+    assert len(day_files(15)) > 3
+    assert len(day_files(1)) == 1
+    assert read_silver(spark, f"{folder}/silver").count() == 400_000

@@ -137,3 +137,27 @@ def test_broken_delivery_stops_the_batch(spark, folder):
     with pytest.raises(Exception, match="no route"):
         handle(alerts(spark, [0]), 0)
     assert read_table(spark, f"{folder}/locks", schema=LOCKS).count() == 0
+
+
+def test_delivery_client_is_opened_and_closed_per_task(spark, folder):
+    class Client:
+        def open(self):
+            self.mark("open")
+
+        def close(self):
+            self.mark("close")
+
+        def __call__(self, payload):
+            self.mark("post")
+            return True
+
+        def mark(self, what):
+            with open(f"{folder}/calls", "a") as out:
+                out.write(what + "\n")
+
+    locks = spark.createDataFrame([], LOCKS)
+    tried = throttle_batch(locks, to_outbox(alerts(spark, SECONDS)), Client()).coalesce(1)
+    tried.write.parquet(f"{folder}/out")
+    calls = open(f"{folder}/calls").read().split()
+    assert calls.count("open") == calls.count("close") and calls.count("post") == 3
+    assert calls.index("open") < calls.index("post") < len(calls) - 1 - calls[::-1].index("close")
