@@ -15,6 +15,10 @@ from telemetry_lake.sources.landing import between_days
 from telemetry_lake.sources.tables import latest_version, overwrite_table, read_table
 
 
+# About ten megabytes of (key, slice) pairs, the size up to which Spark broadcasts by itself.
+PRUNE_PAIRS = 200_000
+
+
 @dataclass(frozen=True)
 class Entity:
     """What features describe, and the column that identifies it."""
@@ -115,7 +119,7 @@ def historical_features(
     refs: Sequence[str],
     views: Sequence[FeatureView],
     slice_width: str = "1 minute",
-    prune: bool = True,
+    prune: bool | None = None,
     timestamp: str = "event_timestamp",
     full_names: bool = False,
 ) -> DataFrame:
@@ -128,9 +132,9 @@ def historical_features(
     is a single row: the last feature before it, taken from a per-slice summary that is
     combined on the map side. The summary walk holds one row per key and slice, never events.
 
-    ``prune`` drops feature rows of keys and slices the spine does not mention, before the
-    shuffle; Spark broadcasts those keys when they are few. Turn it off for a spine about as
-    large as the features.
+    ``prune`` drops feature rows of keys and slices the spine does not mention before they are
+    shuffled. That pays when those are few enough to broadcast, so by default the spine's
+    (key, slice) pairs are counted up to ``PRUNE_PAIRS`` to decide; a larger spine goes without.
     """
     wanted = resolve(refs, views, full_names)
     key = wanted[0].view.key
@@ -151,6 +155,8 @@ def historical_features(
         packed.alias("spine"),
     )
     keys, places = asked.select("k").distinct(), asked.select("k", "s").distinct()
+    if prune is None:
+        prune = places.limit(PRUNE_PAIRS + 1).count() <= PRUNE_PAIRS
 
     inside, summarised = asked, asked.drop("spine")
     for i, w in enumerate(wanted):

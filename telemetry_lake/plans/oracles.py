@@ -240,6 +240,15 @@ FROM (
 ) QUALIFY rank <= 10"""),
     "sliding_bandwidth": _WINDOWS,
     "sliding_bandwidth_panes": _WINDOWS,
+    "sliding_bandwidth_minute": _with("""
+SELECT src_ip, window_start, window_start + INTERVAL '60 seconds' AS window_end,
+       CAST(SUM(bytes_sent) AS BIGINT) AS total_bytes, COUNT(*) AS packet_count,
+       CAST(SUM(bytes_sent) AS BIGINT) / 60 AS avg_bytes_per_sec
+FROM (
+  SELECT src_ip, bytes_sent,
+         time_bucket(INTERVAL '10 seconds', ts, TIMESTAMP '1970-01-01') - i * INTERVAL '10 seconds' AS window_start
+  FROM tel, range(6) r(i)
+) GROUP BY src_ip, window_start"""),
     "exfil_alerts": _ALERTS,
     "exfil_alerts_stream": _ALERTS,
     "detect_text_stream": _with("SELECT * FROM alerts", """

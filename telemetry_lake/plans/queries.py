@@ -366,6 +366,12 @@ def sliding_windows_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sliding_bandwidth(telemetry(spark, sf_dir), SIZE, SLIDE, panes=True)
 
 
+@query("sliding_bandwidth_minute")
+def sliding_windows_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The detector's own windows of 60 seconds sliding by 10."""
+    return sliding_bandwidth(telemetry(spark, sf_dir))
+
+
 @query("exfil_alerts")
 def exfiltration_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _alerts(spark, sf_dir)

@@ -8,8 +8,7 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
-# Settings every job wants. None of them fixes a partition count: AQE derives
-# reducer sizes from the advisory size, so the same job fits a laptop and a cluster.
+# Settings every job wants. Reducer sizes are left to adaptive execution.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A key written twice in one JSON object counts once, with its last value.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     # Streaming state lives off-heap and is checkpointed as changelogs.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -25,6 +26,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
+_DEFAULT_PARTITIONS = "200"
+
 
 def build_session(app: str = "telemetry-lake", master: str | None = None, **extra) -> SparkSession:
     """Session with the settings above; ``extra`` adds or overrides (``__`` stands for a dot)."""
@@ -33,13 +36,28 @@ def build_session(app: str = "telemetry-lake", master: str | None = None, **extr
         builder = builder.master(master)
     for name, value in {**SETTINGS, **{k.replace("__", "."): v for k, v in extra.items()}}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    return _size_shuffles(builder.getOrCreate())
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
     """Put the runtime settings on a session somebody else built."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    return _size_shuffles(spark)
+
+
+def _size_shuffles(spark: SparkSession) -> SparkSession:
+    """Let the number of shuffle partitions follow the cores, unless somebody chose it.
+
+    It is the upper bound from which adaptive execution merges small partitions, and the number
+    of state stores of a new streaming query. A cluster never gets fewer than Spark's default.
+    """
+    name = "spark.sql.shuffle.partitions"
+    if spark.conf.get(name) == _DEFAULT_PARTITIONS:
+        context = spark.sparkContext
+        cores = context.defaultParallelism
+        wanted = cores if context.master.startswith("local") else max(3 * cores, int(_DEFAULT_PARTITIONS))
+        spark.conf.set(name, str(wanted))
     return spark
 
 

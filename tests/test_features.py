@@ -31,7 +31,7 @@ def as_of(spark, features, asked, **options):
 
 
 @pytest.mark.parametrize("slice_width", ["1 second", "1 minute", "1 day"])
-@pytest.mark.parametrize("prune", [True, False])
+@pytest.mark.parametrize("prune", [None, True, False])
 def test_point_in_time_cases(spark, slice_width, prune):
     features = [
         ("1", "at", 0, 10), ("1", "before", -1, 11), ("1", "after", 1, 12),
@@ -68,6 +68,20 @@ def test_plan_has_no_range_join_and_cuts_keys_into_slices(spark):
     assert "windowspecdefinition(k#" in plan and ", s#" in plan
 
 
+def test_a_large_spine_is_not_used_for_pruning(spark, monkeypatch):
+    from telemetry_lake.operators import features
+
+    view = daily_ip_traffic(silver(spark, [("1", "a", 0, 1), ("1", "b", 0, 2)]))
+    asked = spine(spark, [(5, "a", 1), (5, "b", 2)])
+    plans = []
+    for bound in (2, 1):
+        monkeypatch.setattr(features, "PRUNE_PAIRS", bound)
+        result = historical_features(asked, REFS, [view])
+        assert sorted((r.src_ip, r.bytes_sent) for r in result.collect()) == [("a", 1), ("b", 2)]
+        plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert "LeftSemi" in plans[0] and "LeftSemi" not in plans[1]
+
+
 def test_spine_rows_and_types_are_kept(spark):
     asked = spine(spark, [(0, "a", 1), (0, "a", 1), (0, None, 2)])
     view = daily_ip_traffic(silver(spark, [("1", "a", 0, 7), ("1", None, 0, 9)]))

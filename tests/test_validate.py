@@ -49,6 +49,8 @@ LAX = [
     (record(app_layer=...), ["app_layer: missing"]),
     (record(tags=...), ["tags: missing"]),
     (record(extra=1), []),
+    (json.dumps(record())[:-1] + ', "src_ip": "again"}', []),
+    (record(bytes_sent=True), []),
     (record(app_layer=nested(extra="x")), []),
     (record(src_ip=..., tags=..., latency_ms="x"), ["src_ip: missing", "latency_ms: wrong type", "tags: missing"]),
 ]
