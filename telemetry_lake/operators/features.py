@@ -207,7 +207,7 @@ def materialize(
 ) -> DataFrame:
     """The newest feature row of every key in ``[start, end)``.
 
-    Rows are combined per key before the shuffle. A source partitioned by day is pruned to the
+    Each task keeps one row per key before the shuffle. A source partitioned by day is pruned to the
     days of the range.
     """
     first, last = _instant(start), _instant(end)
@@ -227,9 +227,9 @@ def _instant(value: datetime | str) -> datetime:
 
 
 def _newest(rows: DataFrame, key: str) -> DataFrame:
-    rest = [c for c in rows.columns if c not in (key, "event_timestamp", "tie")]
-    best = F.max_by(F.struct("event_timestamp", "tie", *rest), F.struct("event_timestamp", "tie"))
-    return rows.groupBy(key).agg(best.alias("r")).select(key, "r.*")
+    """One row per key, cut to one per task before the shuffle (``WindowGroupLimit``)."""
+    order = Window.partitionBy(key).orderBy(F.desc("event_timestamp"), F.desc_nulls_last("tie"))
+    return rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
 def write_online(latest: DataFrame, path: str, key: str = "src_ip", fmt: str = "parquet") -> None:

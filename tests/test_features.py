@@ -108,7 +108,10 @@ def test_materialise_range_and_ties(spark):
     rows = [("1", "a", 0, 1), ("2", "a", 0, 2), ("3", "a", 10, 3), ("9", "b", -1, 4)]
     view = daily_ip_traffic(silver(spark, rows))
     end = START + timedelta(seconds=10)
-    assert [(r.src_ip, r.bytes_sent) for r in materialize(view, START, end).collect()] == [("a", 2)]
+    latest = materialize(view, START, end)
+    assert [(r.src_ip, r.bytes_sent) for r in latest.collect()] == [("a", 2)]
+    plan = latest._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
 def test_online_lookup(spark, folder):
