@@ -68,7 +68,7 @@ def main() -> int:
     from telemetry_lake import build_session
 
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
-    chosen = sys.argv[2:] or list(queries())
+    chosen = sys.argv[2:] or list(oracle_sql())
     spark = build_session("differential", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions="8")
     spark.sparkContext.setLogLevel("ERROR")
     con, failed = connect(folder), 0

@@ -4,7 +4,9 @@ import pytest
 from conftest import SMALL
 from differential import compare, connect, types_differ
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from telemetry_lake.plans.oracles import ORACLES
+from telemetry_lake.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,12 +15,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, con, name):
-    problem, rows = compare(spark, con, name, queries()[name], oracle_sql()[name], SMALL)
+    problem, rows = compare(spark, con, name, QUERIES[name], ORACLES[name], SMALL)
     assert not problem
     assert rows > 0
 
@@ -28,7 +30,7 @@ def test_matches_sql(spark, con, name):
                                   "eps", "anomaly_labels", "anomaly_rates", "port_scan", "scalar_functions",
                                   "ingest_valid", "alert_delivery", "top10_anomalous_per_day", "materialize_latest"])
 def test_types_match_sql(spark, con, name):
-    assert types_differ(spark, con, queries()[name], oracle_sql()[name], SMALL) == []
+    assert types_differ(spark, con, QUERIES[name], ORACLES[name], SMALL) == []
 
 
 def test_entry_runs(spark):
