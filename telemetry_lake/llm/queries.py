@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
+from telemetry_lake.llm.quality import judge
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -37,7 +38,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return judge(docs, trusted).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    )
+
+
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_decontamination": op10_decontamination,
 }
