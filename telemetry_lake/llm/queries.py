@@ -10,6 +10,8 @@ from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
 from telemetry_lake.llm.quality import judge
+from telemetry_lake.llm.urls import judge_urls
+from telemetry_lake.llm.warc import base32, page_of, through_archive
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -46,7 +48,27 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = through_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    # The digest of a response is taken from the bytes that were read back.
+    own = F.when(F.col("record_type") == "response", base32(F.sha1("block")))
+    own_bytes = F.when(F.col("record_type") == "response", F.octet_length("block").cast("long"))
+    return records.select(
+        page_of(F.col("record_id")).alias("page_id"),
+        F.coalesce(own_bytes, "payload_length").alias("payload_bytes"),
+        F.coalesce(own, F.regexp_replace("payload_digest", "^sha1:", "")).alias("payload_digest"),
+        "record_type",
+        page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 QUERIES = {
+    "op5_url_filters": op5_url_filters,
+    "op6_warc": op6_warc,
     "op4_quality_rules": op4_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_decontamination": op10_decontamination,
@@ -60,6 +82,33 @@ _WORDS = r"""
           FROM {table}) WHERE len(w) > 0"""
 
 ORACLES = {
+    "op5_url_filters": r"""
+WITH u AS (
+    SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] END, '') AS rest FROM pages),
+h AS (
+    SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM u),
+rules(verdict, rh, rp) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                                  ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+m AS (
+    SELECT h.*, rh || rp AS rule, verdict FROM h LEFT JOIN rules
+    ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+SELECT page_id, any_value(host) AS host, any_value(path) AS path,
+       arg_max(rule, length(rule)) AS rule, coalesce(arg_max(verdict, length(rule)), 'allow') AS verdict
+FROM m GROUP BY page_id
+""",
+    "op6_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS hex, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((('0x' || substr(hex, 1 + 5 * (i // 4)::INT, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM d
+""",
     "op10_decontamination": f"""
 WITH dw AS ({_WORDS.format(key="doc_id", table="documents")}),
      iw AS ({_WORDS.format(key="item_id", table="benchmark")}),
