@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from telemetry_lake.llm import language, toxicity
 from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
@@ -40,6 +41,35 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    examples = toxicity.sample(docs, table(spark, sf_dir, "labels"), learn=_fold(5) != 0)
+    model = toxicity.train([text for text, _ in examples], [toxic for _, toxic in examples])
+    return toxicity.score_toxicity(docs, model).select(
+        "doc_id",
+        (_fold(5) == 0).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    examples = language.sample(docs, learn=_fold(3) != 1)
+    model = language.fit([text for text, _ in examples], [lang for _, lang in examples])
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (_fold(3) == 1).alias("held_out"),
+        F.col("language").alias("lang_pred"),
+        F.col("cosine").alias("score"),
+        "rejected",
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -67,6 +97,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_language": op2_language,
     "op5_url_filters": op5_url_filters,
     "op6_warc": op6_warc,
     "op4_quality_rules": op4_quality_rules,
