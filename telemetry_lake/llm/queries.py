@@ -10,6 +10,7 @@ from telemetry_lake.llm import language, toxicity
 from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
+from telemetry_lake.llm.jaccard import join_similar
 from telemetry_lake.llm.quality import judge
 from telemetry_lake.llm.urls import judge_urls
 from telemetry_lake.llm.warc import base32, page_of, through_archive
@@ -70,6 +71,10 @@ def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_similar(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4, percent=85)
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
@@ -101,6 +106,7 @@ QUERIES = {
     "op2_language": op2_language,
     "op5_url_filters": op5_url_filters,
     "op6_warc": op6_warc,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_decontamination": op10_decontamination,
@@ -114,6 +120,21 @@ _WORDS = r"""
           FROM {table}) WHERE len(w) > 0"""
 
 ORACLES = {
+    "op3_jaccard_join": r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (
+    SELECT DISTINCT doc_id, array_to_string(w[p:p + 3], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS p FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+    SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
+walk AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT walk.a, links.b FROM walk JOIN links ON walk.b = links.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
+FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM walk GROUP BY a) USING (doc_id)
+""",
     "op5_url_filters": r"""
 WITH u AS (
     SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] END, '') AS rest FROM pages),
