@@ -12,6 +12,7 @@ from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
 from telemetry_lake.llm.jaccard import join_similar
 from telemetry_lake.llm.quality import judge
+from telemetry_lake.llm.suffixes import remove_repeats
 from telemetry_lake.llm.urls import judge_urls
 from telemetry_lake.llm.warc import base32, page_of, through_archive
 
@@ -29,6 +30,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.start)
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -109,6 +122,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -120,6 +134,22 @@ _WORDS = r"""
           FROM {table}) WHERE len(w) > 0"""
 
 ORACLES = {
+    "op9_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, coalesce(lower(hex(encode(text))), '') AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS s
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 49)) AS i FROM d WHERE length(h) >= 100)),
+m AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s),
+r AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM w JOIN m USING (s) WHERE first < doc_id),
+g AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS g FROM r),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, g),
+c AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, list(a ORDER BY a) AS starts, list(b ORDER BY a) AS ends
+      FROM spans GROUP BY doc_id)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE
+           array_to_string(list_transform(range(1, len(starts) + 2), lambda k:
+               substr(h, 2 * coalesce(ends[k - 1], 0) + 1, 2 * (coalesce(starts[k], length(h) // 2) - coalesce(ends[k - 1], 0)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN c USING (doc_id)
+""",
     "op3_jaccard_join": r"""
 WITH RECURSIVE w AS (
     SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
