@@ -6,9 +6,9 @@
    partner. So, if its lead ends before the partner's, all but d of its lead are in the partner's lead: a
    document with too few shared shingles in its lead has no partner and is done. Of the others each takes the
    d + 1 rarest shingles of its lead; a partner has one of them at least.
-3. Classes that share such a shingle, directly or through others, form a group of candidates. A group is cut into
-   chunks of a bounded number of shingles, and each pair of chunks is a block of its own; where that is
-   cheaper, the lists of the group's shingles take the place of the group. No document meets another in a row.
+3. Classes that share such a shingle, directly or through others, form a group of candidates (lists of similar
+   length only). A group is cut into chunks of a bounded number of shingles, and each pair of chunks is a block of its
+   own; where fewer sets are sent that way, the lists take the place of the group. No row holds a pair.
 4. In a block each document searches the inverted index of the whole sets with DivideSkip: the longest lists are
    set aside, the short ones are merged with a heap, and documents that occur often enough are looked up in the
    long ones by binary search until the needed overlap is reached or out of reach. Only links that
@@ -41,7 +41,7 @@ from telemetry_lake.llm.shingles import sets_of
 
 WORDS, PERCENT = 5, 80
 # Bytes of text handled at a time, and shingles in a chunk of a group.
-CHUNK_BYTES, CHUNK_SHINGLES = 4 << 20, 200_000
+CHUNK_BYTES, CHUNK_SHINGLES = 4 << 20, 400_000
 
 
 def lacking(n, percent: int):
@@ -85,20 +85,24 @@ def shingle_sets(docs: DataFrame, size: int, percent: int, text: str = "text", k
 
 
 def candidate_lists(leads: DataFrame, percent: int) -> DataFrame:
-    """``(token, rep, n, leader, chosen)``: inverted lists over classes that may have a partner."""
+    """``(token, rep, n, chosen)``: inverted lists over classes that may have a partner.
+
+    The second pass counts only what the first one left, so that shingles shared with classes that have no
+    partner count as unshared.
+    """
     short = lambda n: F.floor(n * (100 - percent) / 100)
     rows = leads.select("rep", "n", F.size("tokens").alias("q"), F.explode("tokens").alias("token"))
-    by_token = Window.partitionBy("token")
-    shared = rows.withColumn("df", F.count("*").over(by_token)).filter("df > 1")
-    of_rep = Window.partitionBy("rep", "n")
-    shared = shared.withColumn("cnt", F.count("*").over(of_rep))
+    by_token, of_rep = Window.partitionBy("token"), Window.partitionBy("rep", "n")
     # The smallest partner asks for the fewest shared shingles of a lead.
     small = F.ceil(F.col("n") * percent / 100)
-    least = F.least(small - short(small), short(small) + 2)
-    live = shared.filter(F.col("cnt") >= F.least(least, F.col("q") - short(F.col("n"))))
+    least = F.least(small - short(small), short(small) + 2, F.col("q") - short(F.col("n")))
+    for _ in range(2):
+        shared = rows.withColumn("df", F.count("*").over(by_token)).filter("df > 1")
+        rows = shared.withColumn("cnt", F.count("*").over(of_rep)).filter(F.col("cnt") >= least)
+        rows = written(rows.select("rep", "n", "q", "token", "df", "cnt"), "jaccard-shared")
     rank = F.row_number().over(of_rep.orderBy("df", "token"))
     own = short(F.col("n")) + 1 - (F.col("q") - F.col("cnt"))
-    return live.withColumn("rank", rank).select("token", "rep", "n", (F.col("rank") <= own).alias("chosen"))
+    return rows.withColumn("rank", rank).select("token", "rep", "n", (F.col("rank") <= own).alias("chosen"))
 
 
 class Block:
@@ -180,35 +184,43 @@ def class_links(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def blocks_of(lists: DataFrame) -> DataFrame:
-    """``(rep, block)``: the blocks in which each class meets all its candidates."""
-    wanted = lists.groupBy("token").agg(
-        F.max("chosen").alias("any"), F.min("rep").alias("leader"), F.count("*").alias("k"), F.sum("n").alias("weight")
-    ).filter("any AND k > 1")
-    members = written(lists.select("token", "rep", "n").join(wanted.select("token", "leader", "weight"), "token"), "jaccard-members")
-    groups = written(components(members.select(F.col("rep").alias("a"), F.col("leader").alias("b")), "jaccard-groups"), "jaccard-groups")
+    """``(rep, block)``: the blocks in which each class meets all its candidates.
+
+    Lists with the same members count once. Lists are grouped with those of similar length only, so that passages
+    that many documents share do not chain the groups of the others together. A group is sent as a whole or,
+    where fewer sets are sent that way, as its lists one by one.
+    """
+    sums = lists.groupBy("token").agg(
+        F.max("chosen").alias("any"), F.min("rep").alias("leader"), F.count("*").alias("k"), F.sum("n").alias("weight"),
+        F.bit_xor(F.xxhash64("rep")).alias("members"),
+    )
+    same = sums.filter("any AND k > 1").withColumn("unit", F.min("token").over(Window.partitionBy("members", "k", "leader", "weight")))
+    same = same.select("token", "unit", "leader", "weight", F.floor(F.log2("k") / 2).alias("tier"))
+    members = lists.join(same, "token").groupBy("unit", "rep", "n", "leader", "weight", "tier").agg(F.max("chosen").alias("chosen"))
+    members = members.withColumnRenamed("unit", "token").withColumn("node", F.xxhash64("rep", "tier"))
+    members = written(members, "jaccard-members")
+    groups = components(members.select(F.col("node").alias("a"), F.xxhash64("leader", "tier").alias("b")), "jaccard-groups")
     chunks = lambda weight: F.ceil(F.col(weight) / CHUNK_SHINGLES)
-    classes = members.select("rep", "n").distinct().join(groups.withColumnRenamed("node", "rep"), "rep")
+    classes = members.select("node", "rep", "n").distinct().join(groups, "node")
     size = classes.groupBy("component").agg(F.sum("n").alias("total"))
-    by_list = (
-        members.join(groups.withColumnRenamed("node", "rep"), "rep")
-        .groupBy("component").agg(F.sum(F.col("n") * chunks("weight")).alias("listed"))
-    )
-    plan = size.join(by_list, "component").select(
+    sent = F.when(F.col("chosen"), chunks("weight")).otherwise(1)
+    listed = members.join(groups, "node").groupBy("component").agg(F.sum(F.col("n") * sent).alias("listed"))
+    plan = size.join(listed, "component").select(
         "component", "total", (F.col("listed") < F.col("total") * chunks("total")).alias("by_list")
     )
-    placed = classes.join(plan, "component")
-    whole = placed.filter("NOT by_list").select("rep", F.lit("g").alias("kind"), F.col("component").alias("unit"), chunks("total").alias("c"))
-    single = (
-        placed.filter("by_list").select("rep").join(members, "rep")
-        .select("rep", F.lit("t").alias("kind"), F.col("token").alias("unit"), chunks("weight").alias("c"))
-    )
-    rows = whole.union(single).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("c")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
-    return rows.select(
-        "rep",
-        F.concat_ws("/", "kind", F.col("unit").cast("string"), F.least("mine", "other").cast("string"),
-                    F.greatest("mine", "other").cast("string")).alias("block"),
-    )
+    placed = written(classes.join(plan, "component"), "jaccard-placed")
+    # Of a group each class meets all others: a block per pair of chunks.
+    whole = placed.filter("NOT by_list").select("rep", "component", chunks("total").alias("c"))
+    whole = whole.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("c")))
+    whole = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
+    name = lambda *parts: F.concat_ws("/", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
+    whole = whole.select("rep", name(F.lit("g"), "component", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string")).alias("block"))
+    # Of a list only the classes that chose its shingle meet the others: they are in every chunk.
+    single = placed.filter("by_list").select("node").join(members, "node")
+    single = single.withColumn("c", chunks("weight")).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("c")))
+    places = F.when(F.col("chosen"), F.sequence(F.lit(0), F.col("c") - 1)).otherwise(F.array("mine"))
+    single = single.withColumn("place", F.explode(places)).select("rep", name(F.lit("t"), "token", "place").alias("block"))
+    return whole.union(single)
 
 
 def join_similar(
