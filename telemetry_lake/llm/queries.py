@@ -11,6 +11,7 @@ from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
 from telemetry_lake.llm.jaccard import join_similar
+from telemetry_lake.llm.lines import dedupe_lines
 from telemetry_lake.llm.quality import judge
 from telemetry_lake.llm.suffixes import remove_repeats
 from telemetry_lake.llm.urls import judge_urls
@@ -30,6 +31,16 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select(
+        "doc_id",
+        F.col("_lines").alias("n_lines"),
+        F.col("_removed").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s.end - s.start)
@@ -122,6 +133,7 @@ QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_quality_rules": op4_quality_rules,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
 }
@@ -134,6 +146,27 @@ _WORDS = r"""
           FROM {table}) WHERE len(w) > 0"""
 
 ORACLES = {
+    "op8_line_dedup": r"""
+WITH l AS (
+    SELECT doc_id, p, parts[p] AS line,
+           list_sort(list_distinct(list_filter(regexp_split_to_array(lower(parts[p]), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p
+          FROM documents WHERE text IS NOT NULL)),
+c AS (SELECT s, row_number() OVER (ORDER BY min((doc_id, p))) AS c, min((doc_id, p)) AS first FROM l WHERE len(s) >= 5 GROUP BY s),
+t AS (SELECT c, len(s) AS n, unnest(s) AS w FROM c),
+df AS (SELECT w, count(*) AS f FROM t GROUP BY w),
+pre AS (SELECT c, w FROM (SELECT c, n, t.w, row_number() OVER (PARTITION BY c ORDER BY f, t.w) AS r FROM t JOIN df USING (w))
+        WHERE r <= n - ceil(80 * n / 100) + 1),
+pairs AS (SELECT DISTINCT a.c AS a, b.c AS b FROM pre a JOIN pre b ON a.w = b.w AND b.c < a.c),
+sim AS (SELECT DISTINCT a FROM pairs JOIN c x ON x.c = a JOIN c y ON y.c = b
+        WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (len(x.s) + len(y.s) - len(list_intersect(x.s, y.s)))),
+j AS (SELECT l.doc_id, l.p, l.line, (c.c IS NOT NULL AND ((l.doc_id, l.p) > c.first OR sim.a IS NOT NULL)) AS gone
+      FROM l LEFT JOIN c ON c.s = l.s LEFT JOIN sim ON sim.a = c.c)
+SELECT d.doc_id, count(*) FILTER (regexp_matches(line, '[^\x20\x09-\x0D]'))::BIGINT AS n_lines,
+       count(*) FILTER (gone)::BIGINT AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN j ON j.doc_id = d.doc_id GROUP BY d.doc_id
+""",
     "op9_suffix_dedup": r"""
 WITH d AS (SELECT doc_id, coalesce(lower(hex(encode(text))), '') AS h FROM documents),
 w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS s
