@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from telemetry_lake.session import scratch_dir
 SPACES = r"[\x20\x09-\x0D]+"
 
 # Rows of a join side that are broadcast at most; each such row is a few numbers wide.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS, BROADCAST_NUMBERS = 1_000_000, 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +30,21 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a written table of few narrow rows for broadcast; a larger one is left to a shuffled join."""
-    return F.broadcast(df) if df.count() <= rows else df
+def sized(df: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Mark a written table for broadcast if it is small; a larger one is left to a shuffled join.
+
+    Small means at most ``BROADCAST_ROWS`` rows, and at most ``BROADCAST_NUMBERS`` numbers in the arrays that ``weight``
+    measures.
+    """
+    found = df.agg(F.count("*").alias("rows"), F.sum(F.lit(0) if weight is None else weight).alias("numbers")).first()
+    small = found.rows <= BROADCAST_ROWS and (found.numbers or 0) <= BROADCAST_NUMBERS
+    return F.broadcast(df) if small else df
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps, whose frames are no longer referred to."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def lower_ascii(text: Column) -> Column:

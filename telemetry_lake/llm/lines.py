@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import BROADCAST_ROWS, SPACES, sized, written
+from telemetry_lake.llm.common import SPACES, sized, written
 
 PERCENT, LEAST_WORDS = 80, 5
 # Buckets in which the words of the corpus are counted for their order.
@@ -102,7 +102,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     repeats = lines.join(sized(written(first, "line-first")), KEY).filter(place > F.col("first")).select("id", "sum", "pos").distinct()
     repeats = written(repeats, "line-repeats")
     gone = repeats.groupBy("id", "sum").agg(F.collect_set("pos").alias("gone"))
-    gone = sized(written(gone, "line-gone"), BROADCAST_ROWS // 8)
+    gone = sized(written(gone, "line-gone"), F.size("gone"))
     firsts = rows.join(gone, (rows["id"].eqNullSafe(gone["id"])) & (rows["sum"] == gone["sum"]), "left").select(
         rows["id"], rows["sum"], "text", "gone")
 
@@ -141,7 +141,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
 
 def dedupe_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the text without its removed lines, and ``_lines`` and ``_removed``, how many there were."""
-    gone = sized(written(removed_lines(docs, percent, text, key), "line-removed"), BROADCAST_ROWS // 8)
+    gone = sized(written(removed_lines(docs, percent, text, key), "line-removed"), F.size("gone"))
     gone = gone.select(F.col("id").alias("_id"), F.col("sum").alias("_sum"), F.col("gone").alias("_gone"))
     rows = docs.join(gone, docs[key].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_sum")), "left")
     parts = F.split(F.col(text), "\n")

@@ -21,7 +21,6 @@ never smaller than each other.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import BROADCAST_ROWS, flat, sized, slices, written
+from telemetry_lake.llm.common import flat, release, sized, slices, written
 from telemetry_lake.llm.shingles import mix
 
 LENGTH, GRAM = 50, 16
@@ -52,7 +51,9 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[n
         padded = np.concatenate([part, np.zeros(8, np.uint8)])
         eight = np.ndarray((len(padded) - 7,), "<u8", padded, 0, (1,))
         count = len(part) - GRAM + 1
-        value = mix(eight[:count] * np.uint64(0x9E3779B97F4A7C15) + mix(eight[8 : 8 + count]))
+        value = np.zeros(count, np.uint64)
+        for at in (*range(0, GRAM - 8, 8), GRAM - 8):
+            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + eight[at : at + count])
         place, width = np.arange(count, dtype=np.int32), 1
         low = value
         while width < span:  # smallest, leftmost gram of ever wider windows
@@ -196,7 +197,7 @@ def _anchor_hashes(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """``(id, sum, start, hash, context, digest)`` of the anchors in ``hashes``; starts count from the text's own."""
+    """``(id, sum, start, hash, context)`` of the anchors in ``hashes``; starts count from the text's own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,28 +212,28 @@ def _contexts(rows: DataFrame, length: int) -> DataFrame:
                 document, first, last, value = document[keep], first[keep], last[keep], value[keep]
                 raw = data.tobytes()
                 contexts = [raw[a : b + length] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
-                digests = [hashlib.blake2b(c, digest_size=16).digest() for c in contexts]
                 at = pa.array(document)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("id").take(at), part.column("sum").take(at), pa.array(first - offsets[document], pa.int64()),
-                     pa.array(value, pa.int64()), pa.array(contexts, pa.binary()), pa.array(digests, pa.binary())],
-                    names=["id", "sum", "start", "hash", "context", "digest"],
+                     pa.array(value, pa.int64()), pa.array(contexts, pa.binary())],
+                    names=["id", "sum", "start", "hash", "context"],
                 )
 
     return rows.mapInArrow(run, T.StructType([
         rows.schema["id"], T.StructField("sum", T.LongType()), T.StructField("start", T.LongType()),
-        T.StructField("hash", T.LongType()), T.StructField("context", T.BinaryType()), T.StructField("digest", T.BinaryType())]))
+        T.StructField("hash", T.LongType()), T.StructField("context", T.BinaryType())]))
 
 
 def _sorted_minima(distinct: DataFrame, length: int) -> DataFrame:
-    """``(digest, minima)`` of distinct contexts ``(hash, digest, context, owner)``."""
+    """``(hash, digest, minima)`` of distinct contexts ``(hash, context, owner)``."""
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
         owners = rows.column("owner").to_numpy()
         minima = context_minima(rows.column("context").to_pylist(), owners, length)
         ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in minima])]), pa.int32())
         lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(minima), pa.int64()))
-        return pa.RecordBatch.from_arrays([rows.column("digest").combine_chunks(), lists], names=["digest", "minima"])
+        keys = [rows.column(name).combine_chunks() for name in ("hash", "digest")]
+        return pa.RecordBatch.from_arrays([*keys, lists], names=["hash", "digest", "minima"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -254,8 +255,8 @@ def _sorted_minima(distinct: DataFrame, length: int) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(waiting))
 
-    parts = distinct.repartition("hash").sortWithinPartitions("hash")
-    return parts.mapInArrow(run, "digest binary, minima array<bigint>")
+    parts = distinct.repartition("hash").sortWithinPartitions("hash").withColumn("digest", F.xxhash64("context"))
+    return parts.mapInArrow(run, "hash bigint, digest bigint, minima array<bigint>")
 
 
 def _cut(rows: DataFrame, length: int) -> DataFrame:
@@ -294,31 +295,41 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _shared_anchors(search: DataFrame, length: int) -> DataFrame:
+    """Of each text the anchors that another one has, ``(id, sum, hashes)``."""
+    anchors = _anchor_hashes(search, length).select("id", "sum", F.explode("hashes").alias("hash"))
+    shared = anchors.withColumn("df", F.count("*").over(Window.partitionBy("hash"))).filter("df > 1")
+    return shared.groupBy("id", "sum").agg(F.collect_list("hash").alias("hashes"))
+
+
+def _removed_starts(contexts: DataFrame, minima: DataFrame) -> DataFrame:
+    """Of each text the starts of removed strings, ``(id, sum, starts)``."""
+    found = contexts.select("id", "sum", "start", "hash", F.xxhash64("context").alias("digest")).join(minima, ["hash", "digest"])
+    starts = F.filter(
+        F.transform("minima", lambda least, i: F.when(least < F.col("id"), F.col("start") + i)), lambda s: s.isNotNull()
+    )
+    found = found.select("id", "sum", starts.cast("array<int>").alias("starts")).filter(F.size("starts") > 0)
+    return found.groupBy("id", "sum").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(key, n_bytes, spans, kept)`` per row. ``length`` lies between 17 and 110."""
     if not GRAM < length <= 110:
         raise ValueError("the length must lie between 17 and 110")
-    rows = _keyed(docs, text, key)
+    spark, rows = docs.sparkSession, _keyed(docs, text, key)
     whole = rows.filter("id IS NOT NULL").select("id", "sum", F.octet_length("text").alias("n"), F.sha2("text", 256).alias("sha"))
     twice = written(whole.groupBy("sha").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last"), "suffix-twice")
     copies = whole.join(sized(twice), "sha").filter("id > first").select("id", "sum").distinct()
     copies = sized(written(copies.withColumn("copy", F.lit(True)), "suffix-copies"))
     search = rows.filter("id IS NOT NULL").filter(F.octet_length("text") >= length).join(copies, ["id", "sum"], "left_anti")
 
-    anchors = _anchor_hashes(search, length).select("id", "sum", F.explode("hashes").alias("hash"))
-    shared = anchors.withColumn("df", F.count("*").over(Window.partitionBy("hash"))).filter("df > 1")
-    shared = shared.groupBy("id", "sum").agg(F.collect_list("hash").alias("hashes"))
-    shared = sized(written(shared, "suffix-anchors"), BROADCAST_ROWS // 8)
+    shared = sized(written(_shared_anchors(search, length), "suffix-anchors"), F.size("hashes"))
+    release(spark)
     contexts = written(_contexts(search.join(shared, ["id", "sum"]), length), "suffix-contexts")
-    distinct = contexts.groupBy("hash", "digest", "context").agg(F.min("id").alias("owner"))
-    minima = _sorted_minima(distinct, length)
-    found = contexts.select("id", "sum", "start", "digest").join(minima, "digest")
-    starts = F.filter(
-        F.transform("minima", lambda least, i: F.when(least < F.col("id"), F.col("start") + i)), lambda s: s.isNotNull()
-    )
-    starts = found.select("id", "sum", starts.alias("starts")).filter(F.size("starts") > 0)
-    starts = starts.groupBy("id", "sum").agg(F.flatten(F.collect_list("starts")).alias("starts"))
-    starts = sized(written(starts, "suffix-starts"), BROADCAST_ROWS // 32)
-
+    release(spark)
+    minima = written(_sorted_minima(contexts.groupBy("hash", "context").agg(F.min("id").alias("owner")), length), "suffix-minima")
+    release(spark)
+    starts = sized(written(_removed_starts(contexts, minima), "suffix-starts"), F.size("starts"))
+    release(spark)
     final = rows.join(starts, ["id", "sum"], "left").join(copies, ["id", "sum"], "left")
     return _cut(final, length).withColumnRenamed("id", key)
