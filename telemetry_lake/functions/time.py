@@ -37,9 +37,13 @@ def epoch_timestamp(value: Column) -> Column:
 
 
 def event_timestamp(value: Column) -> Column:
-    """TIMESTAMP of either wire form: epoch number or ISO-8601 text; NULL when it is neither."""
+    """TIMESTAMP of either wire form: epoch number or ISO-8601 text; NULL when it is neither.
+
+    A bare time of day is neither: it would become a moment of the day on which the job runs.
+    """
     text = value.cast("string")
-    return F.when(text.rlike(_EPOCH), epoch_timestamp(text)).otherwise(F.try_to_timestamp(text))
+    dated = F.when(F.trim(text).rlike(_DATED), F.try_to_timestamp(text))
+    return F.when(text.rlike(_EPOCH), epoch_timestamp(text)).otherwise(dated)
 
 
 def is_event_timestamp(value: Column, parsed: Column) -> Column:

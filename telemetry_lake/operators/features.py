@@ -9,15 +9,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from telemetry_lake.functions.time import seconds_of
+from telemetry_lake.functions.time import seconds_of, shift
 from telemetry_lake.schema import DAY_COLUMNS
 from telemetry_lake.sources.landing import between_days
 from telemetry_lake.sources.tables import latest_version, overwrite_table, read_table
 
 
-# About ten megabytes of (key, slice) pairs, the size up to which Spark broadcasts by itself.
-PRUNE_PAIRS = 200_000
-
 
 @dataclass(frozen=True)
 class Entity:
@@ -119,7 +116,7 @@ def historical_features(
     refs: Sequence[str],
     views: Sequence[FeatureView],
     slice_width: str = "1 minute",
-    prune: bool | None = None,
+    prune: bool = False,
     timestamp: str = "event_timestamp",
     full_names: bool = False,
 ) -> DataFrame:
@@ -132,11 +129,15 @@ def historical_features(
     is a single row: the last feature before it, taken from a per-slice summary that is
     combined on the map side. The summary walk holds one row per key and slice, never events.
 
-    ``prune`` drops feature rows of keys and slices the spine does not mention before they are
-    shuffled. That pays when those are few enough to broadcast, so by default the spine's
-    (key, slice) pairs are counted up to ``PRUNE_PAIRS`` to decide; a larger spine goes without.
+    A source partitioned by day is read from the day of the first spine row, less the ttl, to the day of the
+    last one: the bounds are a scalar subquery, so that building the frame starts no job.
+
+    ``prune`` drops feature rows of keys and slices the spine does not mention before they are shuffled. That
+    pays for a spine of few keys and moments.
     """
     wanted = resolve(refs, views, full_names)
+    if clash := {out for w in wanted for out in w.outputs} & set(spine.columns):
+        raise ValueError(f"the spine already has columns {sorted(clash)}, ask for full names")
     key = wanted[0].view.key
     if any(w.view.key != key for w in wanted):
         raise ValueError("views in one request must share their join key")
@@ -155,14 +156,12 @@ def historical_features(
         packed.alias("spine"),
     )
     keys, places = asked.select("k").distinct(), asked.select("k", "s").distinct()
-    if prune is None:
-        prune = places.limit(PRUNE_PAIRS + 1).count() <= PRUNE_PAIRS
 
     inside, summarised = asked, asked.drop("spine")
     for i, w in enumerate(wanted):
         ts = w.view.timestamp_field
         values = [F.col(f.name).cast(f.dtype).alias(f.name) for f in w.fields]
-        rows = w.view.usable().select(
+        rows = _days_of(w.view, spine, timestamp).select(
             F.col(key).alias("k"),
             slice_of(ts).alias("s"),
             F.col(ts).cast("timestamp").alias("t"),
@@ -202,6 +201,19 @@ def historical_features(
     return joined.filter("side = 1").select("spine.*", *outputs)
 
 
+def _days_of(view: FeatureView, spine: DataFrame, timestamp: str) -> DataFrame:
+    """Rows of the view that a spine can ask for, by day, if its source is partitioned by day."""
+    source = view.usable()
+    if not set(DAY_COLUMNS) <= set(source.columns):
+        return source
+    day = lambda ts: F.struct(F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"))
+    moment, triple = F.col(timestamp).cast("timestamp"), F.struct(*DAY_COLUMNS)
+    source = source.filter(triple <= spine.select(day(F.max(moment))).scalar())
+    if view.ttl:
+        source = source.filter(triple >= spine.select(day(shift(F.min(moment), view.ttl, back=True))).scalar())
+    return source
+
+
 def materialize(
     view: FeatureView, start: datetime | str, end: datetime | str
 ) -> DataFrame:

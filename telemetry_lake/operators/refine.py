@@ -38,7 +38,9 @@ def unique_events(
     if df.isStreaming:
         if watermark is None:
             raise ValueError("de-duplicating a stream needs a watermark delay")
-        return df.withWatermark(ts, watermark).dropDuplicatesWithinWatermark([key])
+        # Rows without an id or a time cannot be compared with others and pass by.
+        rows, comparable = df.withWatermark(ts, watermark), F.col(key).isNotNull() & F.col(ts).isNotNull()
+        return rows.filter(comparable).dropDuplicatesWithinWatermark([key]).unionByName(rows.filter(~comparable))
     # Rows without an id get a number of their own and so stay apart, in the same scan.
     alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id()).alias("_alone")
     rest = [c for c in df.columns if c not in (key, ts)]

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from telemetry_lake.operators.refine import to_gold, to_silver
-from telemetry_lake.sinks.files import upsert_gold, write_gold, write_silver
-from telemetry_lake.sources.landing import read_bronze, read_gold, read_silver
+from telemetry_lake.sinks.files import replace_gold_days, write_gold, write_silver
+from telemetry_lake.sources.landing import between_days, read_bronze, read_gold, read_silver
 from telemetry_lake.sources.tables import check_format
 from telemetry_lake.streaming.ingest import ingest_bronze
 
@@ -35,14 +35,20 @@ def refine_lake(
 
 def refresh_days(
     spark: SparkSession,
-    bronze_rows: DataFrame,
+    bronze_rows: DataFrame | None,
     lake: str,
     first_day: str,
     last_day: str,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Replace the Silver days present in ``bronze_rows`` and upsert their Gold totals."""
-    silver, gold = f"{lake.rstrip('/')}/silver", f"{lake.rstrip('/')}/gold"
-    write_silver(to_silver(bronze_rows), silver, mode="dynamic")
-    upsert_gold(to_gold(read_silver(spark, silver, first_day, last_day)), gold, fmt=fmt)
+    """Rebuild the Silver days from ``first_day`` to ``last_day`` and replace these days in Gold.
+
+    ``bronze_rows`` must hold all rows of these days; None takes the whole Bronze layer. Rows of other
+    days, and rows without a readable time, are left to a refresh of their own: their Silver and
+    Gold stay as they are. A source that has no rows on a day any more loses its total of that day.
+    """
+    bronze, silver, gold = (f"{lake.rstrip('/')}/{layer}" for layer in ("bronze", "silver", "gold"))
+    rows = read_bronze(spark, bronze, fmt) if bronze_rows is None else bronze_rows
+    write_silver(between_days(to_silver(rows), first_day, last_day), silver, mode="dynamic")
+    replace_gold_days(to_gold(read_silver(spark, silver, first_day, last_day)), gold, first_day, last_day, fmt)
     return read_gold(spark, gold, fmt)

@@ -212,6 +212,8 @@ FROM tel"""),
     ),
     "gold_daily_ip": _GOLD,
     "lake_gold": _GOLD,
+    "lake_daily_refresh": _with("SELECT * FROM gold", SILVER.replace(
+        "FROM tel", "FROM tel WHERE NOT ends_with(event_id, '7') OR day(ts) BETWEEN 10 AND 20"), GOLD),
     "gold_upsert": _with("""
 SELECT COALESCE(n.year, o.year) AS year, COALESCE(n.month, o.month) AS month, COALESCE(n.day, o.day) AS day,
        COALESCE(n.src_ip, o.src_ip) AS src_ip,

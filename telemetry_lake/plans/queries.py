@@ -313,6 +313,21 @@ def lake_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine_lake(spark, raw, raw.rsplit("/", 1)[0] + "/lake")
 
 
+@query("lake_daily_refresh")
+def lake_daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the records lands late; then only the days from the 10th to the 20th are refreshed."""
+    from telemetry_lake.plans.medallion import refine_lake, refresh_days
+
+    records, base = telemetry(spark, sf_dir), scratch_dir(spark, "refresh")
+    late = F.col("event_id").endswith("7")
+    for part in (~late, late):
+        write_landing(records.filter(part).select(*TELEMETRY.fieldNames()), f"{base}/ingest", LANDING_FILE_ROWS)
+        if part is not late:
+            refine_lake(spark, f"{base}/ingest", f"{base}/lake")
+    ingest_bronze(spark, f"{base}/ingest", f"{base}/lake/bronze", f"{base}/lake/checkpoints/bronze")
+    return refresh_days(spark, None, f"{base}/lake", "2024-01-10", "2024-01-20")
+
+
 @query("top_ip_days")
 def top_ip_day_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_ip_days(to_gold(to_silver(telemetry(spark, sf_dir))))

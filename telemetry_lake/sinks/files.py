@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from telemetry_lake.schema import DAY_COLUMNS, GOLD_KEYS
-from telemetry_lake.sources.tables import overwrite_table, upsert_table
+from telemetry_lake.sources.landing import days_between
+from telemetry_lake.sources.tables import check_format, latest_version, overwrite_table, read_table, upsert_table
 
 # Rows per landing file and the longest a batch waits.
 LANDING_ROWS = 2_000
@@ -42,5 +44,16 @@ def write_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     overwrite_table(df, path, fmt)
 
 
+def replace_gold_days(df: DataFrame, path: str, first_day: str, last_day: str, fmt: str = "parquet") -> None:
+    """Put ``df`` in the place of all Gold rows from ``first_day`` to ``last_day``."""
+    spark = df.sparkSession
+    if check_format(fmt) == "parquet" and latest_version(spark, path) is None:
+        overwrite_table(df, path, fmt)
+        return
+    current = read_table(spark, path, fmt)
+    others = F.coalesce(~days_between(first_day, last_day), F.lit(True))
+    overwrite_table(current.filter(others).unionByName(df), path, fmt)
+
+
 def upsert_gold(df: DataFrame, path: str, keys: list[str] = GOLD_KEYS, fmt: str = "parquet") -> None:
     upsert_table(df, path, keys, fmt)

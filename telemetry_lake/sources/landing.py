@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from telemetry_lake.schema import CORRUPT, LANDING, SOURCE_FILE
@@ -51,8 +51,8 @@ def between_days(
 ) -> DataFrame:
     """Keep days in ``[first_day, last_day]``.
 
-    The predicate uses partition columns only, so files of other days are never listed
-    into the scan; comparing the (year, month, day) triple keeps it free of date parsing.
+    The predicate uses partition columns only, so files of other days are pruned before they are read;
+    comparing the (year, month, day) triple keeps it free of date parsing.
     """
     triple = F.struct("year", "month", "day")
     if first_day is not None:
@@ -62,6 +62,12 @@ def between_days(
     return df.filter(F.col("year").isNotNull()) if first_day or last_day else df
 
 
+def days_between(first_day: date | str, last_day: date | str) -> Column:
+    """Whether a row's day lies in ``[first_day, last_day]``; NULL or false for a row without a day."""
+    triple = F.struct("year", "month", "day")
+    return F.col("year").isNotNull() & (triple >= _day_triple(first_day)) & (triple <= _day_triple(last_day))
+
+
 def _day_triple(day: date | str):
     day = date.fromisoformat(day) if isinstance(day, str) else day
     parts = {"year": day.year, "month": day.month, "day": day.day}

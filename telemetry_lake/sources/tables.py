@@ -7,6 +7,8 @@ snapshot, so a table can be rewritten from its own contents and a failed write s
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -80,12 +82,14 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], fmt: str = "par
     """Insert new keys and replace existing ones. ``updates`` holds one row per key."""
     spark = updates.sparkSession
     if check_format(fmt) == "delta":
-        updates.createOrReplaceTempView("table_updates")
+        view = f"table_updates_{uuid.uuid4().hex}"
+        updates.createOrReplaceTempView(view)
         match = " AND ".join(f"t.{k} <=> u.{k}" for k in keys)
         spark.sql(
-            f"MERGE INTO delta.`{path}` t USING table_updates u ON {match} "
+            f"MERGE INTO delta.`{path}` t USING {view} u ON {match} "
             "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
         )
+        spark.catalog.dropTempView(view)
         return
     if latest_version(spark, path) is None:
         overwrite_table(updates, path)

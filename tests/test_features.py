@@ -68,20 +68,42 @@ def test_plan_has_no_range_join_and_cuts_keys_into_slices(spark):
     assert "windowspecdefinition(k#" in plan and ", s#" in plan
 
 
-def test_a_large_spine_is_not_used_for_pruning(spark, monkeypatch):
-    from telemetry_lake.operators import features
-
+def test_pruning_is_asked_for(spark):
     view = daily_ip_traffic(silver(spark, [("1", "a", 0, 1), ("1", "b", 0, 2)]))
     asked = spine(spark, [(5, "a", 1), (5, "b", 2)])
     plans = []
-    for bound in (2, 1):
-        monkeypatch.setattr(features, "PRUNE_PAIRS", bound)
-        result = historical_features(asked, REFS, [view])
+    for prune in (True, False):
+        result = historical_features(asked, REFS, [view], prune=prune)
         assert sorted((r.src_ip, r.bytes_sent) for r in result.collect()) == [("a", 1), ("b", 2)]
         plans.append(result._jdf.queryExecution().executedPlan().toString())
     assert "LeftSemi" in plans[0] and "LeftSemi" not in plans[1]
 
 
+def test_days_of_a_stored_silver_are_pruned(spark, folder):
+    from telemetry_lake.functions.time import date_parts
+    from telemetry_lake.sinks import write_silver
+    from telemetry_lake.sources import read_silver
+
+    rows = [("1", "a", 0, 1), ("2", "a", 86_400 * 3, 2), ("3", "a", 86_400 * 9, 3)]
+    write_silver(silver(spark, rows).withColumns(date_parts(F.col("parsed_timestamp"))), f"{folder}/silver")
+    view = daily_ip_traffic(read_silver(spark, f"{folder}/silver"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "frame only")
+    result = historical_features(spine(spark, [(86_400 * 3 + 5, "a", 1)]), REFS, [view])
+    assert tracker.getJobIdsForGroup("build") == []
+    assert [r.bytes_sent for r in result.collect()] == [2]
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
+
+
+def test_a_spine_column_may_not_hide_a_feature(spark):
+    view = daily_ip_traffic(silver(spark, [("1", "a", 0, 1)]))
+    asked = spine(spark, [(0, "a", 1)]).withColumn("bytes_sent", F.lit(1))
+    with pytest.raises(ValueError):
+        historical_features(asked, REFS, [view])
+    assert "daily_ip_traffic__bytes_sent" in historical_features(asked, REFS, [view], full_names=True).columns
+
+
 def test_spine_rows_and_types_are_kept(spark):
     asked = spine(spark, [(0, "a", 1), (0, "a", 1), (0, None, 2)])
     view = daily_ip_traffic(silver(spark, [("1", "a", 0, 7), ("1", None, 0, 9)]))
@@ -139,6 +161,7 @@ def test_online_table_keeps_the_newest(spark, folder):
 
 def test_materialise_prunes_days(spark, folder):
     from telemetry_lake.operators import to_silver
+    from telemetry_lake.functions.time import date_parts
     from telemetry_lake.sinks import write_silver
     from telemetry_lake.sources import read_silver
 

@@ -105,6 +105,35 @@ def test_whole_lake_and_daily_refresh(spark, folder):
     assert [(r.src_ip, r.total_bytes_transferred) for r in gold.collect()] == [("192.168.1.100", 12)]
 
 
+def test_a_refresh_keeps_the_other_days(spark, folder):
+    lake, day = f"{folder}/lake", "2024-01-{:02d}T10:00:00Z".format
+    first = [record(event_id="a", timestamp=day(10), src_ip="a", bytes_sent=1), record(event_id="b", timestamp=day(10), src_ip="b", bytes_sent=2),
+             record(event_id="c", timestamp=day(11), src_ip="c", bytes_sent=3), record(event_id="d", timestamp="soon", src_ip="d", bytes_sent=4)]
+    write_lines(f"{folder}/ingest/1.json.gz", first)
+    refine_lake(spark, f"{folder}/ingest", lake)
+    late = [record(event_id="e", timestamp=day(10), src_ip="a", bytes_sent=10), record(event_id="f", timestamp=day(11), src_ip="b", bytes_sent=20),
+            record(event_id="g", timestamp="07:15:00", src_ip="d", bytes_sent=40)]
+    write_lines(f"{folder}/ingest/2.json.gz", late)
+    ingest_bronze(spark, f"{folder}/ingest", f"{lake}/bronze", f"{lake}/checkpoints/bronze")
+    rows = read_bronze(spark, f"{lake}/bronze").filter("src_ip <> 'c'")
+    gold = refresh_days(spark, rows, lake, "2024-01-11", "2024-01-11")
+    # The late row of the 10th waits for its own refresh, c has vanished from the 11th, rows without a day stay.
+    totals = {(r.day, r.src_ip): r.total_bytes_transferred for r in gold.collect()}
+    assert totals == {(10, "a"): 1, (10, "b"): 2, (11, "b"): 20, (None, "d"): 4}
+    assert spark.read.parquet(f"{lake}/silver").filter("day = 10").count() == 2
+    gold = refresh_days(spark, None, lake, "2024-01-10", "2024-01-11")
+    totals = {(r.day, r.src_ip): r.total_bytes_transferred for r in gold.collect()}
+    assert totals == {(10, "a"): 11, (10, "b"): 2, (11, "b"): 20, (11, "c"): 3, (None, "d"): 4}
+
+
+def test_a_time_of_day_is_no_timestamp(spark):
+    from telemetry_lake.functions.time import event_timestamp
+
+    texts = ["12:30:00", "T07", "2024-01-01", " 2024-01-01T00:00:00Z ", "1704067200", "x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(event_timestamp(F.col("t")).alias("ts")).collect()
+    assert [r.ts is None for r in rows] == [True, True, False, False, False, True]
+
+
 def test_upsert_and_versions(spark, folder):
     path = f"{folder}/gold"
     ddl = "year int, month int, day int, src_ip string, total_bytes_transferred bigint, total_connections bigint"

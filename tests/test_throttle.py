@@ -118,6 +118,19 @@ def test_sink_keeps_locks_between_batches_and_survives_a_rerun(spark, folder):
     assert (lock.fired_at - START).total_seconds() == 1800
 
 
+def test_a_new_checkpoint_does_not_hide_alerts_and_locks_run_out(spark, folder):
+    handle = alert_sink(lambda payload: True, f"{folder}/outbox", f"{folder}/locks", query="first")
+    handle(alerts(spark, [0]), 0)
+    handle = alert_sink(lambda payload: True, f"{folder}/outbox", f"{folder}/locks", query="second")
+    handle(alerts(spark, [5000]), 0)
+    assert at(spark.read.parquet(f"{folder}/outbox")) == [("a", 0), ("a", 5000)]
+    handle(alerts(spark, []), 1)
+    assert not os.path.exists(f"{folder}/outbox/query=second/batch=1")
+    other = alerts(spark, [9000]).withColumn("src_ip", F.lit("b"))
+    handle(other, 2)
+    assert [r.src_ip for r in read_table(spark, f"{folder}/locks").collect()] == ["b"]
+
+
 def test_failing_delivery_is_retried_by_the_next_alert(spark, folder):
     def never(payload):
         return False
