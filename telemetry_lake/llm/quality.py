@@ -123,22 +123,25 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, text: str = "text", key:
 def judge(
     docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """``docs`` with the counts, ``base_failed``, ``score`` and ``kept``; one row for each row.
+    """``docs`` without the text, with the counts, ``base_failed``, ``score`` and ``kept``; one row for each row.
 
     Two passes over the texts without a shuffle of them: the counts of the multinomials, then the scores.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    if clash := {*names, "base_failed", "score", "kept"} & set(docs.columns):
+        raise ValueError(f"the input already has columns {sorted(clash)}")
     weights = F.broadcast(bucket_weights(docs, trusted, text, key))
-    rows = counted(docs, text).drop(text).withColumn("_row", F.monotonically_increasing_id())
-    keep = [c for c in docs.columns if c != text]
+    # The columns of the caller travel as one, so that their names cannot meet those used here.
+    packed = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text]).alias("_own"), F.col(text).alias("_text"))
+    rows = counted(packed, "_text").drop("_text").withColumn("_row", F.monotonically_increasing_id())
     scored = (
         _features(rows, "_words").join(weights, "_bucket", "left")
-        .groupBy("_row", *keep, *names)
+        .groupBy("_row", "_own", *names)
         .agg((F.sum("_weight") / F.count("_bucket")).alias("score"))
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     score = F.coalesce("score", F.lit(0.0))
     return scored.select(
-        *keep, *names, failed.alias("base_failed"), score.alias("score"),
+        "_own.*", *names, failed.alias("base_failed"), score.alias("score"),
         (~failed & (score >= threshold)).alias("kept"),
     )
