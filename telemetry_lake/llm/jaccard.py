@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import components, sized, slices, written
+from telemetry_lake.llm.common import components, release, sized, slices, written
 from telemetry_lake.llm.shingles import sets_of
 
 WORDS, PERCENT = 5, 80
@@ -117,9 +117,12 @@ class Block:
         tokens = np.concatenate(self.sets)
         owner = np.repeat(np.arange(len(self.sets)), self.sizes)
         by = np.argsort(tokens, kind="stable")  # owners stay in order within a list
-        self.tokens, first = np.unique(tokens[by], return_index=True)
-        self.edges = np.append(first, len(tokens))
-        self.owners = owner[by]
+        first = np.flatnonzero(np.concatenate([[True], tokens[by][1:] != tokens[by][:-1]]))
+        begin = np.repeat(first, np.diff(np.append(first, len(tokens))))
+        # Of each set, where the lists of its tokens begin and where it stands in them itself.
+        self.owners, self.begin, self.own = owner[by], np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
+        self.begin[by], self.own[by] = begin, np.arange(len(tokens))
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
 
     def find(self, i: int) -> int:
         while self.parent[i] != i:
@@ -144,27 +147,31 @@ class Block:
                     yield self.ids[q], self.ids[j]
 
     def search(self, q: int, low: int) -> Iterator[int]:
-        n, percent = len(self.sets[q]), self.percent
-        at = np.searchsorted(self.tokens, self.sets[q])
-        lists = []
-        for k in at.tolist():
-            own = self.owners[self.edges[k] : self.edges[k + 1]]
-            own = own[np.searchsorted(own, low) : np.searchsorted(own, q)]
-            if len(own):
-                lists.append(own.tolist())
+        n, percent = self.sizes[q], self.percent
+        part = slice(self.starts[q], self.starts[q + 1])
+        begin, end = self.begin[part], self.own[part]  # lists in front of q
         least = needed(n, self.sizes[low], percent)
-        if len(lists) < least:
+        filled = np.flatnonzero(end > begin)
+        if len(filled) < least:
             return
-        lists.sort(key=len)
-        long = min(least - 1, len(lists), int(least / (0.01 * log2(len(lists[-1]) + 1) + 1)))
-        short, probed = lists[: len(lists) - long], lists[len(lists) - long :]
+        filled = filled[np.argsort((end - begin)[filled], kind="stable")]
+        bounds = list(zip(begin[filled].tolist(), end[filled].tolist(), strict=True))
+        most = bounds[-1][1] - bounds[-1][0]
+        long = min(least - 1, int(least / (0.01 * log2(most + 1) + 1)))
+        cut = len(bounds) - long
+        short = [self.owners[a:b].tolist() for a, b in bounds[:cut]]
+        probed: list[list[int]] = []  # the long lists, as far as a candidate has been looked up in them
         for j, same in groupby(heapq.merge(*short)):
             count, target = sum(1 for _ in same), needed(n, self.sizes[j], percent)
-            if count + long < target or self.find(j) == self.find(q):
+            if j < low or count + long < target or self.find(j) == self.find(q):
                 continue
-            for left, own in zip(range(long, 0, -1), probed, strict=True):
+            for left in range(long, 0, -1):
                 if count >= target or count + left < target:
                     break
+                if len(probed) <= long - left:
+                    a, b = bounds[cut + len(probed)]
+                    probed.append(self.owners[a:b].tolist())
+                own = probed[long - left]
                 k = bisect_left(own, j)
                 count += k < len(own) and own[k] == j
             if count >= target:
@@ -223,22 +230,27 @@ def blocks_of(lists: DataFrame) -> DataFrame:
     return whole.union(single)
 
 
+def _classes(sets: DataFrame) -> DataFrame:
+    """``(digest, n, tokens, rep)`` of each distinct set; copies are combined before the shuffle."""
+    rows = sets.filter("n > 0 AND id IS NOT NULL")
+    return rows.groupBy("digest", "n").agg(F.min_by("tokens", "id").alias("tokens"), F.min("id").alias("rep"))
+
+
 def join_similar(
     docs: DataFrame, size: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """``(key, n_shingles, component_id)`` for each row: size of its set, and the smallest id linked to it."""
     sets = written(shingle_sets(docs, size, percent, text, key), "jaccard-sets")
-    classes = (
-        sets.filter("n > 0 AND id IS NOT NULL").groupBy("digest", "n")
-        .agg(F.min_by("tokens", "id").alias("tokens"), F.min("id").alias("rep"))
-    )
-    lists = written(candidate_lists(classes, percent), "jaccard-lists")
+    lists = written(candidate_lists(_classes(sets), percent), "jaccard-lists")
+    release(docs.sparkSession)
     blocks = written(blocks_of(lists), "jaccard-blocks")
+    release(docs.sparkSession)
     asked = sized(written(blocks.select("rep").distinct(), "jaccard-asked"))
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text")).join(asked, "rep")
     full = shingle_sets(texts, size, percent, "_text", "rep", whole=True).filter("n > 0")
     full = written(full.select(F.col("id").alias("rep"), "tokens").dropDuplicates(["rep", "tokens"]), "jaccard-full")
     links = written(class_links(full, blocks, percent), "jaccard-links")
+    release(docs.sparkSession)
     labels = components(links, "jaccard-components")
     # Classes of more than one row, or linked with another one; all other rows stand for themselves.
     many = sets.filter("n > 0").groupBy("digest", "n").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
