@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import SPACES, sized, written
+from telemetry_lake.llm.common import SPACES, release, sized, written
 
 PERCENT, LEAST_WORDS = 80, 5
 # Buckets in which the words of the corpus are counted for their order.
@@ -103,6 +103,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     repeats = written(repeats, "line-repeats")
     gone = repeats.groupBy("id", "sum").agg(F.collect_set("pos").alias("gone"))
     gone = sized(written(gone, "line-gone"), F.size("gone"))
+    release(docs.sparkSession)
     firsts = rows.join(gone, (rows["id"].eqNullSafe(gone["id"])) & (rows["sum"] == gone["sum"]), "left").select(
         rows["id"], rows["sum"], "text", "gone")
 
@@ -118,6 +119,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     head = F.struct(_order("id", "pos").alias("at"), "k1", "k2", "n", "i")
     shared = posted.withColumn("df", F.count("*").over(by_word)).filter("df > 1").withColumn("head", F.min(head).over(by_word))
     shared = written(shared, "line-shared")
+    release(docs.sparkSession)
 
     # With the first line that has the word.
     star = shared.select("id", "pos", *KEY, "n", "i", F.col("head.at").alias("at"), F.col("head.k1").alias("e1"),
@@ -125,6 +127,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     star = star.filter((_order("id", "pos") > F.col("at")) & _may_match("", "h", percent)).select(*KEY, "e1", "e2").distinct()
     star = written(star, "line-star")
     matched = written(_verified(star, _sets_of(star, firsts, "line-star-sets"), percent), "line-star-matched")
+    release(docs.sparkSession)
 
     # Those left with all others in front of them.
     left = shared.filter("df > 2").join(matched, KEY, "left_anti").filter(_order("id", "pos") > F.col("head.at"))
@@ -133,6 +136,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
         "w", _order("id", "pos").alias("at"), F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("n").alias("en"), F.col("i").alias("ei"))
     rest = left.join(other, "w").filter((_order("id", "pos") > F.col("at")) & _may_match("q", "e", percent))
     rest = written(rest.select(*KEY, "e1", "e2").distinct().join(star, [*KEY, "e1", "e2"], "left_anti"), "line-rest")
+    release(docs.sparkSession)
     more = _verified(rest, _sets_of(rest, firsts, "line-rest-sets"), percent)
 
     similar = shared.select("id", "sum", "pos", *KEY).distinct().join(matched.union(more).distinct(), KEY).select("id", "sum", "pos")
