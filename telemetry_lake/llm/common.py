@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +44,10 @@ def sized(df: DataFrame, weight: Column | None = None) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps, whose frames are no longer referred to."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # Python lets go of the frames first, which the JVM learns a moment later
+        gc.collect()
+        time.sleep(0.2)
+        spark.sparkContext._jvm.System.gc()
 
 
 def lower_ascii(text: Column) -> Column:

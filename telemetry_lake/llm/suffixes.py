@@ -260,8 +260,8 @@ def _sorted_minima(distinct: DataFrame, length: int) -> DataFrame:
 
 
 def _cut(rows: DataFrame, length: int) -> DataFrame:
-    """Adds ``n_bytes``, ``spans`` (start and end of removed runs) and ``kept``, from ``starts`` and ``copy``."""
-    names = [c for c in rows.columns if c not in ("text", "starts", "copy", "sum")]
+    """Adds ``n_bytes``, ``spans`` (start and end of removed runs) and ``kept``, from ``gone`` and ``copy``."""
+    names = [c for c in rows.columns if c not in ("text", "gone", "copy", "sum")]
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]), False)
     schema = T.StructType([*[rows.schema[c] for c in names], T.StructField("n_bytes", T.LongType(), False),
                            T.StructField("spans", spans, False), T.StructField("kept", T.BinaryType(), False)])
@@ -271,16 +271,14 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
                 sizes, found, kept = [], [], []
-                for text, starts, copy in zip(part.column("text").cast(pa.large_binary()), part.column("starts"),
-                                              part.column("copy"), strict=True):
+                for text, gone, copy in zip(part.column("text").cast(pa.large_binary()), part.column("gone"),
+                                            part.column("copy"), strict=True):
                     raw = text.as_py()
                     own = []
                     if copy.as_py() and len(raw) >= length:
                         own = [(0, len(raw))]
-                    elif starts.is_valid and len(starts):
-                        at = np.unique(np.asarray(starts.values))
-                        split = np.flatnonzero(np.diff(at) > length) + 1
-                        own = [(int(a[0]), int(a[-1]) + length) for a in np.split(at, split)]
+                    elif gone.is_valid:
+                        own = [(span["start"], span["end"]) for span in gone.as_py()]
                     pieces, done = [], 0
                     for a, b in own:
                         pieces.append(raw[done:a])
@@ -302,14 +300,40 @@ def _shared_anchors(search: DataFrame, length: int) -> DataFrame:
     return shared.groupBy("id", "sum").agg(F.collect_list("hash").alias("hashes"))
 
 
-def _removed_starts(contexts: DataFrame, minima: DataFrame) -> DataFrame:
-    """Of each text the starts of removed strings, ``(id, sum, starts)``."""
+def _runs(found: DataFrame) -> DataFrame:
+    """Runs of removed string starts, ``(id, sum, first, last)``, of contexts at ``start`` with their ``minima``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = np.diff(batch.column("minima").offsets.to_numpy())
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            gone = batch.column("minima").flatten().to_numpy() < batch.column("id").to_numpy()[row]
+            row, at = row[gone], batch.column("start").to_numpy()[row[gone]] + within[gone]
+            fresh = np.concatenate([[True], (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)])[: len(row)]
+            last = np.append(np.flatnonzero(fresh)[1:], len(row)) - 1 if len(row) else np.zeros(0, np.int64)
+            own = pa.array(row[fresh])
+            columns = [batch.column("id").take(own), batch.column("sum").take(own), pa.array(at[fresh], pa.int64()), pa.array(at[last], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "sum", "first", "last"])
+
+    schema = [found.schema["id"], *[T.StructField(name, T.LongType()) for name in ("sum", "first", "last")]]
+    return found.mapInArrow(run, T.StructType(schema))
+
+
+def _spans(runs: DataFrame, length: int) -> DataFrame:
+    """The removed spans of each text, ``(id, sum, spans)``: runs in order, put together where their strings overlap
+    or touch. A text's runs are sorted by Spark, however many there are."""
+    of_text = Window.partitionBy("id", "sum").orderBy("first", "last")
+    ahead = F.max("last").over(of_text.rowsBetween(Window.unboundedPreceding, -1))
+    parted = runs.withColumn("new", (ahead.isNull() | (F.col("first") > ahead + length)).cast("int"))
+    parted = parted.withColumn("span", F.sum("new").over(of_text.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = parted.groupBy("id", "sum", "span").agg(F.min("first").alias("start"), (F.max("last") + length).alias("end"))
+    return spans.groupBy("id", "sum").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("gone"))
+
+
+def _removed_spans(contexts: DataFrame, minima: DataFrame, length: int) -> DataFrame:
     found = contexts.select("id", "sum", "start", "hash", F.xxhash64("context").alias("digest")).join(minima, ["hash", "digest"])
-    starts = F.filter(
-        F.transform("minima", lambda least, i: F.when(least < F.col("id"), F.col("start") + i)), lambda s: s.isNotNull()
-    )
-    found = found.select("id", "sum", starts.cast("array<int>").alias("starts")).filter(F.size("starts") > 0)
-    return found.groupBy("id", "sum").agg(F.flatten(F.collect_list("starts")).alias("starts"))
+    return _spans(_runs(found.select("id", "sum", "start", "minima")), length)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -329,7 +353,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
     release(spark)
     minima = written(_sorted_minima(contexts.groupBy("hash", "context").agg(F.min("id").alias("owner")), length), "suffix-minima")
     release(spark)
-    starts = sized(written(_removed_starts(contexts, minima), "suffix-starts"), F.size("starts"))
+    gone = sized(written(_removed_spans(contexts, minima, length), "suffix-spans"), 2 * F.size("gone"))
     release(spark)
-    final = rows.join(starts, ["id", "sum"], "left").join(copies, ["id", "sum"], "left")
+    final = rows.join(gone, ["id", "sum"], "left").join(copies, ["id", "sum"], "left")
     return _cut(final, length).withColumnRenamed("id", key)
