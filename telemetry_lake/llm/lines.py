@@ -6,10 +6,10 @@ input, removed ones included. Lines of fewer than ``LEAST_WORDS`` different word
 
 1. Lines with equal sets are one class; all but its first line go. The first lines take part in the join.
 2. The words of a line are ordered by rarity: by how often their hash bucket occurs in the corpus, then by hash, an
-   order that all lines share. Of n words the first n - ceil(t n) + 1 are the prefix; similar lines share one of it.
+   order that all lines share. Of n words the first n - ceil(t n) + 3 are the prefix; similar lines share three of it.
 3. Prefix words that two lines have are kept. Every line is compared with the first line that has the word,
-   then those still unmatched with the other lines in front of them. Length and positional filters
-   come with the join, so that pairs which cannot reach the similarity are never made.
+   then those still unmatched with the other lines in front of them that share three words. Length and
+   positional filters come with the join, so that pairs which cannot reach the similarity are never made.
 4. The Jaccard similarity of the pairs left is verified on the whole sets.
 
 So a cluster of many versions of one line is settled by comparisons with its first line and not by all its pairs.
@@ -28,6 +28,8 @@ from pyspark.sql.window import Window
 from telemetry_lake.llm.common import SPACES, release, sized, written
 
 PERCENT, LEAST_WORDS = 80, 5
+# Prefix words that similar lines have in common at least; the prefix is longer by this number less one.
+SHARED = 3
 # Buckets in which the words of the corpus are counted for their order.
 RARITY_BUCKETS = 1 << 16
 KEY = ["k1", "k2"]
@@ -68,7 +70,7 @@ def _may_match(a: str, b: str, percent: int) -> Column:
     """Length and positional filter on two rows of one prefix word, its first common one or not."""
     n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}i"), F.col(f"{b}i")
     fits = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
-    return fits & (1 + F.least(n - i - 1, m - j - 1) >= _overlap(n, m, percent))
+    return fits & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= _overlap(n, m, percent))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -112,7 +114,7 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     ranked = F.array_sort(F.transform("words", lambda w: F.struct(
         F.substr(levels, F.pmod(w, F.lit(RARITY_BUCKETS)).cast("int") + 1, F.lit(1)).alias("n"), w.alias("w"))))
     n = F.size("words")
-    prefix = F.slice(ranked, 1, (n - F.ceil(percent * n / 100) + 1).cast("int"))
+    prefix = F.slice(ranked, 1, F.least(n, n - F.ceil(percent * n / 100) + SHARED).cast("int"))
     posted = _keyed(_lines(firsts)).select("id", "sum", "pos", *KEY, n.alias("n"), F.posexplode(prefix).alias("i", "p"))
     posted = posted.select("id", "sum", "pos", *KEY, "n", "i", F.col("p.w").alias("w"))
     by_word = Window.partitionBy("w")
@@ -135,7 +137,11 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     other = shared.filter("df > 2").filter(_order("id", "pos") > F.col("head.at")).select(
         "w", _order("id", "pos").alias("at"), F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("n").alias("en"), F.col("i").alias("ei"))
     rest = left.join(other, "w").filter((_order("id", "pos") > F.col("at")) & _may_match("q", "e", percent))
-    rest = written(rest.select(*KEY, "e1", "e2").distinct().join(star, [*KEY, "e1", "e2"], "left_anti"), "line-rest")
+    # A pair with the first line of a word has been verified; all its other words in common are counted here.
+    pair = [*KEY, "e1", "e2"]
+    rest = rest.groupBy(*pair).agg(F.count("*").alias("shared"), F.max(F.least("qn", "en")).alias("least"))
+    rest = rest.filter(F.col("shared") >= F.least(F.lit(SHARED), "least")).select(*pair)
+    rest = written(rest.join(star, pair, "left_anti"), "line-rest")
     release(docs.sparkSession)
     more = _verified(rest, _sets_of(rest, firsts, "line-rest-sets"), percent)
 
