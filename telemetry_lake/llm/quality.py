@@ -1,8 +1,9 @@
 """Quality rules: counted defects of every text, and a log-likelihood ratio between trusted and raw text.
 
 Words and pairs of neighbouring words are hashed into a fixed number of buckets. Two multinomials over the
-buckets are counted: the trusted target (texts labelled good) and the raw corpus (all texts). The score of a
-text is the mean of log(target / raw) over its words and pairs, so that length does not matter; a text is
+buckets are counted: the trusted target (texts labelled good) and the raw corpus (all texts). Both count each
+distinct text once: copies share one occurrence, which is in the target if any of them is labelled good, so
+that how often a text was copied says nothing against its words. The score of a text is the mean of log(target / raw) over its words and pairs, so that length does not matter; a text is
 kept if the counted defects are in bounds and the score reaches a fixed threshold. Only DataFrame functions.
 
 Defined results: NULL and empty texts have no words and fail; a repeated row is judged like the first; a text of
@@ -18,8 +19,10 @@ from pyspark.sql import functions as F
 from telemetry_lake.llm.common import SPACES, sized, written
 
 BUCKETS = 1 << 15
-# Occurrences added to a bucket, in target and raw alike: a bucket of little evidence speaks neither way.
-SMOOTHING = 10.0
+# Occurrences added to a bucket, in target and raw alike: a bucket of little evidence speaks neither way. They are
+# a share of the target's mean count in a bucket, so that verdicts do not sharpen with the size of the input; below
+# SMOOTHING occurrences no bucket is believed, however small the input.
+SMOOTHING, SMOOTHING_SHARE = 10.0, 1 / 8
 # Least mean log-likelihood ratio of a text that is kept.
 THRESHOLD = -0.1
 WINDOW = 8
@@ -101,14 +104,23 @@ def _features(df: DataFrame, words: str) -> DataFrame:
 
 
 def bucket_weights(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(_bucket, _weight)``: log-likelihood ratio of each bucket, over all texts. ``trusted`` has the ids of the target."""
+    """``(_bucket, _weight)``: log-likelihood ratio of each bucket, over all distinct texts. ``trusted`` has the ids of the target."""
     ids = sized(written(trusted.select(F.col(key).alias("_id")).filter("_id IS NOT NULL").distinct(), "trusted"))
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(ids, F.col("_key") == F.col("_id"), "left")
+    rows = docs.select(
+        F.col(key).alias("_key"), F.col(text).alias("_text"), F.unhex(F.md5(F.coalesce(text, F.lit("")))).alias("_digest")
+    )
+    rows = rows.join(ids, F.col("_key") == F.col("_id"), "left").withColumn("_target", F.col("_id").isNotNull().cast("double"))
+    # Texts with copies, counted by their digests; copies are combined before the shuffle.
+    copied = rows.groupBy("_digest").agg(F.count("*").alias("_copies"), F.max("_target").alias("_any")).filter("_copies > 1")
+    copied = sized(written(copied.withColumnRenamed("_digest", "_same"), "copied-texts"))
+    rows = rows.join(copied, F.col("_digest") == F.col("_same"), "left")
+    share = F.coalesce(1 / F.col("_copies"), F.lit(1.0))
     words = F.array_remove(F.split(F.coalesce("_text", F.lit("")), SPACES), "")
-    rows = _bind(rows.select(F.col("_id").isNotNull().cast("long").alias("_target"), "_text"), "_words", words)
+    rows = rows.select(share.alias("_share"), (share * F.coalesce("_any", "_target")).alias("_target"), "_text")
+    rows = _bind(rows, "_words", words)
     counts = (
-        _features(rows.select("_target", "_words"), "_words").filter("_bucket IS NOT NULL")
-        .groupBy("_bucket").agg(F.count("*").alias("raw"), F.sum("_target").alias("target"))
+        _features(rows.select("_share", "_target", "_words"), "_words").filter("_bucket IS NOT NULL")
+        .groupBy("_bucket").agg(F.sum("_share").alias("raw"), F.sum("_target").alias("target"))
     )
     counts = written(counts, "buckets")  # at most BUCKETS rows
     sums = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
@@ -116,7 +128,8 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, text: str = "text", key:
         return counts.select("_bucket", F.lit(0.0).alias("_weight"))
     # The raw multinomial, scaled to the target's size, so that both sides count the same number of words.
     expected = F.col("raw") * F.lit(sums.target / sums.raw)
-    ratio = (F.col("target") + SMOOTHING) / (expected + SMOOTHING)
+    smoothing = max(SMOOTHING, SMOOTHING_SHARE * sums.target / BUCKETS)
+    ratio = (F.col("target") + smoothing) / (expected + smoothing)
     return counts.select("_bucket", F.log(ratio).alias("_weight"))
 
 
@@ -125,7 +138,8 @@ def judge(
 ) -> DataFrame:
     """``docs`` without the text, with the counts, ``base_failed``, ``score`` and ``kept``; one row for each row.
 
-    Two passes over the texts without a shuffle of them: the counts of the multinomials, then the scores.
+    Three passes over the texts: their digests, the counts of the multinomials, and the scores. The texts are not
+    shuffled while those with copies are few.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     if clash := {*names, "base_failed", "score", "kept"} & set(docs.columns):

@@ -238,3 +238,47 @@ def test_model_queries_on_held_out_rows(spark):
     high, low = ([r.score for r in rows if toxic[r.doc_id] == y] for y in (1, 0))
     # 45 toxic examples are few; the order of the scores has to be right nevertheless.
     assert sum((a > b) + 0.5 * (a == b) for a in high for b in low) >= 0.8 * len(high) * len(low)
+
+
+def copied_corpus():
+    # Labelled good and unlabelled texts of one vocabulary, junk of another, and a clean text nobody labelled.
+    good = [(i, prose(i, 80, 300)) for i in range(200)]
+    junk = [(1_000 + i, " ".join(f"{w}$" for w in prose(i, 80, 300).split())) for i in range(100)]
+    return good, junk, " ".join(f"clean{i}" for i in range(60))
+
+
+def test_quality_counts_a_text_once_however_often_it_is_copied(spark):
+    good, junk, clean = copied_corpus()
+    trusted = spark.createDataFrame([(i,) for i, _ in good[:150]], "doc_id bigint")
+    once = documents(spark, [*good, *junk, (10_000, clean)])
+    often = documents(spark, [*good, *junk, *[(10_000 + i, clean) for i in range(3_000)]])
+    single = {r.doc_id: r for r in quality.judge(once, trusted).collect()}
+    many = {r.doc_id: r for r in quality.judge(often, trusted).collect()}
+    assert all(many[10_000 + i].kept for i in range(3_000)) and not any(many[i].kept for i, _ in junk)
+    assert all(r.kept == many[i].kept and abs(r.score - many[i].score) < 1e-9 for i, r in single.items())
+
+
+@pytest.mark.parametrize("broadcast", [10**6, 0])
+def test_quality_verdicts_do_not_depend_on_repeats_of_the_corpus(spark, monkeypatch, broadcast):
+    monkeypatch.setattr("telemetry_lake.llm.common.BROADCAST_ROWS", broadcast)
+    good, junk, clean = copied_corpus()
+    rows = [*good, *junk, (10_000, clean), (10_001, None), (None, "")]
+    trusted = spark.createDataFrame([(i,) for i, _ in good[:150]], "doc_id bigint")
+    single = {r.doc_id: r for r in quality.judge(documents(spark, rows), trusted).collect()}
+    tenfold = documents(spark, [(i and i + 100_000 * k, t) for i, t in rows for k in range(10)])
+    got = quality.judge(tenfold, trusted).collect()
+    assert len(got) == 10 * len(rows)
+    for r in got:  # copies are judged alike, and as the text is that stands alone
+        own = single[r.doc_id and r.doc_id % 100_000]
+        assert abs(r.score - own.score) < 1e-9 and r.kept == own.kept
+
+
+def test_quality_smoothing_follows_the_target(spark, monkeypatch):
+    # Four times the distinct texts of the same words: a word that no trusted text has weighs the same.
+    monkeypatch.setattr(quality, "SMOOTHING", 1e-3)
+    least = []
+    for times in (1, 4):
+        rows = [(1_000 * k + i, f"{('a b ', 'a c ')[i % 2] * 20}n{i}t{k}") for k in range(times) for i in range(100)]
+        trusted = spark.createDataFrame([(i,) for i, _ in rows if i % 4 == 0], "doc_id bigint")
+        least.append(min(r["_weight"] for r in quality.bucket_weights(documents(spark, rows), trusted).collect()))
+    assert abs(least[0] - least[1]) < 1e-6
