@@ -8,7 +8,9 @@
    d + 1 rarest shingles of its lead; a partner has one of them at least.
 3. Classes that share such a shingle, directly or through others, form a group of candidates (lists of similar
    length only). A group is cut into chunks of a bounded number of shingles, and each pair of chunks is a block of its
-   own; where fewer sets are sent that way, the lists take the place of the group. No row holds a pair.
+   own; where fewer sets are sent that way, the lists take the place of the group: a block is a chunk of those that
+   chose the shingle and a chunk of its list, or two chunks of the list where most chose it. Chunks are dealt by hash,
+   so a block has about two chunks of shingles at most, or one set that is longer. No row holds a pair.
 4. In a block each document searches the inverted index of the whole sets with DivideSkip: the longest lists are
    set aside, the short ones are merged with a heap, and documents that occur often enough are looked up in the
    long ones by binary search until the needed overlap is reached or out of reach. Only links that
@@ -210,7 +212,13 @@ def blocks_of(lists: DataFrame) -> DataFrame:
     chunks = lambda weight: F.ceil(F.col(weight) / CHUNK_SHINGLES)
     classes = members.select("node", "rep", "n").distinct().join(groups, "node")
     size = classes.groupBy("component").agg(F.sum("n").alias("total"))
-    sent = F.when(F.col("chosen"), chunks("weight")).otherwise(1)
+    # Of a list of several chunks, those that chose its shingle are cut into chunks of their own.
+    asking = members.filter("chosen").filter(F.col("weight") > CHUNK_SHINGLES).groupBy("token").agg(F.sum("n").alias("asked"))
+    asking = sized(written(asking.withColumnRenamed("token", "_token"), "jaccard-asking"))
+    members = members.join(asking, F.col("token") == F.col("_token"), "left")
+    members = members.withColumn("c", chunks("weight")).withColumn("k", F.coalesce(chunks("asked"), F.lit(1)))
+    most = 2 * F.col("k") > F.col("c")
+    sent = F.when(most, F.col("c")).when(F.col("chosen"), F.col("c") + F.col("k") - 1).otherwise(F.col("k"))
     listed = members.join(groups, "node").groupBy("component").agg(F.sum(F.col("n") * sent).alias("listed"))
     plan = size.join(listed, "component").select(
         "component", "total", (F.col("listed") < F.col("total") * chunks("total")).alias("by_list")
@@ -222,10 +230,16 @@ def blocks_of(lists: DataFrame) -> DataFrame:
     whole = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
     name = lambda *parts: F.concat_ws("/", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
     whole = whole.select("rep", name(F.lit("g"), "component", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string")).alias("block"))
-    # Of a list only the classes that chose its shingle meet the others: they are in every chunk.
+    # Of a list only the classes that chose its shingle have to meet the others: a block per pair of a chunk of these
+    # and a chunk of the list. Where most of a list chose, it is cut like a group.
     single = placed.filter("by_list").select("node").join(members, "node")
-    single = single.withColumn("c", chunks("weight")).withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("c")))
-    places = F.when(F.col("chosen"), F.sequence(F.lit(0), F.col("c") - 1)).otherwise(F.array("mine"))
+    single = single.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("c"))).withColumn("asks", F.pmod(F.xxhash64("rep"), F.col("k")))
+    upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
+    place = lambda i, j: F.concat_ws("/", i.cast("string"), j.cast("string"))
+    met = F.transform(upto("k"), lambda i: place(i, F.col("mine")))
+    meets = F.transform(upto("c"), lambda j: place(F.col("asks"), j))
+    paired = F.transform(upto("c"), lambda j: place(F.least("mine", j), F.greatest("mine", j)))
+    places = F.when(most, paired).when(F.col("chosen"), F.array_union(met, meets)).otherwise(met)
     single = single.withColumn("place", F.explode(places)).select("rep", name(F.lit("t"), "token", "place").alias("block"))
     return whole.union(single)
 

@@ -59,6 +59,25 @@ def test_jaccard_components(spark, monkeypatch, size, percent, chunk, broadcast)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles) for r in got) == sizes
 
 
+@pytest.mark.parametrize("share", [1.0, 0.5, 0.04])
+def test_blocks_of_a_list_are_bounded_and_join_all_who_chose(spark, monkeypatch, share):
+    # Two lists of 400 classes of 20 shingles, joined by one class; a share of each list chose its shingle.
+    monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", 1_000)
+    rnd = random.Random(4)
+    rows = [(token, 400 * token + i, 20, i == 0 or rnd.random() < share) for token in (0, 1) for i in range(400)]
+    rows.append((1, 0, 20, True))
+    lists = spark.createDataFrame(rows, "token bigint, rep bigint, n bigint, chosen boolean")
+    inside = {}
+    for r in jaccard.blocks_of(lists).collect():
+        inside.setdefault(r.block, []).append(r.rep)
+    assert all(len(v) == len(set(v)) for v in inside.values())
+    assert all(b.startswith("t/") for b in inside) and max(map(len, inside.values())) * 20 <= 3_000
+    met = {(a, b) for v in inside.values() for a in v for b in v}
+    for token in (0, 1):
+        own = [(rep, chosen) for t, rep, _, chosen in rows if t == token]
+        assert all((a, b) in met for a, chosen in own if chosen for b, _ in own)
+
+
 def test_divide_skip_finds_every_link():
     rnd = random.Random(3)
     sets = [np.unique(np.array([rnd.randrange(60) for _ in range(rnd.randrange(5, 40))], np.uint64)) for _ in range(60)]
