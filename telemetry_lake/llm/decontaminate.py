@@ -9,8 +9,9 @@ taken, a prefix of eight bytes thins it out, and direct comparison confirms the
 The jumps are made for many stretches of text at once: each stretch has a cursor, and one numpy step moves
 every cursor by its own shift.
 
-Defined results: NULL and empty texts have no words and no hits; NULL items and items without words have no
-patterns; equal items are all reported; repeated documents are reported alike; an empty benchmark hits nothing.
+Defined results: NULL and empty texts have no words and no hits; items of NULL text or without words have no
+patterns; an item without an id marks hit words like any other, and is not in the item ids; equal items are all
+reported; repeated documents are reported alike; an empty benchmark hits nothing.
 Columns of the input other than the text are kept, and must not bear one of the names added.
 """
 
@@ -142,8 +143,8 @@ class WuManber:
 class Matcher:
     """All table sets of a block of benchmark items ``(item_id, text)``."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW):
-        owners: dict[bytes, list[str]] = {}
+    def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
+        owners: dict[bytes, list[str | None]] = {}
         for item, text in items:
             for pattern in patterns_of(text, window):
                 owners.setdefault(pattern, []).append(item)
@@ -185,7 +186,7 @@ def search(column: pa.Array, blocks: list) -> list[tuple[int, int, list[tuple[in
     upto = np.concatenate([[0], np.cumsum(begins)])  # words that begin before a position
     first_word = upto[np.append(starts, size)]
     marks = np.zeros(int(upto[-1]) + 1, np.int64)
-    items: dict[int, set[str]] = {}
+    items: dict[int, set[str | None]] = {}
     for block in blocks:
         matcher = _matcher(block)
         for start, number in matcher.find(padded, size):
@@ -203,7 +204,7 @@ def search(column: pa.Array, blocks: list) -> list[tuple[int, int, list[tuple[in
         if doc in items:
             edges = np.flatnonzero(np.diff(np.concatenate([[False], hit[a:b], [False]]).astype(np.int8)))
             spans = [(int(x), int(y) - 1) for x, y in zip(edges[::2], edges[1::2], strict=True)]
-        out.append((b - a, int(total[b] - total[a]), spans, sorted(items.get(doc, ()))))
+        out.append((b - a, int(total[b] - total[a]), spans, sorted(items.get(doc, set()) - {None})))
     return out
 
 
@@ -219,7 +220,7 @@ def find_contamination(
         raise ValueError(f"the input already has columns {sorted(clash)}")
     context = docs.sparkSession.sparkContext
     blocks, own, total = [], [], 0
-    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("item IS NOT NULL").orderBy("item")
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").orderBy("item")
 
     def close() -> None:
         blocks.append(context.broadcast((hash((len(blocks), id(blocks), tuple(own))), list(own), window)))

@@ -115,6 +115,16 @@ def test_decontamination(spark, monkeypatch, block):
     assert decontaminate.find_contamination(documents(spark, []), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("block", [16 << 20, 60])
+def test_benchmark_items_without_an_id_are_hit(spark, monkeypatch, block):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+    passages = [prose(i, 12) for i in range(3)]
+    benchmark = spark.createDataFrame([(None, passages[0]), (None, passages[1]), (7, passages[1]), (8, passages[2]), (None, None)], "item_id bigint, text string")
+    rows = [(i, f"{prose(10 + i, 9)} {t} {prose(20 + i, 9)}") for i, t in enumerate([*passages, ""])]
+    got = {r.doc_id: r for r in decontaminate.find_contamination(documents(spark, rows), benchmark).collect()}
+    assert [(got[i].n_hit, got[i].item_ids) for i in range(4)] == [(12, []), (12, ["7"]), (12, ["8"]), (0, [])]
+
+
 def brute_counts(text):
     w = re.findall(BLANK, text or "")
     c = collections.Counter(tuple(w[i : i + 8]) for i in range(len(w) - 7))
