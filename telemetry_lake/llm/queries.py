@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from telemetry_lake.llm import language, toxicity
+from telemetry_lake.llm import language, span_queries, toxicity
 from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import table
 from telemetry_lake.llm.decontaminate import find_contamination
@@ -136,6 +136,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_decontamination": op10_decontamination,
+    **span_queries.QUERIES,
 }
 
 # The words of a text, numbered from 0, for both tables.
@@ -146,6 +147,7 @@ _WORDS = r"""
           FROM {table}) WHERE len(w) > 0"""
 
 ORACLES = {
+    **span_queries.ORACLES,
     "op8_line_dedup": r"""
 WITH l AS (
     SELECT doc_id, p, parts[p] AS line,
