@@ -5,7 +5,9 @@ from telemetry_lake.operators.features import (
     daily_ip_traffic,
     historical_features,
     materialize,
+    materialize_views,
     online_features,
+    view_of,
     write_online,
 )
 from telemetry_lake.operators.labels import anomalous_daily, anomaly_rates, label_anomalies, port_scans
@@ -34,6 +36,7 @@ __all__ = [
     "historical_features",
     "label_anomalies",
     "materialize",
+    "materialize_views",
     "new_locks",
     "online_features",
     "parse_events",
@@ -49,5 +52,6 @@ __all__ = [
     "unique_events",
     "unlocked",
     "validate",
+    "view_of",
     "write_online",
 ]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 from telemetry_lake.functions.time import seconds_of, shift
 from telemetry_lake.schema import DAY_COLUMNS
 from telemetry_lake.sources.landing import between_days
-from telemetry_lake.sources.tables import latest_version, overwrite_table, read_table
-
+from telemetry_lake.sources.buckets import Layout, upsert_buckets
+from telemetry_lake.sources.tables import check_format, overwrite_table, read_table
 
+# Slices of a key's timeline that a block holds, and buckets of an online table.
+BLOCK, BUCKETS = 4096, 64
 
 @dataclass(frozen=True)
 class Entity:
@@ -22,7 +24,6 @@ class Entity:
 
     name: str
     join_key: str
-    description: str = ""
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,9 @@ class FeatureView:
     """Time-stamped feature rows of one entity.
 
     ``ttl`` of ``None`` or zero never expires. ``tie_break`` orders rows of equal time; the
-    higher value is the newer one.
+    higher value is the newer one. ``where`` restricts the rows of a source that several views share.
+    ``stored_by_day`` says that the source reads a table partitioned by year, month and day, so that
+    bounds on these columns spare files. Only ``online`` views are materialised and looked up.
     """
 
     name: str
@@ -47,7 +50,8 @@ class FeatureView:
     ttl: timedelta | None = timedelta(days=1)
     tie_break: str | None = "event_id"
     online: bool = True
-    tags: Mapping[str, str] = field(default_factory=dict)
+    where: str | None = None
+    stored_by_day: bool = False
 
     @property
     def key(self) -> str:
@@ -66,20 +70,25 @@ class FeatureView:
         return F.col(self.tie_break).cast("string") if self.tie_break else F.lit(None).cast("string")
 
     def usable(self) -> DataFrame:
-        return self.source.filter(F.col(self.key).isNotNull() & F.col(self.timestamp_field).isNotNull())
+        rows = self.source.filter(F.col(self.key).isNotNull() & F.col(self.timestamp_field).isNotNull())
+        return rows.filter(self.where) if self.where else rows
+
+    def order(self) -> Column:
+        """What makes one of two rows of a key the newer one."""
+        return F.struct(F.col(self.timestamp_field).cast("timestamp").alias("at"), self.tie().alias("tie"))
 
 
-SRC_IP = Entity("src_ip", "src_ip", "Source address of the traffic")
+SRC_IP = Entity("src_ip", "src_ip")
 
 
-def daily_ip_traffic(silver: DataFrame) -> FeatureView:
-    """Per-event traffic features of a source, fresh for one day."""
+def daily_ip_traffic(silver: DataFrame, stored: bool = False) -> FeatureView:
+    """Per-event traffic features of a source, fresh for one day; ``stored`` says that ``silver`` is a table by day."""
     return FeatureView(
         name="daily_ip_traffic",
         entity=SRC_IP,
         source=silver,
         fields=(Field("bytes_sent"), Field("latency_ms")),
-        tags={"team": "network_security"},
+        stored_by_day=stored,
     )
 
 
@@ -127,10 +136,12 @@ def historical_features(
     The timeline of each key is cut into slices and the join runs inside (key, slice), so one
     key holding most of the rows is spread over its slices. What a slice needs from the past
     is a single row: the last feature before it, taken from a per-slice summary that is
-    combined on the map side. The summary walk holds one row per key and slice, never events.
+    combined on the map side. That row is carried in two levels: slices are put into blocks, each block gets
+    the last feature before it from one row per block, and each slice from the slices of its block. So a
+    task holds the slices of a block or the blocks of a key, never a key's whole history.
 
-    A source partitioned by day is read from the day of the first spine row, less the ttl, to the day of the
-    last one: the bounds are a scalar subquery, so that building the frame starts no job.
+    A source stored by day is read from the day of the first spine row, less the ttl, to the day of the
+    last one: the bounds are one scalar subquery, so that building the frame starts no job.
 
     ``prune`` drops feature rows of keys and slices the spine does not mention before they are shuffled. That
     pays for a spine of few keys and moments.
@@ -178,14 +189,11 @@ def historical_features(
     newest = [
         F.max_by(slot, F.when(F.col(slot).isNotNull(), F.struct("t", "tie"))).alias(slot) for slot in slots
     ]
-    summary = summarised.groupBy("k", "s").agg(F.max("side").alias("side"), *newest)
-    before = Window.partitionBy("k").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    carried = summary.select(
-        "k", "s", "side", *[F.last(slot, ignorenulls=True).over(before).alias(slot) for slot in slots]
-    )
+    blocks = summarised.filter("k IS NOT NULL").withColumn("b", F.floor(F.col("s") / BLOCK))
+    summary = blocks.groupBy("k", "b", "s").agg(F.max("side").alias("side"), *newest)
     known = F.coalesce(*[F.col(f"{slot}.at") for slot in slots]).isNotNull()
     # A carried row has no time of its own and therefore sorts to the start of its slice.
-    carried = carried.filter((F.col("side") == 1) & F.col("k").isNotNull() & known).withColumn("side", F.lit(0))
+    carried = _carried(summary, slots).filter((F.col("side") == 1) & known).withColumn("side", F.lit(0))
 
     order = Window.partitionBy("k", "s").orderBy(F.asc_nulls_first("t"), "side", F.asc_nulls_first("tie"))
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -201,17 +209,32 @@ def historical_features(
     return joined.filter("side = 1").select("spine.*", *outputs)
 
 
+def _carried(summary: DataFrame, slots: list[str]) -> DataFrame:
+    """The newest value of each slot before a key's slice: ``(k, s, side, *slots)`` from ``(k, b, s, side, *slots)``."""
+
+    def before(*keys: str, order: Column) -> list[Column]:
+        earlier = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return [F.last(slot, ignorenulls=True).over(earlier).alias(slot) for slot in slots]
+
+    newest = [F.max_by(slot, F.when(F.col(slot).isNotNull(), F.col("s"))).alias(slot) for slot in slots]
+    per_block = summary.groupBy("k", "b").agg(F.max("side").alias("side"), *newest)
+    into = per_block.select("k", "b", "side", *before("k", order=F.col("b"))).filter("side = 1")
+    # What comes into a block stands before its first slice.
+    rows = summary.unionByName(into.withColumn("side", F.lit(0)), allowMissingColumns=True)
+    return rows.select("k", "s", "side", *before("k", "b", order=F.asc_nulls_first("s")))
+
+
 def _days_of(view: FeatureView, spine: DataFrame, timestamp: str) -> DataFrame:
-    """Rows of the view that a spine can ask for, by day, if its source is partitioned by day."""
+    """Rows of the view that a spine can ask for, by day, if its source is stored by day."""
     source = view.usable()
-    if not set(DAY_COLUMNS) <= set(source.columns):
+    if not view.stored_by_day:
         return source
     day = lambda ts: F.struct(F.year(ts).alias("year"), F.month(ts).alias("month"), F.dayofmonth(ts).alias("day"))
     moment, triple = F.col(timestamp).cast("timestamp"), F.struct(*DAY_COLUMNS)
-    source = source.filter(triple <= spine.select(day(F.max(moment))).scalar())
-    if view.ttl:
-        source = source.filter(triple >= spine.select(day(shift(F.min(moment), view.ttl, back=True))).scalar())
-    return source
+    first = shift(F.min(moment), view.ttl, back=True) if view.ttl else F.min(moment)
+    bounds = spine.select(F.struct(day(first).alias("first"), day(F.max(moment)).alias("last"))).scalar()
+    source = source.filter(triple <= bounds.getField("last"))
+    return source.filter(triple >= bounds.getField("first")) if view.ttl else source
 
 
 def materialize(
@@ -219,23 +242,65 @@ def materialize(
 ) -> DataFrame:
     """The newest feature row of every key in ``[start, end)``.
 
-    Each task keeps one row per key before the shuffle. A source partitioned by day is pruned to the
+    Each task keeps one row per key before the shuffle. A source stored by day is pruned to the
     days of the range.
     """
-    first, last = _instant(start), _instant(end)
-    source = view.usable()
-    if set(DAY_COLUMNS) <= set(source.columns):
-        source = between_days(source, first.date(), last.date())
     ts = F.col(view.timestamp_field)
-    inside = source.filter((ts >= F.lit(first.isoformat()).cast("timestamp")) & (ts < F.lit(last.isoformat()).cast("timestamp")))
-    rows = inside.select(
+    rows = _within(view.usable(), view, start, end).select(
         F.col(view.key), ts.cast("timestamp").alias("event_timestamp"), view.tie().alias("tie"), *view.typed()
     )
     return _newest(rows, view.key)
 
 
-def _instant(value: datetime | str) -> datetime:
-    return datetime.fromisoformat(value) if isinstance(value, str) else value
+def _within(rows: DataFrame, view: FeatureView, start: datetime | str, end: datetime | str) -> DataFrame:
+    first, last = (datetime.fromisoformat(t) if isinstance(t, str) else t for t in (start, end))
+    if view.stored_by_day:
+        rows = between_days(rows, first.date(), last.date())
+    ts = F.col(view.timestamp_field)
+    low, high = (F.lit(t.isoformat()).cast("timestamp") for t in (first, last))
+    return rows.filter((ts >= low) & (ts < high))
+
+
+def materialize_views(views: Sequence[FeatureView], start: datetime | str, end: datetime | str) -> DataFrame:
+    """The newest rows of all online views of an entity in ``[start, end)``, side by side.
+
+    One row per key with a column per view, a struct of ``event_timestamp``, ``tie`` and the fields, or NULL. Views
+    that share a source (the same frame) and its time column share its scan; the newest rows of all views come out of one
+    aggregation, combined on the map side. Views that are not online are left out.
+    """
+    chosen = [view for view in views if view.online]
+    if not chosen or len({view.key for view in chosen}) > 1 or len({view.name for view in chosen}) < len(chosen):
+        raise ValueError("materialise one or more online views of one entity, of different names")
+    key = chosen[0].key
+    scans: dict[tuple, list[FeatureView]] = {}
+    for view in chosen:
+        scans.setdefault((id(view.source), view.timestamp_field, view.stored_by_day), []).append(view)
+    parts = []
+    for shared in scans.values():
+        first = shared[0]
+        rows = first.source.filter(F.col(key).isNotNull() & F.col(first.timestamp_field).isNotNull())
+        slots = []
+        for view in shared:
+            at, where = view.order(), F.expr(view.where) if view.where else F.lit(True)
+            row = F.struct(at.getField("at").alias("event_timestamp"), at.getField("tie").alias("tie"), *view.typed())
+            slots.append(F.when(where, row).alias(view.name))
+        parts.append(_within(rows, first, start, end).select(F.col(key), *slots))
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part, allowMissingColumns=True)
+    newest = [_latest_of(view.name) for view in chosen]
+    anything = F.coalesce(*[F.col(f"{view.name}.event_timestamp") for view in chosen]).isNotNull()
+    return rows.filter(anything).groupBy(key).agg(*newest)
+
+
+def _latest_of(slot: str) -> Column:
+    at = F.when(F.col(slot).isNotNull(), F.struct(f"{slot}.event_timestamp", f"{slot}.tie"))
+    return F.max_by(slot, at).alias(slot)
+
+
+def view_of(table: DataFrame, view: FeatureView) -> DataFrame:
+    """The online table of one view, out of one that holds several side by side."""
+    return table.filter(F.col(view.name).isNotNull()).select(view.key, f"{view.name}.*")
 
 
 def _newest(rows: DataFrame, key: str) -> DataFrame:
@@ -244,14 +309,25 @@ def _newest(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("_place", F.row_number().over(order)).filter("_place = 1").drop("_place")
 
 
-def write_online(latest: DataFrame, path: str, key: str = "src_ip", fmt: str = "parquet") -> None:
-    """Merge ``latest`` into the online table; the newest event time of a key wins."""
-    spark = latest.sparkSession
-    if fmt == "parquet" and latest_version(spark, path) is None:
-        overwrite_table(latest, path, fmt)
-        return
-    current = read_table(spark, path, fmt)
-    overwrite_table(_newest(current.unionByName(latest), key), path, fmt)
+def write_online(
+    latest: DataFrame, path: str, key: str = "src_ip", fmt: str = "parquet", buckets: int = BUCKETS
+) -> None:
+    """Merge ``latest`` into the online table; the newest event time of a key wins, in each view.
+
+    ``latest`` comes from ``materialize`` or ``materialize_views``. A Parquet table lies in buckets of the hashed key,
+    of which only those that ``latest`` has keys of are read and written.
+    """
+    sides = [name for name in latest.columns if name != key]
+    several = "event_timestamp" not in sides
+
+    def combine(current: DataFrame, fresh: DataFrame) -> DataFrame:
+        rows = current.unionByName(fresh)
+        return rows.groupBy(key).agg(*[_latest_of(name) for name in sides]) if several else _newest(rows, key)
+
+    if check_format(fmt) == "delta":
+        overwrite_table(combine(read_table(latest.sparkSession, path, fmt), latest), path, fmt)
+    else:
+        upsert_buckets(latest, path, Layout((key,), count=buckets), combine)
 
 
 def online_features(
@@ -272,6 +348,8 @@ def online_features(
     now = F.current_timestamp() if as_of is None else as_of
     result = entities
     for i, w in enumerate(resolve(refs, views, full_names)):
+        if not w.view.online:
+            raise ValueError(f"feature view {w.view.name!r} is not online")
         key, at = w.view.key, f"_at{i}"
         asked = entities.select(key).distinct()
         found = snapshots[w.view.name].join(asked, key, "left_semi").select(

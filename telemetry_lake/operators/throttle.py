@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,14 +69,53 @@ def new_locks(attempts: DataFrame, clock: str = "window_end") -> DataFrame:
     return done.groupBy("src_ip").agg(F.max(clock).cast("timestamp").alias("fired_at"))
 
 
+def chain(clocks: np.ndarray, ok: np.ndarray, hold: int, fired: int | None) -> tuple[np.ndarray, int | None]:
+    """Which of one source's alerts are attempted, and the clock that locks after them.
+
+    ``clocks`` ascend; ``ok`` says which deliveries succeed; ``fired`` is the clock of the last success before. From a
+    success the walk jumps to the end of its lock by binary search, from a failure to the next success.
+    """
+    attempted = np.zeros(len(clocks), bool)
+    successes = np.flatnonzero(ok)
+    i = 0 if fired is None else int(np.searchsorted(clocks, fired + hold))
+    while i < len(clocks):
+        k = int(np.searchsorted(successes, i))
+        if k == len(successes):
+            attempted[i:] = True
+            break
+        last = int(successes[k])
+        attempted[i : last + 1] = True
+        fired = int(clocks[last])
+        i = int(np.searchsorted(clocks, fired + hold))
+    return attempted, fired
+
+
+def _delivered(
+    clocks: np.ndarray, texts: pa.Array, deliver: Callable[[str], bool], hold: int, fired: int | None
+) -> tuple[np.ndarray, np.ndarray, int | None]:
+    """Deliver what one source's chain lets through: which were attempted, which were accepted, the locking clock."""
+    attempted, ok = np.zeros(len(clocks), bool), np.zeros(len(clocks), bool)
+    i = 0 if fired is None else int(np.searchsorted(clocks, fired + hold))
+    while i < len(clocks):
+        attempted[i] = True
+        ok[i] = bool(deliver(texts[i].as_py()))
+        if ok[i]:
+            fired = int(clocks[i])
+            i = int(np.searchsorted(clocks, fired + hold))
+        else:
+            i += 1
+    return attempted, ok, fired
+
+
 def _attempts(alerts: DataFrame, clock: str, seconds: int, key: str, sender) -> DataFrame:
-    """Walk each source's alerts in time order and keep the attempts.
+    """Walk each source's alerts in time order and keep the attempts; alerts without a clock are none.
 
     Whether an alert is sent depends on the one sent before it, which no join or window frame
-    expresses. Spark clusters and sorts the alerts; the walk streams over the sorted batches
-    and remembers one number, so a source with any number of alerts takes constant memory.
+    expresses. Spark clusters and sorts the alerts; the walk takes the sorted batches one after the other, jumps
+    from sent alert to sent alert, and remembers one number between batches, so a source with any number of alerts
+    takes constant memory.
     """
-    ordered = alerts.withColumn(_CLOCK, F.unix_micros(clock))
+    ordered = alerts.withColumn(_CLOCK, F.unix_micros(clock)).filter(F.col(_CLOCK).isNotNull())
     ties = [f.name for f in alerts.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name != key]
     ordered = ordered.repartition(key).sortWithinPartitions(key, _CLOCK, *ties)
     hold = seconds * 1_000_000
@@ -93,27 +134,27 @@ def _attempts(alerts: DataFrame, clock: str, seconds: int, key: str, sender) ->
             getattr(sender[1], "close", _nothing)()
 
     def step(batches):
-        import pyarrow as pa
-
         current, fired = None, None
         for batch in batches:
+            if not batch.num_rows:
+                continue
             names = batch.schema.names
-            keys = batch.column(names.index(key)).to_pylist()
-            clocks = batch.column(names.index(_CLOCK)).to_pylist()
-            outcomes = batch.column(names.index(_OK)).to_pylist()
-            texts = batch.column(names.index(sender[0])).to_pylist() if sender else None
-            keep = []
-            for i, (k, t) in enumerate(zip(keys, clocks, strict=True)):
-                if k != current:
-                    current, fired = k, None
-                attempt = fired is None or t - fired >= hold
-                if attempt and sender:
-                    outcomes[i] = bool(sender[1](texts[i]))
-                if attempt and outcomes[i]:
-                    fired = t
-                keep.append(attempt)
+            keys, clocks = batch.column(names.index(key)), batch.column(names.index(_CLOCK)).to_numpy()
+            ok = batch.column(names.index(_OK)).to_numpy(zero_copy_only=False).copy()
+            codes = keys.dictionary_encode(null_encoding="encode").indices.to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+            keep = np.zeros(len(codes), bool)
+            for a, b in zip(edges, edges[1:], strict=False):
+                own = keys[a].as_py()
+                if a or own != current:
+                    current, fired = own, None
+                if sender:
+                    texts = batch.column(names.index(sender[0])).slice(a, b - a)
+                    keep[a:b], ok[a:b], fired = _delivered(clocks[a:b], texts, sender[1], hold, fired)
+                else:
+                    keep[a:b], fired = chain(clocks[a:b], ok[a:b], hold, fired)
             position = names.index(_OK)
-            batch = batch.set_column(position, batch.schema.field(position), pa.array(outcomes, pa.bool_()))
+            batch = batch.set_column(position, batch.schema.field(position), pa.array(ok, pa.bool_()))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return ordered.mapInArrow(walk, ordered.schema).drop(_CLOCK)

@@ -84,12 +84,11 @@ fires AS (
 
 TRAFFIC = """
 traffic AS (
-  SELECT event_id, src_ip, ts, bytes_sent, CAST(latency_ms AS BIGINT) AS latency_ms
-  FROM tel WHERE event_type IN ('view', 'click', 'purchase')
+  SELECT event_id, src_ip, ts, bytes_sent, CAST(latency_ms AS BIGINT) AS latency_ms FROM tel
 ), spine AS (
-  SELECT ts AS event_timestamp, src_ip,
+  SELECT ts + INTERVAL '15 minutes' AS event_timestamp, src_ip,
          CAST(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END AS INTEGER) AS label_is_anomaly
-  FROM tel WHERE event_type IN ('error', 'signup')
+  FROM tel
 )"""
 
 LATEST = """
@@ -185,6 +184,8 @@ ORACLES: dict[str, str] = {
         f"SELECT {LAX} AS reason, COUNT(*) AS records FROM tel WHERE {LAX} IS NOT NULL GROUP BY 1"
     ),
     "landing_stream": _with(_VALID),
+    "landing_restart": _with(_VALID),
+    "landing_archived": _with("SELECT event_id, src_ip, bytes_sent, day(ts) <= 20 AS archived FROM tel"),
     "landing_stream_rejects": _rejects(LAX),
     "scalar_functions": _with("""
 SELECT event_id, ts AS from_iso, date_trunc('second', ts) AS from_epoch, date_trunc('millisecond', ts) AS from_millis,
@@ -212,6 +213,7 @@ FROM tel"""),
     ),
     "gold_daily_ip": _GOLD,
     "lake_gold": _GOLD,
+    "lake_touched_refresh": _GOLD,
     "lake_daily_refresh": _with("SELECT * FROM gold", SILVER.replace(
         "FROM tel", "FROM tel WHERE NOT ends_with(event_id, '7') OR day(ts) BETWEEN 10 AND 20"), GOLD),
     "gold_upsert": _with("""
@@ -261,6 +263,7 @@ parsed AS (
   FROM tel WHERE k NOT IN (0, 1, 9)
 )""", _windows("parsed")),
     "alert_throttle": _fired("SELECT * FROM fired"),
+    "alert_throttle_ordered": _fired("SELECT * FROM fired"),
     "alert_throttle_stream": _fired("SELECT * FROM fired"),
     "alert_throttle_retry": _fired(
         "SELECT *, hour(window_end) >= 8 AS delivered FROM fired", "hour(f.t) >= 8"
@@ -283,10 +286,24 @@ SELECT s.*, CASE WHEN f.ts >= s.event_timestamp - INTERVAL '6 hours' THEN f.byte
 FROM spine s ASOF LEFT JOIN traffic f ON s.src_ip = f.src_ip AND s.event_timestamp >= f.ts
      ASOF LEFT JOIN slow g ON s.src_ip = g.src_ip AND s.event_timestamp >= g.ts""",
         TRAFFIC, " slow AS (SELECT * FROM traffic WHERE latency_ms >= 30)"),
+    "pit_features_silver": _PIT.replace(
+        "FROM spine s", "FROM (FROM spine WHERE event_timestamp BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-17') s"
+    ),
+    "materialize_views": _with("""
+SELECT src_ip, l.event_timestamp, l.bytes_sent, s.ts AS slow_at, CAST(s.latency_ms AS INTEGER) AS slow_latency_ms
+FROM latest l FULL JOIN (
+  SELECT * FROM traffic WHERE latency_ms >= 30 AND ts >= TIMESTAMP '2024-01-01' AND ts < TIMESTAMP '2024-01-20'
+  QUALIFY row_number() OVER (PARTITION BY src_ip ORDER BY ts DESC, event_id DESC) = 1) s USING (src_ip)""", TRAFFIC, LATEST),
     "materialize_latest": _LATEST,
     "online_table_upsert": _LATEST,
     "online_lookup": _lookup("TRUE"),
     "online_lookup_ttl": _lookup("l.event_timestamp >= TIMESTAMP '2024-01-20' - INTERVAL '1 day'"),
+    "online_lookup_now": _lookup("l.event_timestamp >= CAST(current_timestamp AS TIMESTAMP) - INTERVAL '1 day'"),
+    "late_rows_dropped": _with("""
+SELECT 'hour' AS kind, CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS place, COUNT(*) AS n
+FROM tel WHERE NOT (ends_with(event_id, '3') AND ts < TIMESTAMP '2024-01-15') GROUP BY 2
+UNION ALL SELECT 'arrival', 0, 0
+UNION ALL SELECT 'arrival', 1, COUNT(*) FROM tel WHERE ends_with(event_id, '3') AND ts < TIMESTAMP '2024-01-15'"""),
     "eps": _EPS,
     "eps_stream": _EPS,
     "anomaly_labels": _with("""

@@ -7,12 +7,14 @@ by four hours: the same six-fold overlap as the detector's 60 and 10 seconds.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from datetime import timedelta
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import StreamingQueryException
 
 from telemetry_lake.functions import (
     epoch_millis,
@@ -36,6 +38,7 @@ from telemetry_lake.operators import (
     historical_features,
     label_anomalies,
     materialize,
+    materialize_views,
     online_features,
     port_scans,
     sliding_bandwidth,
@@ -47,12 +50,14 @@ from telemetry_lake.operators import (
     top_talkers,
     unlocked,
     validate,
+    view_of,
     write_online,
 )
 from telemetry_lake.operators.features import SRC_IP
 from telemetry_lake.schema import TELEMETRY
 from telemetry_lake.session import apply_settings, scratch_dir
 from telemetry_lake.sinks import to_outbox, upsert_gold, write_gold, write_landing, write_silver
+from telemetry_lake.sources.landing import housekeeping, landing_folder
 from telemetry_lake.sources import (
     as_telemetry,
     read_bronze,
@@ -68,8 +73,11 @@ from telemetry_lake.streaming import (
     alert_sink,
     detect,
     ingest_bronze,
+    exact_lateness,
     read_checked,
     replay,
+    run_available,
+    run_counting_late_rows,
     start_landing,
     stored_records,
     throttle_stream,
@@ -201,6 +209,65 @@ def landing_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reject_rows(read_checked(spark, _checked_folder(spark, sf_dir), valid=False))
 
 
+@query("landing_restart")
+def landing_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing stream that is stopped between micro-batches, fails in the middle of writing, and is run again."""
+    base, records = scratch_dir(spark, "restart"), telemetry(spark, sf_dir)
+    middle = F.col("ts") < F.lit("2024-01-16").cast("timestamp")
+    place = (f"{base}/ingest", f"{base}/checkpoint")
+
+    def land(part: Column) -> None:
+        wire_lines(records.filter(part)).write.mode("append").text(f"{base}/in")
+
+    land(middle)
+    lines = spark.readStream.text(f"{base}/in")
+    running = start_landing(lines, *place, max_records=LANDING_FILE_ROWS, delay="1 second")
+    running.processAllAvailable()
+    running.stop()
+    land(~middle)
+    bad = F.when(F.col("value").contains('"src_port":1044'), F.raise_error(F.lit("disk full")).cast("string"))
+    try:
+        start_landing(lines.select(bad.otherwise(F.col("value")).alias("value")), *place, delay=None).awaitTermination()
+    except StreamingQueryException:
+        pass
+    else:
+        raise RuntimeError("the failing run was expected to fail")
+    start_landing(lines, *place, max_records=LANDING_FILE_ROWS, delay=None).awaitTermination()
+    return flat(read_checked(spark, f"{base}/ingest"))
+
+
+@contextmanager
+def _cleaning_at_once(spark: SparkSession) -> Iterator[None]:
+    """Clean landing files within the micro-batch that follows them, not in a thread of its own."""
+    name = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    before = spark.conf.get(name, "1")
+    spark.conf.set(name, "0")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+@query("landing_archived")
+def landing_archived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three landings of ten days, each taken into Bronze: files of the first two have moved to the archive."""
+    base, records = scratch_dir(spark, "archived"), telemetry(spark, sf_dir)
+    day = F.dayofmonth("ts")
+    for hour, part in enumerate((day <= 10, (day > 10) & (day <= 20), day > 20)):
+        folder = landing_folder(f"{base}/ingest", datetime(2024, 2, 1, hour))
+        write_landing(records.filter(part).select(*TELEMETRY.fieldNames()), folder, LANDING_FILE_ROWS)
+        with _cleaning_at_once(spark):
+            ingest_bronze(
+                spark, f"{base}/ingest", f"{base}/bronze", f"{base}/checkpoint",
+                keeping=housekeeping(archive=f"{base}/archive", max_age="7d"),
+            )
+    places = read_raw(spark, f"{base}/archive").select("event_id", F.lit(True).alias("archived")).unionByName(
+        read_raw(spark, f"{base}/ingest").select("event_id", F.lit(False).alias("archived"))
+    )
+    bronze = stored_records(read_bronze(spark, f"{base}/bronze"))
+    return bronze.select("event_id", "src_ip", "bytes_sent").join(places, "event_id")
+
+
 @query("scalar_functions")
 def scalar_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time, text and JSON expressions side by side."""
@@ -315,19 +382,41 @@ def lake_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("lake_daily_refresh")
 def lake_daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A tenth of the records lands late; then only the days from the 10th to the 20th are refreshed."""
+    """A tenth of the records lands late, a fifth a second time; then the days from the 10th to the 20th are refreshed."""
     from telemetry_lake.plans.medallion import refine_lake, refresh_days
 
     records, base = telemetry(spark, sf_dir), scratch_dir(spark, "refresh")
-    late = F.col("event_id").endswith("7")
-    for part in (~late, late):
+    late, again = F.col("event_id").endswith("7"), F.col("event_id").rlike("[37]$")
+    for part in (~late, again):
         write_landing(records.filter(part).select(*TELEMETRY.fieldNames()), f"{base}/ingest", LANDING_FILE_ROWS)
-        if part is not late:
-            refine_lake(spark, f"{base}/ingest", f"{base}/lake")
+        if part is not again:
+            refine_lake(spark, f"{base}/ingest", f"{base}/lake", dedupe=True)
     ingest_bronze(spark, f"{base}/ingest", f"{base}/lake/bronze", f"{base}/lake/checkpoints/bronze")
     return refresh_days(spark, None, f"{base}/lake", "2024-01-10", "2024-01-20")
 
 
+@query("lake_touched_refresh")
+def lake_touched_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two nights: all but the late records, then the late ones of ten days together with a second upload of others.
+
+    The second night finds the days by itself, de-duplicates as the first did, and leaves the lake as a whole rebuild would.
+    """
+    from telemetry_lake.plans.medallion import refine_lake, refresh_touched_days
+
+    records, base = telemetry(spark, sf_dir), scratch_dir(spark, "nights")
+    day, last = F.dayofmonth("ts"), F.substring("event_id", -1, 1)
+    late = (last == "7") & day.between(11, 20)
+    again = (last == "3") & day.between(15, 22)
+
+    def land(part: Column) -> None:
+        write_landing(records.filter(part).select(*TELEMETRY.fieldNames()), f"{base}/ingest", LANDING_FILE_ROWS)
+
+    land(~late)
+    refine_lake(spark, f"{base}/ingest", f"{base}/lake", dedupe=True)
+    land(late | again)
+    return refresh_touched_days(spark, f"{base}/ingest", f"{base}/lake")
+
+
 @query("top_ip_days")
 def top_ip_day_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_ip_days(to_gold(to_silver(telemetry(spark, sf_dir))))
@@ -430,6 +519,20 @@ def alert_throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay(spark, sf_dir, build, "throttle")
 
 
+@query("alert_throttle_ordered")
+def alert_throttle_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts of the later half of the month arrive before those of the earlier half; a last one moves the clock on."""
+    base, alerts = scratch_dir(spark, "ordered"), _alerts(spark, sf_dir)
+    middle = F.col("window_end") < F.lit("2024-01-16").cast("timestamp")
+    last = spark.sql("SELECT 'end' AS src_ip, TIMESTAMP'2100-01-01' AS window_end")
+    empty = alerts.limit(0)
+    for part in (alerts.filter(~middle), alerts.filter(middle), empty.unionByName(last, allowMissingColumns=True)):
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(alerts.schema).parquet(f"{base}/in")
+        run_available(throttle_stream(stream, seconds=HOLD, lateness="40 days"), f"{base}/out", f"{base}/checkpoint")
+    return spark.read.schema(alerts.schema).parquet(f"{base}/out")
+
+
 @query("alert_lock_check")
 def alert_lock_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts not covered by the lock of their source's first alert."""
@@ -451,7 +554,7 @@ def alert_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     def accept(payload: str) -> bool:
         return True
 
-    handle = alert_sink(accept, f"{base}/outbox", f"{base}/locks", seconds=HOLD)
+    handle = alert_sink(accept, f"{base}/outbox", f"{base}/locks", seconds=HOLD, query="replayed")
     alerts = _alerts(spark, sf_dir)
     middle = F.col("window_end") < F.lit("2024-01-16").cast("timestamp")
     for batch_id, part in enumerate((middle, ~middle)):
@@ -464,15 +567,13 @@ def alert_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _traffic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_events(spark, sf_dir).filter(F.col("event_type").isin("view", "click", "purchase"))
-    return to_silver(as_telemetry(events))
+    return to_silver(telemetry(spark, sf_dir))
 
 
 def _spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled moments: errors are anomalies, sign-ups are not."""
-    events = read_events(spark, sf_dir).filter(F.col("event_type").isin("error", "signup"))
-    return as_telemetry(events).select(
-        F.col("ts").alias("event_timestamp"),
+    """Labelled moments a quarter of an hour after each event: those after errors are anomalies."""
+    return telemetry(spark, sf_dir).select(
+        shift(F.col("ts"), "15 minutes").alias("event_timestamp"),
         "src_ip",
         F.when(F.col("app_layer.host") == "error", 1).otherwise(0).alias("label_is_anomaly"),
     )
@@ -500,6 +601,14 @@ def pit_features_two_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     return historical_features(_spine(spark, sf_dir), ["recent:bytes_sent", "slow:latency_ms"], [short, ever])
 
 
+@query("pit_features_silver")
+def pit_features_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Moments of one week against a stored Silver, of which the week and the day before are read."""
+    view = daily_ip_traffic(read_silver(spark, _silver_table(spark, sf_dir)), stored=True)
+    week = F.col("event_timestamp").between(F.lit("2024-01-10").cast("timestamp"), F.lit("2024-01-17").cast("timestamp"))
+    return historical_features(_spine(spark, sf_dir).filter(week), REFS, [view])
+
+
 @query("materialize_latest")
 def materialize_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(daily_ip_traffic(_traffic(spark, sf_dir)), "2024-01-01", "2024-01-20").drop("tie")
@@ -518,14 +627,32 @@ def online_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _online_table(spark, sf_dir, daily_ip_traffic(_traffic(spark, sf_dir))).drop("tie")
 
 
-def _lookup(spark: SparkSession, sf_dir: str, enforce_ttl: bool) -> DataFrame:
+@query("materialize_views")
+def materialize_two_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Traffic and slow traffic of a source out of one scan, in two runs, beside a view that is not online."""
+    silver, path = _traffic(spark, sf_dir), f"{scratch_dir(spark, 'views')}/online"
+    views = [
+        daily_ip_traffic(silver),
+        FeatureView("slow", SRC_IP, silver, (Field("latency_ms", "int"),), where="latency_ms >= 30"),
+        FeatureView("offline", SRC_IP, silver, (Field("bytes_sent"),), online=False),
+    ]
+    write_online(materialize_views(views, "2024-01-10", "2024-01-20"), path)
+    write_online(materialize_views(views, "2024-01-01", "2024-01-12"), path)
+    table = read_table(spark, path)
+    traffic, slow = (view_of(table, view) for view in views[:2])
+    return traffic.select("src_ip", "event_timestamp", "bytes_sent").join(
+        slow.select("src_ip", F.col("event_timestamp").alias("slow_at"), F.col("latency_ms").alias("slow_latency_ms")), "src_ip", "full"
+    )
+
+
+def _lookup(spark: SparkSession, sf_dir: str, enforce_ttl: bool, as_of: str | None = "2024-01-20") -> DataFrame:
     view = daily_ip_traffic(_traffic(spark, sf_dir))
     table = materialize(view, "2024-01-01", "2024-01-20")
     asked = _spine(spark, sf_dir).select("src_ip").distinct()
     unknown = asked.select(F.concat(F.lit("x"), F.col("src_ip")).alias("src_ip"))
     return online_features(
         asked.unionByName(unknown), REFS, [view], {view.name: table},
-        as_of=F.lit("2024-01-20").cast("timestamp"), enforce_ttl=enforce_ttl,
+        as_of=F.lit(as_of).cast("timestamp") if as_of else None, enforce_ttl=enforce_ttl,
     )
 
 
@@ -539,6 +666,12 @@ def online_lookup_ttl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lookup(spark, sf_dir, enforce_ttl=True)
 
 
+@query("online_lookup_now")
+def online_lookup_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lookup by the clock on the wall, for which all of the table has long expired."""
+    return _lookup(spark, sf_dir, enforce_ttl=True, as_of=None)
+
+
 # ---- rates, labels and scans ------------------------------------------------------------
 
 
@@ -552,6 +685,29 @@ def eps_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _replay(spark, sf_dir, lambda e: events_per_second(as_telemetry(e)), "eps", exact=True)
 
 
+@query("late_rows_dropped")
+def late_rows_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the first half of the month arrives with the second half: how many rows each arrival lost to the
+    watermark, beside the events per hour that were kept."""
+    base, records = scratch_dir(spark, "late"), telemetry(spark, sf_dir)
+    middle, last = F.col("ts") < F.lit("2024-01-16").cast("timestamp"), F.substring("event_id", -1, 1)
+    late = (last == "3") & (F.col("ts") < F.lit("2024-01-15").cast("timestamp"))
+    for part in (middle & ~late, ~middle | late):
+        write_landing(records.filter(part).select(*TELEMETRY.fieldNames()), f"{base}/in", LANDING_FILE_ROWS)
+        stream = to_silver(read_raw(spark, f"{base}/in", streaming=True), dedupe=True, watermark="1 hour")
+        with exact_lateness(spark):
+            run_counting_late_rows(stream, f"{base}/out", f"{base}/checkpoint", f"{base}/late")
+    arrivals = spark.read.parquet(f"{base}/late").filter("rows_in > 0").groupBy("run").agg(
+        F.min("batch").alias("first"), F.sum("late_rows").alias("n")
+    )
+    kept = spark.read.schema(stream.schema).parquet(f"{base}/out")
+    hours = kept.groupBy((F.unix_seconds("parsed_timestamp") - F.unix_seconds("parsed_timestamp") % 3600).alias("place")).agg(F.count("*").alias("n"))
+    after_first = F.when(F.col("first") > 0, 1).otherwise(0).cast("long")
+    return hours.select(F.lit("hour").alias("kind"), "place", "n").unionByName(
+        arrivals.select(F.lit("arrival").alias("kind"), after_first.alias("place"), "n")
+    )
+
+
 @query("anomaly_labels")
 def anomaly_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = label_anomalies(telemetry(spark, sf_dir))

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Iterable
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 
 from telemetry_lake.schema import DAY_COLUMNS, GOLD_KEYS
-from telemetry_lake.sources.landing import days_between
-from telemetry_lake.sources.tables import check_format, latest_version, overwrite_table, read_table, upsert_table
+from telemetry_lake.sources.buckets import Layout, overwrite_buckets, replace_buckets, snapshot
+from telemetry_lake.sources.files import delete, found
+from telemetry_lake.sources.landing import day_bucket, on_days
+from telemetry_lake.sources.tables import check_format, overwrite_table, read_table, upsert_table
+
+GOLD_LAYOUT = Layout(tuple(GOLD_KEYS), tuple(DAY_COLUMNS))
 
 # Rows per landing file and the longest a batch waits.
 LANDING_ROWS = 2_000
@@ -40,20 +46,36 @@ def write_silver(df: DataFrame, path: str, mode: str = "overwrite", compact: boo
     writer.partitionBy(*DAY_COLUMNS).parquet(path)
 
 
-def write_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    overwrite_table(df, path, fmt)
+def drop_silver_days(spark: SparkSession, path: str, days: Iterable[date]) -> None:
+    """Delete the folders of these days, of which Silver has no rows any more."""
+    for day in days:
+        for folder in found(spark, f"{path.rstrip('/')}/year={day.year}/month={day.month}/day={day.day}"):
+            delete(spark, folder)
 
 
-def replace_gold_days(df: DataFrame, path: str, first_day: str, last_day: str, fmt: str = "parquet") -> None:
-    """Put ``df`` in the place of all Gold rows from ``first_day`` to ``last_day``."""
-    spark = df.sparkSession
-    if check_format(fmt) == "parquet" and latest_version(spark, path) is None:
+def write_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """The whole Gold table; as Parquet it lies in one bucket per day."""
+    if check_format(fmt) == "parquet":
+        overwrite_buckets(df, path, GOLD_LAYOUT)
+    else:
         overwrite_table(df, path, fmt)
+
+
+def replace_gold_days(df: DataFrame, path: str, days: Iterable[date | None], fmt: str = "parquet") -> None:
+    """Put ``df``, rows of some of these days, in the place of all Gold rows of these days.
+
+    A day without rows vanishes. No other day of a Parquet table is read or written.
+    """
+    spark, days = df.sparkSession, list(days)
+    if check_format(fmt) == "parquet":
+        if snapshot(spark, path) is None:
+            overwrite_buckets(df, path, GOLD_LAYOUT)
+        else:
+            replace_buckets(df, path, [day_bucket(day) for day in days])
         return
-    current = read_table(spark, path, fmt)
-    others = F.coalesce(~days_between(first_day, last_day), F.lit(True))
-    overwrite_table(current.filter(others).unionByName(df), path, fmt)
+    overwrite_table(read_table(spark, path, fmt).filter(~on_days(days)).unionByName(df), path, fmt)
 
 
 def upsert_gold(df: DataFrame, path: str, keys: list[str] = GOLD_KEYS, fmt: str = "parquet") -> None:
-    upsert_table(df, path, keys, fmt)
+    """Insert or replace rows by key; only days that ``df`` has rows of are rewritten."""
+    upsert_table(df, path, keys, fmt, by=DAY_COLUMNS if set(DAY_COLUMNS) <= set(keys) else ())

@@ -1,18 +1,24 @@
-"""Overwritable tables: Delta when asked for, otherwise versioned Parquet folders.
+"""Overwritable tables: Delta when asked for, otherwise Parquet folders.
 
-A Parquet table is a folder of complete snapshots, ``<path>/version=<n>``. A snapshot counts
-once its job has committed, which Spark marks with ``_SUCCESS``; readers take the newest such
-snapshot, so a table can be rewritten from its own contents and a failed write stays invisible.
+A Parquet table is a folder of complete snapshots, ``<path>/version=<n>``, or one in buckets (see ``buckets``). A
+snapshot counts once its job has committed, which Spark marks with ``_SUCCESS``; readers take the newest such
+snapshot, so a table can be rewritten from its own contents and a failed write stays invisible. Upserts keep tables
+in buckets and rewrite only those they touch.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from telemetry_lake.sources.buckets import Layout, snapshot, upsert_buckets
+from telemetry_lake.sources.files import delete, found
+from telemetry_lake.sources.versions import latest_version
+
 FORMATS = ("parquet", "delta")
 
 
@@ -27,27 +33,14 @@ def has_delta(spark: SparkSession) -> bool:
     return "io.delta" in (spark.conf.get("spark.sql.extensions", "") or "")
 
 
-def _glob(spark: SparkSession, pattern: str) -> list[str]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
-
-
-def committed(spark: SparkSession, folder: str) -> bool:
-    return bool(_glob(spark, f"{folder}/_SUCCESS"))
-
-
-def latest_version(spark: SparkSession, path: str) -> int | None:
-    marks = _glob(spark, f"{path.rstrip('/')}/version=*/_SUCCESS")
-    return max((int(mark.split("/version=")[-1].split("/")[0]) for mark in marks), default=None)
-
-
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
     """The current snapshot; an empty frame when there is none yet and ``schema`` is given."""
     if check_format(fmt) == "delta":
         return spark.read.format("delta").load(path)
+    if (state := snapshot(spark, path)) is not None:
+        return state.read(spark, path.rstrip("/"))
     version = latest_version(spark, path)
     if version is None:
         if schema is None:
@@ -72,14 +65,18 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
     newest = latest_version(spark, path)
     if newest is None:
         return
-    for folder in _glob(spark, f"{path.rstrip('/')}/version=*"):
+    for folder in found(spark, f"{path.rstrip('/')}/version=*"):
         if int(folder.split("/version=")[-1]) <= newest - keep:
-            target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            delete(spark, folder)
+
 
+def upsert_table(
+    updates: DataFrame, path: str, keys: list[str], fmt: str = "parquet", by: Sequence[str] = (), buckets: int = 64
+) -> None:
+    """Insert new keys and replace existing ones. ``updates`` holds one row per key.
 
-def upsert_table(updates: DataFrame, path: str, keys: list[str], fmt: str = "parquet") -> None:
-    """Insert new keys and replace existing ones. ``updates`` holds one row per key."""
+    A new Parquet table is laid out in buckets of the columns ``by``, or in so many of the hashed key.
+    """
     spark = updates.sparkSession
     if check_format(fmt) == "delta":
         view = f"table_updates_{uuid.uuid4().hex}"
@@ -91,10 +88,8 @@ def upsert_table(updates: DataFrame, path: str, keys: list[str], fmt: str = "par
         )
         spark.catalog.dropTempView(view)
         return
-    if latest_version(spark, path) is None:
-        overwrite_table(updates, path)
-        return
-    overwrite_table(merged(read_table(spark, path), updates, keys), path)
+    layout = Layout(tuple(keys), tuple(by), buckets)
+    upsert_buckets(updates, path, layout, lambda current, fresh: merged(current, fresh, keys))
 
 
 def merged(current: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:

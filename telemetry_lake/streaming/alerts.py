@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from telemetry_lake.operators.throttle import LOCKS, new_locks, throttle_batch
 from telemetry_lake.schema import THROTTLE_SECONDS
 from telemetry_lake.sinks.outbox import to_outbox
-from telemetry_lake.sources.tables import committed, drop_old_versions, merged, overwrite_table, read_table
+from telemetry_lake.sources.files import committed
+from telemetry_lake.sources.tables import drop_old_versions, merged, overwrite_table, read_table
 
 
 def alert_sink(
@@ -26,13 +27,16 @@ def alert_sink(
     Attempts of a micro-batch are written to ``<outbox>/query=<id>/batch=<id>`` as they are made, and
     locks are derived from that record. A micro-batch run again after a failure finds its record and
     delivers nothing twice; only a failure in the middle of delivering can repeat a post. The query
-    is the streaming query's own id, which changes with the checkpoint, unless ``query`` names one.
+    is the streaming query's own id, which changes with the checkpoint, unless ``query`` names one. Outside
+    of a stream it has to: batches numbered by hand are told apart by nothing else.
     Locks that have run out before the newest clock are left out when the lock table is rewritten.
     """
 
     def handle(alerts: DataFrame, batch_id: int) -> None:
         spark = alerts.sparkSession
-        owner = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "manual"
+        owner = query or spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not owner:
+            raise ValueError("outside of a stream, name the query whose batches these are")
         record = f"{outbox.rstrip('/')}/query={owner}/batch={batch_id}"
         if not committed(spark, record):
             if alerts.isEmpty():

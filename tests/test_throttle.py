@@ -1,13 +1,15 @@
 import json
 import os
 import random
+import time
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators import new_locks, throttle, unlocked
-from telemetry_lake.operators.throttle import LOCKS, throttle_batch
+from telemetry_lake.operators.throttle import LOCKS, chain, throttle_batch
 from telemetry_lake.sinks import to_outbox
 from telemetry_lake.sources import read_table
 from telemetry_lake.streaming import alert_sink, run_available, throttle_stream
@@ -79,6 +81,56 @@ def test_stream_equals_batch(spark, folder):
     assert at(spark.read.parquet(f"{folder}/out")) == at(throttle(df))
 
 
+def test_alerts_in_any_order_wait_for_the_watermark(spark, folder):
+    rng = random.Random(6)
+    rows = sorted({(f"ip{rng.randrange(3)}", 10 * rng.randrange(1_000)) for _ in range(400)})
+    rng.shuffle(rows)
+    df = spark.createDataFrame([(ip, START + timedelta(seconds=t)) for ip, t in rows], "src_ip string, window_end timestamp")
+    parts = [df.filter(F.col("window_end") >= START + timedelta(seconds=6_000)), df.filter(F.col("window_end") < START + timedelta(seconds=6_000)),
+             spark.createDataFrame([("end", START + timedelta(days=9))], df.schema), spark.createDataFrame([("late", START)], df.schema)]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(df.schema).parquet(f"{folder}/in")
+        run_available(throttle_stream(stream, lateness="3 hours"), f"{folder}/out", f"{folder}/cp")
+    # What comes before a source's alerts in time was read after them; the last two alerts are not due, or too late.
+    assert at(spark.read.parquet(f"{folder}/out")) == at(throttle(df))
+
+
+def test_a_hundred_thousand_alerts_of_one_source(spark, folder):
+    n = 100_000
+    df = spark.range(n).select(F.lit("a").alias("src_ip"), F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id") * 10 % (10 * n)).alias("window_end"))
+    df.repartition(1).write.parquet(f"{folder}/in")
+    began = time.time()
+    run_available(throttle_stream(spark.readStream.schema(df.schema).parquet(f"{folder}/in")), f"{folder}/out", f"{folder}/cp")
+    assert time.time() - began < 60
+    sent = at(spark.read.parquet(f"{folder}/out"))
+    assert sent == [("a", t) for t in range(0, 10 * n, 900)] == at(throttle(df))
+
+
+def test_chain_equals_a_simple_loop():
+    rng = np.random.default_rng(4)
+    for _ in range(300):
+        clocks = np.sort(rng.integers(0, 60, rng.integers(0, 40)))
+        ok, hold, fired = rng.random(len(clocks)) < rng.choice([0.2, 0.8, 1.0]), int(rng.integers(1, 12)), rng.choice([None, -3])
+        expected, last = [], fired
+        for clock, good in zip(clocks.tolist(), ok.tolist(), strict=True):
+            expected.append(last is None or clock - last >= hold)
+            if expected[-1] and good:
+                last = clock
+        attempted, locked = chain(clocks, ok, hold, fired)
+        assert attempted.tolist() == expected and locked == last
+
+
+def test_alerts_without_a_clock_are_not_sent(spark):
+    df = spark.createDataFrame([("a", None), ("a", START), (None, START), (None, START)], "src_ip string, window_end timestamp")
+    assert at(throttle(df).filter("src_ip IS NOT NULL")) == [("a", 0)] and throttle(df).count() == 2
+
+
+def test_batches_outside_of_a_stream_name_their_query(spark, folder):
+    with pytest.raises(ValueError):
+        alert_sink(lambda payload: True, f"{folder}/outbox", f"{folder}/locks")(alerts(spark, [0]), 0)
+
+
 def test_delivery_on_the_executors(spark):
     locks = spark.createDataFrame([], LOCKS)
 
@@ -107,7 +159,7 @@ def test_sink_keeps_locks_between_batches_and_survives_a_rerun(spark, folder):
             out.write(payload)
         return True
 
-    handle = alert_sink(deliver, f"{folder}/outbox", f"{folder}/locks")
+    handle = alert_sink(deliver, f"{folder}/outbox", f"{folder}/locks", query="q")
     handle(alerts(spark, [0, 10, 890]), 0)
     handle(alerts(spark, [900, 910, 1799, 1800]), 1)
     handle(alerts(spark, [900, 910, 1799, 1800]), 1)
@@ -135,7 +187,7 @@ def test_failing_delivery_is_retried_by_the_next_alert(spark, folder):
     def never(payload):
         return False
 
-    handle = alert_sink(never, f"{folder}/outbox", f"{folder}/locks")
+    handle = alert_sink(never, f"{folder}/outbox", f"{folder}/locks", query="q")
     handle(alerts(spark, [0, 10]), 0)
     rows = spark.read.parquet(f"{folder}/outbox").collect()
     assert [r.delivered for r in rows] == [False, False]
@@ -146,7 +198,7 @@ def test_broken_delivery_stops_the_batch(spark, folder):
     def explode(payload):
         raise OSError("no route")
 
-    handle = alert_sink(explode, f"{folder}/outbox", f"{folder}/locks")
+    handle = alert_sink(explode, f"{folder}/outbox", f"{folder}/locks", query="q")
     with pytest.raises(Exception, match="no route"):
         handle(alerts(spark, [0]), 0)
     assert read_table(spark, f"{folder}/locks", schema=LOCKS).count() == 0
