@@ -2,21 +2,26 @@
 
 A line is the set of its lower-cased words. It is removed if an earlier line of the corpus (smaller id, or
 the same id and an earlier place) has a Jaccard similarity of ``PERCENT`` or more to it; all lines are judged on the
-input, removed ones included. Lines of fewer than ``LEAST_WORDS`` different words are too short to tell and stay.
+input, removed ones included.
 
-1. Lines with equal sets are one class; all but its first line go. The first lines take part in the join.
+1. Lines with equal sets are one class; all but its first line go. The first lines take part in the join, if they
+   have words enough to be similar to another set at all: at 80 percent, lines of one to three words equal or differ.
 2. The words of a line are ordered by rarity: by how often their hash bucket occurs in the corpus, then by hash, an
-   order that all lines share. Of n words the first n - ceil(t n) + 3 are the prefix; similar lines share three of it.
-3. Prefix words that two lines have are kept. Every line is compared with the first line that has the word,
-   then those still unmatched with the other lines in front of them that share three words. Length and
-   positional filters come with the join, so that pairs which cannot reach the similarity are never made.
-4. The Jaccard similarity of the pairs left is verified on the whole sets.
+   order that all lines share. Of n words the first n - ceil(t n) + 1 are the prefix; similar lines share one of it.
+3. Lines that have one of their ``STAR`` rarest words in common with others are compared with the first line that has it.
+   That settles the many versions of a much copied line without their pairs.
+4. Each line left meets the lines in front of it that share a prefix word. Length and positional filters, and a
+   parity of 128 bits over the words, of which two similar lines differ in few, come with the join, so that
+   nearly all pairs it makes are similar.
+5. The Jaccard similarity of the pairs is verified on the whole sets, read from the texts again.
 
-So a cluster of many versions of one line is settled by comparisons with its first line and not by all its pairs.
-Words are compared by their 64-bit hashes.
+A word that very many lines share is salted in step 3, and its rows are split by adaptive execution in step 4. Words are
+compared by their 64-bit hashes; prefix rows are narrow and are shuffled once.
 
 Defined results: NULL texts have no lines and stay NULL; lines without words stay; a NULL id comes after all others;
-rows that repeat an id have equal places, of which none is earlier; a text that loses all its lines is empty.
+rows that repeat an id have equal places, of which none is earlier; a text that loses all its lines is empty. A very
+long text is many lines, a very long line one set; empty tables stay empty. Other columns are kept whatever their name, but
+for the two that are added.
 """
 
 from __future__ import annotations
@@ -25,144 +30,189 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import SPACES, release, sized, written
+from telemetry_lake.llm.common import SPACES, sized, written
 
-PERCENT, LEAST_WORDS = 80, 5
-# Prefix words that similar lines have in common at least; the prefix is longer by this number less one.
-SHARED = 3
-# Buckets in which the words of the corpus are counted for their order.
-RARITY_BUCKETS = 1 << 16
-KEY = ["k1", "k2"]
+PERCENT = 80
+# Rarest words by which lines are compared with the first line that has them.
+STAR = 3
+# Buckets in which the words of the corpus are counted for their order, and steps of the counts' logarithm.
+RARITY_BUCKETS, STEPS = 1 << 18, 3
+# Rows of one word that meet in a task when its first line is looked for.
+GROUP_ROWS = 1 << 20
+LINE = ["id", "at"]
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``(id, sum, pos, words)`` of the lines that take part; the words are distinct hashes, sorted by hash."""
-    rows = docs.select("id", "sum", F.posexplode(F.split("text", "\n")).alias("pos", "line"), *[c for c in ("gone",) if c in docs.columns])
-    if "gone" in docs.columns:
-        rows = rows.filter(~F.coalesce(F.array_contains("gone", F.col("pos")), F.lit(False)))
-    words = F.array_remove(F.split(F.lower("line"), SPACES), "")
-    hashes = F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
-    rows = rows.select("id", "sum", "pos", F.explode(F.array(hashes)).alias("words"))
-    return rows.filter(F.size("words") >= LEAST_WORDS)
+def _hashes(line: str | Column) -> Column:
+    """The distinct words of a line, as hashes."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(F.lower(line), SPACES), ""), lambda w: F.xxhash64(w)))
 
 
-def _order(id_: str | Column, pos: str | Column) -> Column:
+def _low(value: Column) -> Column:
+    return value.bitwiseAND(F.lit(0xFFFFFFFF))
+
+
+def _at(pos: str | Column, checksum: Column) -> Column:
+    """Place of a line in its text, and in the lower half the text's checksum, which tells texts of one id apart."""
+    return F.shiftleft(F.col(pos).cast("long") if isinstance(pos, str) else pos, 32).bitwiseOR(_low(checksum))
+
+
+def _pos(at: Column) -> Column:
+    return F.shiftright(at, 32).cast("int")
+
+
+def _place(id_: str, at: str) -> Column:
     """Places as values that sort in the order of the corpus."""
-    c = F.col(id_) if isinstance(id_, str) else id_
-    return F.struct(c.isNull().alias("last"), c.alias("id"), (F.col(pos) if isinstance(pos, str) else pos).alias("pos"))
+    return F.struct(F.col(id_).isNull().alias("last"), F.col(id_).alias("id"), _pos(F.col(at)).alias("pos"))
+
+
+def least_words(percent: int) -> int:
+    """Fewest words of a line that can be similar to one of other words."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 30
 
 
-def _rarity(lines: DataFrame) -> bytes:
+def _rarity(rows: DataFrame) -> bytes:
     """How often the words of each bucket occur, a byte each on a logarithmic scale; the size is fixed."""
-    counts = lines.select(F.explode("words").alias("w")).groupBy(F.pmod("w", F.lit(RARITY_BUCKETS)).alias("id")).agg(F.count("*").alias("n"))
+    words = rows.select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("w")).filter("w <> ''")
+    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
     levels = bytearray(RARITY_BUCKETS)
-    for row in counts.select("id", F.least(F.floor(6 * F.log2("n")) + 1, F.lit(255)).alias("level")).collect():
-        levels[row.id] = row.level
+    for row in counts.select("bucket", F.least(F.floor(STEPS * F.log2("n")) + 1, F.lit(126)).alias("level")).collect():
+        levels[row.bucket] = row.level
     return bytes(levels)
 
 
-def _overlap(n: Column, m: Column, percent: int) -> Column:
-    """Least common words of sets of n and m."""
-    return F.ceil(percent * (n + m) / (100 + percent))
+def _ranked(words: str, levels: bytes) -> Column:
+    """The words, rarest first, as numbers: rarity in the highest byte, the upper part of the hash below."""
+    table = F.lit(levels)
 
+    def number(w: Column) -> Column:
+        at = F.pmod(w, F.lit(RARITY_BUCKETS)).cast("int") + 1
+        level = F.ascii(F.substr(table, at, F.lit(1)).cast("string")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
 
-def _may_match(a: str, b: str, percent: int) -> Column:
-    """Length and positional filter on two rows of one prefix word, its first common one or not."""
-    n, m, i, j = F.col(f"{a}n"), F.col(f"{b}n"), F.col(f"{a}i"), F.col(f"{b}i")
-    fits = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
-    return fits & (F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= _overlap(n, m, percent))
+    return F.array_sort(F.transform(words, number))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Keys ``(k1, k2)`` of the later lines of pairs that are similar indeed."""
-    later = sets.select("k1", "k2", F.col("words").alias("later"))
-    earlier = sets.select(F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("words").alias("earlier"))
-    both = pairs.join(later, KEY).join(earlier, ["e1", "e2"])
-    common = F.size(F.array_intersect("later", "earlier"))
-    similar = 100 * common >= percent * (F.size("later") + F.size("earlier") - common)
-    return both.filter(similar).select(*KEY).distinct()
+def _parity(words: str, half: int) -> Column:
+    """A 64-bit half of the words' parity: each word flips one bit of one half."""
+    def flip(bits: Column, w: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
+        return F.when(F.shiftright(w, 6).bitwiseAND(F.lit(1)) == half, bits.bitwiseXOR(one)).otherwise(bits)
 
+    return F.aggregate(words, F.lit(0).cast("long"), flip)
 
-def _sets_of(pairs: DataFrame, docs: DataFrame, purpose: str) -> DataFrame:
-    """The word sets of all lines in ``pairs``, read from the texts again."""
-    asked = pairs.select(*KEY).union(pairs.select("e1", "e2")).distinct()
-    asked = sized(written(asked, f"{purpose}-asked"))
-    keyed = _keyed(_lines(docs)).select(*KEY, "words")
-    return written(keyed.join(asked, KEY).dropDuplicates(KEY), purpose)
+
+def _line_table(rows: DataFrame, percent: int) -> DataFrame:
+    """A written row per line with words: ``id, at, k1, k2`` (its set), ``n, prefix, b1, b2``."""
+    levels = _rarity(rows)
+    lines = rows.select("id", "sum", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.select("id", _at("pos", F.col("sum")).alias("at"), F.explode(F.array(_hashes("line"))).alias("words")).filter(F.size("words") > 0)
+    lines = lines.withColumn("ranked", F.explode(F.array(_ranked("words", levels))))
+    n = F.size("words")
+    taking_part = n >= least_words(percent)
+    length = F.when(taking_part, n - F.ceil(percent * n / 100) + 1).otherwise(0).cast("int")
+    lines = lines.select(
+        *LINE, F.xxhash64("ranked").alias("k1"), F.xxhash64(F.lit(1), "ranked").alias("k2"), n.alias("n"),
+        F.slice("ranked", 1, length).alias("prefix"),
+        *[F.when(taking_part, _parity("words", half)).alias(f"b{half + 1}") for half in (0, 1)],
+    )
+    return written(lines, "line-sets")
 
 
-def _keyed(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("k1", F.xxhash64("words")).withColumn("k2", F.xxhash64(F.lit(1), "words"))
+def _rows_of(lines: DataFrame, words: Column) -> DataFrame:
+    """A row per word of ``words``: ``w``, the line, ``ni`` (length of the line above, place of the word below) and parity."""
+    rows = lines.select(*LINE, "n", "b1", "b2", *[c for c in ("settled",) if c in lines.columns], F.posexplode(words).alias("i", "p"))
+    ni = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("i").cast("long"))
+    extra = [F.col("settled")] if "settled" in rows.columns else []
+    return rows.select(F.col("p").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("w"), *LINE, ni.alias("ni"), "b1", "b2", F.shiftright("p", 56).cast("int").alias("level"), *extra)
+
+
+def _may_match(a: str, b: str, percent: int) -> Column:
+    """Length, positional and parity filter on two rows of one prefix word, their first common one or not."""
+    def part(name: str) -> tuple[Column, Column]:
+        return F.shiftright(f"{name}ni", 32).cast("int"), _low(F.col(f"{name}ni")).cast("int")
+
+    (n, i), (m, j) = part(a), part(b)
+    common = F.ceil(percent * (n + m) / (100 + percent))  # least common words
+    fits = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
+    ahead = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= common
+    flips = [F.bit_count(F.col(f"{a}{bits}").bitwiseXOR(F.col(f"{b}{bits}"))) for bits in ("b1", "b2")]
+    return fits & ahead & (flips[0] + flips[1] <= n + m - 2 * common)
+
+
+def _similar(pairs: DataFrame, rows: DataFrame, percent: int, purpose: str) -> DataFrame:
+    """Later lines ``(id, at)`` of those pairs ``(id, at, eid, eat)`` that are similar indeed."""
+    pairs = written(pairs.distinct(), purpose)
+    asked = pairs.select(*LINE).union(pairs.select("eid", "eat")).distinct()
+    asked = asked.groupBy("id", _low(F.col("at")).alias("s")).agg(F.collect_set(_pos(F.col("at"))).alias("wanted"))
+    asked = sized(written(asked, f"{purpose}-asked"), F.size("wanted")).withColumnsRenamed({"id": "_id", "s": "_s"})
+    texts = rows.join(asked, rows["id"].eqNullSafe(F.col("_id")) & (_low(rows["sum"]) == F.col("_s")))
+    parts = F.split("text", "\n")
+    lines = texts.select("id", "sum", F.explode(F.arrays_zip(F.col("wanted").alias("pos"), F.transform("wanted", lambda p: F.get(parts, p)).alias("line"))).alias("l"))
+    sets = lines.select("id", _at(F.col("l.pos").cast("long"), F.col("sum")).alias("at"), _hashes(F.col("l.line")).alias("words"))
+    sets = written(sets.dropDuplicates(LINE), f"{purpose}-sets")
+    earlier = sets.select(F.col("id").alias("_eid"), F.col("at").alias("_eat"), F.col("words").alias("earlier"))
+    mine = sets.select(F.col("id").alias("_id"), F.col("at").alias("_at"), "words")
+    both = pairs.join(mine, pairs["id"].eqNullSafe(F.col("_id")) & (pairs["at"] == F.col("_at")))
+    both = both.join(earlier, F.col("eid").eqNullSafe(F.col("_eid")) & (F.col("eat") == F.col("_eat")))
+    common = F.size(F.array_intersect("words", "earlier"))
+    similar = 100 * common >= percent * (F.size("words") + F.size("earlier") - common)
+    return both.filter(similar).select(*LINE).distinct()
 
 
 def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``(id, sum, gone)``: numbers of the removed lines of each text, which its id and checksum name."""
+    """``(id, s, gone)``: numbers of the removed lines of each text, named by its id and half of its checksum."""
     rows = docs.filter(F.col(text).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(text).alias("sum"), F.col(text).alias("text"))
-    lines = written(_keyed(_lines(rows)).select("id", "sum", "pos", *KEY), "line-keys")
-    place = _order("id", "pos")
-    first = lines.groupBy(*KEY).agg(F.min(place).alias("first"), F.count("*").alias("copies")).filter("copies > 1").select(*KEY, "first")
-    repeats = lines.join(sized(written(first, "line-first")), KEY).filter(place > F.col("first")).select("id", "sum", "pos").distinct()
-    repeats = written(repeats, "line-repeats")
-    gone = repeats.groupBy("id", "sum").agg(F.collect_set("pos").alias("gone"))
-    gone = sized(written(gone, "line-gone"), F.size("gone"))
-    release(docs.sparkSession)
-    firsts = rows.join(gone, (rows["id"].eqNullSafe(gone["id"])) & (rows["sum"] == gone["sum"]), "left").select(
-        rows["id"], rows["sum"], "text", "gone")
-
-    # Prefixes in the order of rarity.
-    levels = F.lit(_rarity(_lines(firsts)))
-    ranked = F.array_sort(F.transform("words", lambda w: F.struct(
-        F.substr(levels, F.pmod(w, F.lit(RARITY_BUCKETS)).cast("int") + 1, F.lit(1)).alias("n"), w.alias("w"))))
-    n = F.size("words")
-    prefix = F.slice(ranked, 1, F.least(n, n - F.ceil(percent * n / 100) + SHARED).cast("int"))
-    posted = _keyed(_lines(firsts)).select("id", "sum", "pos", *KEY, n.alias("n"), F.posexplode(prefix).alias("i", "p"))
-    posted = posted.select("id", "sum", "pos", *KEY, "n", "i", F.col("p.w").alias("w"))
-    by_word = Window.partitionBy("w")
-    head = F.struct(_order("id", "pos").alias("at"), "k1", "k2", "n", "i")
-    shared = posted.withColumn("df", F.count("*").over(by_word)).filter("df > 1").withColumn("head", F.min(head).over(by_word))
-    shared = written(shared, "line-shared")
-    release(docs.sparkSession)
-
-    # With the first line that has the word.
-    star = shared.select("id", "pos", *KEY, "n", "i", F.col("head.at").alias("at"), F.col("head.k1").alias("e1"),
-                         F.col("head.k2").alias("e2"), F.col("head.n").alias("hn"), F.col("head.i").alias("hi"))
-    star = star.filter((_order("id", "pos") > F.col("at")) & _may_match("", "h", percent)).select(*KEY, "e1", "e2").distinct()
-    star = written(star, "line-star")
-    matched = written(_verified(star, _sets_of(star, firsts, "line-star-sets"), percent), "line-star-matched")
-    release(docs.sparkSession)
+    lines = _line_table(rows, percent)
+    place = _place("id", "at")
+    first = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
+    first = sized(written(first.select("k1", "k2", "first"), "line-first"))
+    repeated = place > F.col("first")
+    repeats = lines.select(*LINE, "k1", "k2").join(first, ["k1", "k2"]).filter(repeated).select(*LINE)
+    # One line of each class is enough, also where several stand at its first place.
+    alone = F.col("first").isNull() | ~repeated
+    firsts = lines.filter(F.size("prefix") > 0).join(first, ["k1", "k2"], "left").filter(alone).select(*LINE, "n", "prefix", "b1", "b2")
+
+    # With the first line that has one of the rarest words.
+    star = _rows_of(firsts, F.slice("prefix", 1, STAR))
+    salts = F.greatest(F.lit(1), F.ceil(F.pow(F.lit(2.0), F.col("level") / STEPS) / GROUP_ROWS))
+    star = star.withColumn("salt", F.pmod(F.xxhash64(*LINE), salts))
+    group = Window.partitionBy("w", "salt")
+    star = star.withColumn("first", F.min(F.struct(place.alias("place"), F.col("at").alias("eat"), *[F.col(c).alias(f"e{c}") for c in ("ni", "b1", "b2")])).over(group))
+    star = star.select(*LINE, "ni", "b1", "b2", "first.*").filter((place > F.col("place")) & _may_match("", "e", percent))
+    settled = written(_similar(star.select(*LINE, F.col("place.id").alias("eid"), "eat"), rows, percent, "line-star"), "line-settled")
 
     # Those left with all others in front of them.
-    left = shared.filter("df > 2").join(matched, KEY, "left_anti").filter(_order("id", "pos") > F.col("head.at"))
-    left = left.select("w", "id", "pos", *KEY, F.col("n").alias("qn"), F.col("i").alias("qi"))
-    other = shared.filter("df > 2").filter(_order("id", "pos") > F.col("head.at")).select(
-        "w", _order("id", "pos").alias("at"), F.col("k1").alias("e1"), F.col("k2").alias("e2"), F.col("n").alias("en"), F.col("i").alias("ei"))
-    rest = left.join(other, "w").filter((_order("id", "pos") > F.col("at")) & _may_match("q", "e", percent))
-    # A pair with the first line of a word has been verified; all its other words in common are counted here.
-    pair = [*KEY, "e1", "e2"]
-    rest = rest.groupBy(*pair).agg(F.count("*").alias("shared"), F.max(F.least("qn", "en")).alias("least"))
-    rest = rest.filter(F.col("shared") >= F.least(F.lit(SHARED), "least")).select(*pair)
-    rest = written(rest.join(star, pair, "left_anti"), "line-rest")
-    release(docs.sparkSession)
-    more = _verified(rest, _sets_of(rest, firsts, "line-rest-sets"), percent)
-
-    similar = shared.select("id", "sum", "pos", *KEY).distinct().join(matched.union(more).distinct(), KEY).select("id", "sum", "pos")
-    return repeats.union(similar).distinct().groupBy("id", "sum").agg(F.collect_set("pos").alias("gone"))
+    known = sized(settled.withColumnsRenamed({"id": "_id", "at": "_at"}))
+    same = firsts["id"].eqNullSafe(F.col("_id")) & (firsts["at"] == F.col("_at"))
+    index = firsts.join(known, same, "left").withColumn("settled", F.col("_at").isNotNull().cast("int")).drop("_id", "_at")
+    index = _rows_of(index, F.col("prefix")).drop("level")
+    other = index.select("w", *[F.col(c).alias(f"e{c}") for c in index.columns if c != "w"])
+    # Both sides are one exchange: a condition on one of them alone would be applied before it and part them.
+    left = F.col("settled") * F.shiftright("eni", 32) < 1
+    rest = index.join(other, "w").filter(left & (place > _place("eid", "eat")) & _may_match("", "e", percent))
+    more = _similar(rest.select(*LINE, "eid", "eat"), rows, percent, "line-rest")
+    gone = repeats.union(settled).union(more).distinct()
+    return gone.groupBy("id", _low(F.col("at")).alias("s")).agg(F.collect_set(_pos(F.col("at"))).alias("gone"))
 
 
 def dedupe_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``docs`` with the text without its removed lines, and ``_lines`` and ``_removed``, how many there were."""
+    if clash := {"_lines", "_removed"} & set(docs.columns):
+        raise ValueError(f"the input already has columns {sorted(clash)}")
     gone = sized(written(removed_lines(docs, percent, text, key), "line-removed"), F.size("gone"))
-    gone = gone.select(F.col("id").alias("_id"), F.col("sum").alias("_sum"), F.col("gone").alias("_gone"))
-    rows = docs.join(gone, docs[key].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text]) == F.col("_sum")), "left")
-    parts = F.split(F.col(text), "\n")
+    gone = gone.select(F.col("id").alias("_id"), F.col("s").alias("_s"), F.col("gone").alias("_gone"))
+    # The columns of the caller travel as one, so that their names cannot meet those used here.
+    packed = docs.select(F.struct(*docs.columns).alias("_own"), F.col(key).alias("_key"), F.col(text).alias("_text"))
+    rows = packed.join(gone, F.col("_key").eqNullSafe(F.col("_id")) & (_low(F.xxhash64("_text")) == F.col("_s")), "left")
+    parts = F.split("_text", "\n")
     kept = F.filter(parts, lambda x, i: ~F.array_contains("_gone", i))
     worded = F.size(F.filter(parts, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     columns = [
-        F.when(F.col("_gone").isNull(), docs[text]).otherwise(F.array_join(kept, "\n")).alias(text) if c == text else docs[c]
+        F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(kept, "\n")).alias(text) if c == text else F.col("_own")[c].alias(c)
         for c in docs.columns
     ]
     return rows.select(
         *columns,
-        F.when(docs[text].isNull(), 0).otherwise(worded).cast("long").alias("_lines"),
+        F.when(F.col("_text").isNull(), 0).otherwise(worded).cast("long").alias("_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("_removed"),
     )

@@ -154,7 +154,7 @@ WITH l AS (
            list_sort(list_distinct(list_filter(regexp_split_to_array(lower(parts[p]), '[\x20\x09-\x0D]+'), lambda x: x <> ''))) AS s
     FROM (SELECT doc_id, string_split(text, chr(10)) AS parts, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS p
           FROM documents WHERE text IS NOT NULL)),
-c AS (SELECT s, row_number() OVER (ORDER BY min((doc_id, p))) AS c, min((doc_id, p)) AS first FROM l WHERE len(s) >= 5 GROUP BY s),
+c AS (SELECT s, row_number() OVER (ORDER BY min((doc_id, p))) AS c, min((doc_id, p)) AS first FROM l WHERE len(s) >= 1 GROUP BY s),
 t AS (SELECT c, len(s) AS n, unnest(s) AS w FROM c),
 df AS (SELECT w, count(*) AS f FROM t GROUP BY w),
 pre AS (SELECT c, w FROM (SELECT c, n, t.w, row_number() OVER (PARTITION BY c ORDER BY f, t.w) AS r FROM t JOIN df USING (w))

@@ -100,7 +100,7 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
-def brute_lines(rows, percent=80, least=5):
+def brute_lines(rows, percent=80):
     flat = []
     for i, t in rows:
         if t is not None:
@@ -109,15 +109,13 @@ def brute_lines(rows, percent=80, least=5):
                 flat.append(((i is None, i or 0, p), i, t, p, s))
     gone = set()
     for at, i, t, p, s in flat:
-        if len(s) >= least and any(
-            o < at and len(z) >= least and 100 * len(s & z) >= percent * len(s | z) for o, _, _, _, z in flat
-        ):
+        if s and any(o < at and 100 * len(s & z) >= percent * len(s | z) for o, _, _, _, z in flat):
             gone.add((i, t, p))
     return {(i, t): "\n".join(x for p, x in enumerate(t.split("\n")) if (i, t, p) not in gone) for i, t in rows if t is not None}
 
 
-@pytest.mark.parametrize("broadcast", [10**6, 0])
-def test_line_dedup(spark, monkeypatch, broadcast):
+@pytest.mark.parametrize("broadcast,percent", [(10**6, 80), (0, 80), (0, 60), (10**6, 100)])
+def test_line_dedup(spark, monkeypatch, broadcast, percent):
     monkeypatch.setattr("telemetry_lake.llm.common.BROADCAST_ROWS", broadcast)
     rnd = random.Random(8)
     pool = [prose(i, rnd.randrange(3, 30), 60) for i in range(40)]
@@ -126,13 +124,34 @@ def test_line_dedup(spark, monkeypatch, broadcast):
         own = [edited(rnd.choice(pool), i, rnd.choice([0, 0, 0.05, 0.1, 0.4])) for _ in range(rnd.randrange(1, 6))]
         rows.append((1000 - i, "\n".join([*own, "", "Short one."])))
     rows += [(None, pool[3]), rows[-1], (3, pool[5] + "\n" + pool[5].upper())]
-    df = documents(spark, rows).withColumn("gone", F.lit("mine")).withColumn("w", F.lit(1))
-    got = lines.dedupe_lines(df).collect()
-    assert len(got) == len(rows) and all(r.gone == "mine" and r.w == 1 for r in got)
-    expected = sorted(((i is None, i or 0), t or "") for (i, _), t in brute_lines(rows).items() for _ in range(rows.count((i, _))))
+    rows += [(2000 + i, "\n".join(" ".join(rnd.sample("abcde", rnd.randrange(1, 6))) for _ in range(3))) for i in range(20)]
+    monkeypatch.setattr(lines, "GROUP_ROWS", 10**6 if broadcast else 4)
+    df = documents(spark, rows).withColumn("gone", F.lit("mine")).withColumn("w", F.lit(1)).withColumn("_id", F.lit(2)).withColumn("at", F.lit(3))
+    got = lines.dedupe_lines(df, percent).collect()
+    assert len(got) == len(rows) and all((r.gone, r.w, r._id, r.at) == ("mine", 1, 2, 3) for r in got)
+    expected = sorted(((i is None, i or 0), t or "") for (i, _), t in brute_lines(rows, percent).items() for _ in range(rows.count((i, _))))
     assert sorted(((r.doc_id is None, r.doc_id or 0), r.text or "") for r in got if r.text is not None) == expected
 
 
+def test_a_hot_word_and_many_versions_of_a_line(spark):
+    """A word that every line has, and a line of which most texts have a version of their own."""
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(30)]
+    rows = [(i, " ".join(["hot", *(w if rnd.random() > 0.02 else f"x{i}" for w in base)])) for i in range(150)]
+    rows += [(200 + i, " ".join(["hot", *prose(i, rnd.randrange(1, 9), 12).split()])) for i in range(150)]
+    got = {r.doc_id: r.text for r in lines.dedupe_lines(documents(spark, rows)).collect()}
+    assert got == {i: t for (i, _), t in brute_lines(rows).items()}
+    with pytest.raises(ValueError):
+        lines.dedupe_lines(documents(spark, []).withColumn("_lines", F.lit(1)))
+
+
+def test_short_lines_need_words_to_differ_by_one():
+    assert [lines.least_words(p) for p in (50, 60, 80, 85, 90)] == [1, 2, 4, 6, 9]
+    for percent in (50, 60, 80, 85, 90):
+        n = lines.least_words(percent)
+        assert 100 * n >= percent * (n + 1) and 100 * (n - 1) < percent * n
+
+
 def brute_cut(rows, length):
     seen = {}
     for i, t in rows:
