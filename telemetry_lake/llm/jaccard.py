@@ -12,23 +12,25 @@
    chose the shingle and a chunk of its list, or two chunks of the list where most chose it. Chunks are dealt by hash,
    so a block has about two chunks of shingles at most, or one set that is longer. No row holds a pair.
 4. In a block each document searches the inverted index of the whole sets with DivideSkip: the longest lists are
-   set aside, the short ones are merged with a heap, and documents that occur often enough are looked up in the
-   long ones by binary search until the needed overlap is reached or out of reach. Only links that
-   connect something new leave the block.
+   set aside, the short ones are merged (with a heap, or as sorted runs where they hold many entries), and documents
+   that occur often enough are looked up in the long ones by binary search until the needed overlap is reached or out of
+   reach. Every link between two classes is found; a pair that meets in several blocks is counted in one. Links that
+   connect what was apart leave the block as pairs, and all others as numbers of links, so that many similar
+   texts do not leave it as all their pairs.
 
 All is exact: no candidate is dropped, whatever the length of a list. Hashes have 64 bits.
 
 Defined results: NULL texts and texts without words have an empty set and are linked with nothing; equal sets
-are linked; rows with the same id belong together; a NULL id has no partner but rows of an equal set.
+are linked; rows with the same id belong together; a NULL id has no partner but rows of an equal set. Very long texts
+are sets like any other, taken whole; empty tables give empty results. Other columns of the documents are not read,
+whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
 import heapq
-from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import groupby
 from math import log2
 
 import numpy as np
@@ -38,12 +40,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import components, release, sized, slices, written
+from telemetry_lake.llm.common import components, sized, slices, written
 from telemetry_lake.llm.shingles import sets_of
 
 WORDS, PERCENT = 5, 80
 # Bytes of text handled at a time, and shingles in a chunk of a group.
 CHUNK_BYTES, CHUNK_SHINGLES = 4 << 20, 400_000
+# What merging an entry costs against a step of a binary search, and entries that are merged with a heap.
+MERGE_COST, HEAP_ENTRIES = 1.0, 64
+# Tiers of list lengths: each holds lists of up to four times the length.
+MOST_TIERS = 32
 
 
 def lacking(n, percent: int):
@@ -108,92 +114,145 @@ def candidate_lists(leads: DataFrame, percent: int) -> DataFrame:
 
 
 class Block:
-    """DivideSkip over the sets of one block; ``links`` yields pairs that connect what was apart."""
-
-    def __init__(self, ids: list[int], sets: list[np.ndarray], percent: int):
-        self.ids, self.sets, self.percent = ids, sets, percent
-        self.parent = list(range(len(ids)))
-        order = sorted(range(len(ids)), key=lambda i: (len(sets[i]), ids[i]))
-        self.ids, self.sets = [ids[i] for i in order], [sets[i] for i in order]
-        self.sizes = [len(s) for s in self.sets]
-        tokens = np.concatenate(self.sets)
-        owner = np.repeat(np.arange(len(self.sets)), self.sizes)
+    """DivideSkip over the sets of one block.
+
+    ``chunks`` are the chunks the sets come from and ``cross`` says that the block joins two of them, whose inner pairs
+    meet elsewhere. ``places`` has for every set its groups of the tiers below the block's, in which a pair that
+    shares one of them has been counted.
+    """
+
+    def __init__(
+        self, ids: list[int], sets: list[np.ndarray], percent: int, weights: np.ndarray | None = None,
+        chunks: np.ndarray | None = None, cross: bool = False, places: np.ndarray | None = None,
+    ):
+        sizes = np.array([len(s) for s in sets])
+        order = np.lexsort((np.array(ids), sizes))
+        pick = lambda values, missing: (missing if values is None else values)[order]
+        self.percent, self.cross = percent, cross
+        self.ids, self.sizes = np.array(ids)[order], sizes[order]
+        self.weights = pick(weights, np.ones(len(ids), np.int64))
+        self.chunks = pick(chunks, np.zeros(len(ids), np.int64))
+        self.places = pick(places, np.zeros((len(ids), 0), np.int64))
+        self.label = np.arange(len(ids))
+        self.n_links = np.zeros(len(ids), np.int64)
+        tokens = np.concatenate([sets[i] for i in order.tolist()])
+        owner = np.repeat(np.arange(len(ids)), self.sizes)
         by = np.argsort(tokens, kind="stable")  # owners stay in order within a list
-        first = np.flatnonzero(np.concatenate([[True], tokens[by][1:] != tokens[by][:-1]]))
-        begin = np.repeat(first, np.diff(np.append(first, len(tokens))))
-        # Of each set, where the lists of its tokens begin and where it stands in them itself.
-        self.owners, self.begin, self.own = owner[by], np.empty(len(tokens), np.int64), np.empty(len(tokens), np.int64)
-        self.begin[by], self.own[by] = begin, np.arange(len(tokens))
+        new = np.concatenate([[True], tokens[by][1:] != tokens[by][:-1]])
+        self.list_of = np.empty(len(tokens), np.int64)
+        self.list_of[by] = np.cumsum(new) - 1
+        # Entries of all lists in one ascending array: list times number of sets, plus owner.
+        self.entries = self.list_of[by] * len(ids) + owner[by]
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
 
-    def find(self, i: int) -> int:
-        while self.parent[i] != i:
-            self.parent[i] = self.parent[self.parent[i]]
-            i = self.parent[i]
-        return i
-
-    def links(self) -> Iterator[tuple[int, int]]:
-        roots = len(self.ids)
-        for q, own in enumerate(self.sets):
-            if roots == 1:
-                return
-            # Partners before q, of sufficient size; the other direction finds those behind it.
-            low = bisect_left(self.sizes, -(-self.percent * len(own) // 100), 0, q)
-            if low == q or all(self.find(j) == self.find(q) for j in range(low, q)):
-                continue
-            for j in self.search(q, low):
-                a, b = self.find(q), self.find(j)
-                if a != b:
-                    self.parent[a] = b
-                    roots -= 1
-                    yield self.ids[q], self.ids[j]
-
-    def search(self, q: int, low: int) -> Iterator[int]:
-        n, percent = self.sizes[q], self.percent
-        part = slice(self.starts[q], self.starts[q + 1])
-        begin, end = self.begin[part], self.own[part]  # lists in front of q
-        least = needed(n, self.sizes[low], percent)
+    def links(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Each set with all sets in front of it, in the order of sizes, that it is linked with."""
+        for q in range(1, len(self.ids)):
+            low = int(np.searchsorted(self.sizes, -(-self.percent * int(self.sizes[q]) // 100)))
+            if low < q and len(found := self.search(q, low)):
+                if self.cross:
+                    found = found[self.chunks[found] != self.chunks[q]]
+                yield q, found
+
+    def run(self) -> Iterator[tuple[int, int]]:
+        """Pairs that connect what was apart; counts the links of every set on the way."""
+        for q, found in self.links():
+            roots, first = np.unique(self.label[found], return_index=True)
+            for root, j in zip(roots.tolist(), found[first].tolist(), strict=True):
+                if root != self.label[q]:
+                    self.label[self.label == root] = self.label[q]
+                    yield int(self.ids[q]), int(self.ids[j])
+            counted = found[~self._elsewhere(q, found)]
+            self.n_links[q] += self.weights[counted].sum()
+            self.n_links[counted] += self.weights[q]
+
+    def pairs(self) -> Iterator[tuple[int, int]]:
+        """All links that are not counted elsewhere, as places in the block."""
+        for q, found in self.links():
+            for j in found[~self._elsewhere(q, found)].tolist():
+                yield q, j
+
+    def _elsewhere(self, q: int, found: np.ndarray) -> np.ndarray:
+        return ((self.places[found] == self.places[q]) & (self.places[q] != 0)).any(1)
+
+    def search(self, q: int, low: int) -> np.ndarray:
+        """The sets ``low..q-1`` that share enough with set ``q``."""
+        count, percent = len(self.ids), self.percent
+        lists = self.list_of[self.starts[q] : self.starts[q + 1]] * count
+        begin, end = np.searchsorted(self.entries, lists + low), np.searchsorted(self.entries, lists + q)
+        needed_by = lambda j: -(-percent * (int(self.sizes[q]) + self.sizes[j]) // (100 + percent))
+        least = int(needed_by(low))
         filled = np.flatnonzero(end > begin)
         if len(filled) < least:
-            return
-        filled = filled[np.argsort((end - begin)[filled], kind="stable")]
-        bounds = list(zip(begin[filled].tolist(), end[filled].tolist(), strict=True))
-        most = bounds[-1][1] - bounds[-1][0]
-        long = min(least - 1, int(least / (0.01 * log2(most + 1) + 1)))
-        cut = len(bounds) - long
-        short = [self.owners[a:b].tolist() for a, b in bounds[:cut]]
-        probed: list[list[int]] = []  # the long lists, as far as a candidate has been looked up in them
-        for j, same in groupby(heapq.merge(*short)):
-            count, target = sum(1 for _ in same), needed(n, self.sizes[j], percent)
-            if j < low or count + long < target or self.find(j) == self.find(q):
-                continue
-            for left in range(long, 0, -1):
-                if count >= target or count + left < target:
-                    break
-                if len(probed) <= long - left:
-                    a, b = bounds[cut + len(probed)]
-                    probed.append(self.owners[a:b].tolist())
-                own = probed[long - left]
-                k = bisect_left(own, j)
-                count += k < len(own) and own[k] == j
-            if count >= target:
-                yield j
+            return filled[:0]
+        length = (end - begin)[filled]
+        order = np.argsort(length, kind="stable")
+        filled, length = filled[order], length[order]
+        long = min(least - 1, int(least / (MERGE_COST * log2(int(length[-1]) + 1) + 1)))
+        cut = len(filled) - long
+        j, occurs = self._merged(begin[filled[:cut]], length[:cut], lists[filled[:cut]])
+        target = needed_by(j)
+        for k in range(long):
+            open_ = occurs + (long - k) >= target
+            j, occurs, target = j[open_], occurs[open_], target[open_]
+            if not len(j):
+                return j
+            wanted = lists[filled[cut + k]] + j
+            at = np.minimum(np.searchsorted(self.entries, wanted), len(self.entries) - 1)
+            occurs = occurs + (self.entries[at] == wanted)
+        return j[occurs >= target]
+
+    def _merged(self, begin: np.ndarray, length: np.ndarray, lists: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Owners in these lists, ascending, and in how many of them each occurs."""
+        total = int(length.sum())
+        if total <= HEAP_ENTRIES:
+            runs = [(self.entries[a : a + n] - of).tolist() for a, n, of in zip(begin.tolist(), length.tolist(), lists.tolist(), strict=True)]
+            owners = np.fromiter(heapq.merge(*runs), np.int64, total)
+        else:
+            at = np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(total)
+            owners = np.sort(self.entries[at] - np.repeat(lists, length), kind="stable")
+        new = np.flatnonzero(np.concatenate([[True], owners[1:] != owners[:-1]])) if total else np.zeros(0, np.int64)
+        return owners[new], np.diff(np.append(new, total))
 
 
 def class_links(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
-    """Links ``(a, b)`` between classes. ``sets`` has ``(rep, tokens)``, ``blocks`` the blocks of each ``rep``."""
+    """``(a, b, n)``: links between classes that connect all that is connected, and in rows without a ``b`` numbers of
+    links of classes to other documents.
+
+    ``sets`` has ``(rep, tokens, weight)``, ``blocks`` the blocks of each ``rep`` (see ``blocks_of``). Blocks of lists
+    give every link as a pair instead of a number, since the lists of two classes may meet more than once.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         ids = table.column("rep").to_pylist()
-        sets = [np.asarray(v.values, np.int64).view(np.uint64) for c in table.column("tokens").chunks for v in c]
-        pairs = list(Block(ids, sets, percent).links()) if len(ids) > 1 else []
-        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
-
-    return blocks.join(sets, "rep").groupBy("block").applyInArrow(run, "a bigint, b bigint")
+        out: list[tuple[int, int | None, int | None]] = []
+        if len(ids) > 1:
+            sets = [np.asarray(v.values, np.int64).view(np.uint64) for c in table.column("tokens").chunks for v in c]
+            places = table.column("places").to_pylist()
+            tier = table.column("tier")[0].as_py()
+            wide = np.zeros((len(ids), MOST_TIERS if tier is None else tier), np.int64)
+            for i, own in enumerate(places):
+                for place in own or ():
+                    if place["tier"] < wide.shape[1]:
+                        wide[i, place["tier"]] = place["component"]
+            weights, chunks = (table.column(name).to_numpy() for name in ("weight", "mine"))
+            block = Block(ids, sets, percent, weights, chunks, bool(table.column("crossing")[0].as_py()), wide)
+            if tier is None:
+                out = [(int(block.ids[q]), int(block.ids[j]), 1) for q, j in block.pairs()]
+            else:
+                out = [(a, b, None) for a, b in block.run()]
+                out += [(int(block.ids[i]), None, int(block.n_links[i])) for i in np.flatnonzero(block.n_links).tolist()]
+        a, b, n = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
+
+    return blocks.join(sets, "rep").groupBy("block").applyInArrow(run, "a bigint, b bigint, n bigint")
 
 
 def blocks_of(lists: DataFrame) -> DataFrame:
-    """``(rep, block)``: the blocks in which each class meets all its candidates.
+    """``(rep, block, mine, crossing, tier, places)``: the blocks in which each class meets all its candidates.
+
+    ``mine`` is the chunk of the class, ``crossing`` says that the block joins two chunks of a group. ``places`` are the
+    groups of the class by tier, as far as these are sent whole; blocks of lists have no ``tier``.
 
     Lists with the same members count once. Lists are grouped with those of similar length only, so that passages
     that many documents share do not chain the groups of the others together. A group is sent as a whole or,
@@ -210,7 +269,7 @@ def blocks_of(lists: DataFrame) -> DataFrame:
     members = written(members, "jaccard-members")
     groups = components(members.select(F.col("node").alias("a"), F.xxhash64("leader", "tier").alias("b")), "jaccard-groups")
     chunks = lambda weight: F.ceil(F.col(weight) / CHUNK_SHINGLES)
-    classes = members.select("node", "rep", "n").distinct().join(groups, "node")
+    classes = members.select("node", "rep", "n", "tier").distinct().join(groups, "node")
     size = classes.groupBy("component").agg(F.sum("n").alias("total"))
     # Of a list of several chunks, those that chose its shingle are cut into chunks of their own.
     asking = members.filter("chosen").filter(F.col("weight") > CHUNK_SHINGLES).groupBy("token").agg(F.sum("n").alias("asked"))
@@ -225,11 +284,14 @@ def blocks_of(lists: DataFrame) -> DataFrame:
     )
     placed = written(classes.join(plan, "component"), "jaccard-placed")
     # Of a group each class meets all others: a block per pair of chunks.
-    whole = placed.filter("NOT by_list").select("rep", "component", chunks("total").alias("c"))
+    sent_whole = placed.filter("NOT by_list")
+    places = sent_whole.groupBy("rep").agg(F.collect_list(F.struct("tier", "component")).alias("places"))
+    whole = sent_whole.select("rep", "component", "tier", chunks("total").alias("c"))
     whole = whole.withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("c")))
     whole = whole.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
     name = lambda *parts: F.concat_ws("/", *[F.col(p).cast("string") if isinstance(p, str) else p for p in parts])
-    whole = whole.select("rep", name(F.lit("g"), "component", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string")).alias("block"))
+    block = name(F.lit("g"), "component", F.least("mine", "other").cast("string"), F.greatest("mine", "other").cast("string"))
+    whole = whole.select("rep", block.alias("block"), "mine", (F.col("mine") != F.col("other")).alias("crossing"), F.col("tier").cast("int").alias("tier"))
     # Of a list only the classes that chose its shingle have to meet the others: a block per pair of a chunk of these
     # and a chunk of the list. Where most of a list chose, it is cut like a group.
     single = placed.filter("by_list").select("node").join(members, "node")
@@ -239,36 +301,88 @@ def blocks_of(lists: DataFrame) -> DataFrame:
     met = F.transform(upto("k"), lambda i: place(i, F.col("mine")))
     meets = F.transform(upto("c"), lambda j: place(F.col("asks"), j))
     paired = F.transform(upto("c"), lambda j: place(F.least("mine", j), F.greatest("mine", j)))
-    places = F.when(most, paired).when(F.col("chosen"), F.array_union(met, meets)).otherwise(met)
-    single = single.withColumn("place", F.explode(places)).select("rep", name(F.lit("t"), "token", "place").alias("block"))
-    return whole.union(single)
+    stands = F.when(most, paired).when(F.col("chosen"), F.array_union(met, meets)).otherwise(met)
+    single = single.withColumn("place", F.explode(stands)).select(
+        "rep", name(F.lit("t"), "token", "place").alias("block"), "mine", F.lit(False).alias("crossing"), F.lit(None).cast("int").alias("tier")
+    )
+    return whole.union(single).join(places, "rep", "left")
 
 
-def _classes(sets: DataFrame) -> DataFrame:
-    """``(digest, n, tokens, rep)`` of each distinct set; copies are combined before the shuffle."""
+def _classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(rep, n, tokens)`` of each distinct set, and ``(digest, n, rep, weight)`` of those that several rows have.
+
+    Copies are found by their digests, which are combined before the shuffle; the sets of others stay where they are.
+    """
     rows = sets.filter("n > 0 AND id IS NOT NULL")
-    return rows.groupBy("digest", "n").agg(F.min_by("tokens", "id").alias("tokens"), F.min("id").alias("rep"))
+    copies = rows.groupBy("digest", "n").agg(F.min("id").alias("rep"), F.count("*").alias("weight")).filter("weight > 1")
+    copies = written(copies, "jaccard-copies")
+    known = sized(copies.select("digest", "n", "rep"))
+    single = rows.join(known, ["digest", "n"], "left").select(F.coalesce("rep", "id").alias("rep"), "id", "n", "digest", "tokens", F.col("rep").isNull().alias("alone"))
+    several = single.filter("NOT alone AND id = rep").dropDuplicates(["digest", "n"])
+    return single.filter("alone").unionByName(several).select("rep", "n", "tokens"), copies
 
 
 def join_similar(
     docs: DataFrame, size: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """``(key, n_shingles, component_id)`` for each row: size of its set, and the smallest id linked to it."""
+    """``(key, n_shingles, component_id, n_links)`` for each row: size of its set, the smallest id linked to it, and
+    the number of other rows it is linked with directly, copies and near copies alike."""
     sets = written(shingle_sets(docs, size, percent, text, key), "jaccard-sets")
-    lists = written(candidate_lists(_classes(sets), percent), "jaccard-lists")
-    release(docs.sparkSession)
+    leads, copies = _classes(sets)
+    lists = written(candidate_lists(leads, percent), "jaccard-lists")
     blocks = written(blocks_of(lists), "jaccard-blocks")
-    release(docs.sparkSession)
     asked = sized(written(blocks.select("rep").distinct(), "jaccard-asked"))
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text")).join(asked, "rep")
-    full = shingle_sets(texts, size, percent, "_text", "rep", whole=True).filter("n > 0")
-    full = written(full.select(F.col("id").alias("rep"), "tokens").dropDuplicates(["rep", "tokens"]), "jaccard-full")
-    links = written(class_links(full, blocks, percent), "jaccard-links")
-    release(docs.sparkSession)
-    labels = components(links, "jaccard-components")
+    full = shingle_sets(texts, size, percent, "_text", "rep", whole=True).filter("n > 0").withColumnRenamed("id", "rep")
+    many = sized(copies.select("digest", "n", "weight"))
+    full = full.join(many, ["digest", "n"], "left").select("rep", "tokens", F.coalesce("weight", F.lit(1)).alias("weight"))
+    full = written(full.dropDuplicates(["rep", "tokens"]), "jaccard-full")
+    found = written(class_links(full, blocks, percent), "jaccard-links")
+    labels = components(found.filter("b IS NOT NULL").select("a", "b"), "jaccard-components")
+    # Links of blocks of lists come as pairs, some more than once.
+    pairs = found.filter("b IS NOT NULL AND n IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = pairs.union(pairs.select("b", "a")).join(full.select(F.col("rep").alias("b"), "weight"), "b").select("a", F.col("weight").alias("n"))
+    numbers = found.filter("b IS NULL").select("a", "n").union(ends).groupBy("a").agg(F.sum("n").alias("to_others"))
     # Classes of more than one row, or linked with another one; all other rows stand for themselves.
-    many = sets.filter("n > 0").groupBy("digest", "n").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
-    classes = many.join(labels, many["rep"] == labels["node"], "left").filter("rows > 1 OR component IS NOT NULL")
-    classes = classes.select("digest", "n", F.coalesce("component", "rep").alias("component"))
-    found = sets.select("id", "n", "digest").join(classes, ["digest", "n"], "left")
-    return found.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    every = sets.filter("n > 0").groupBy("digest", "n").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+    classes = every.join(labels, every["rep"] == labels["node"], "left").join(numbers, every["rep"] == numbers["a"], "left")
+    classes = classes.filter("rows > 1 OR component IS NOT NULL").select(
+        "digest", "n", F.coalesce("component", "rep").alias("component"), F.coalesce("to_others", F.lit(0)).alias("to_others"), "rows"
+    )
+    named = sets.select("id", "n", "digest").join(classes, ["digest", "n"], "left")
+    others = F.when(F.col("id").isNotNull(), F.col("to_others")).otherwise(0)
+    return named.select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"),
+        F.coalesce(others + F.col("rows") - 1, F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def one_of_each(docs: DataFrame, size: int = WORDS, percent: int = PERCENT, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``docs`` with one row of each group of similar documents: that of the smallest id, a NULL id being the largest.
+
+    Rows are told apart by id and checksum of the text: two texts under one id are two documents, and so are texts
+    without an id. Of rows equal in both, the smallest by its other columns stays. Rows without words all stay.
+    """
+    row, own = F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("id"), F.xxhash64(text).alias("sum")), F.col("_own")
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).alias("_key"), F.col(text).alias("_text"), row.alias("_name"))
+    names = written(packed.groupBy("_name").agg(F.count("*").alias("rows")), "jaccard-names")
+    # Documents without an id of their own get a number that no other one has.
+    shared = names.groupBy("_name.id").agg(F.count("*").alias("texts")).filter("id IS NULL OR texts > 1").select("id")
+    odd = names.select("_name").join(sized(written(shared, "jaccard-shared-ids")), F.col("_name.id").eqNullSafe(F.col("id")), "left_semi")
+    bounds = docs.agg(F.min(key).alias("low"), F.max(key).alias("high")).first()
+    low, high = bounds.low or 0, bounds.high or 0
+    number = F.lit(high) + 1 + F.monotonically_increasing_id() if high < 1 << 62 else F.lit(low) - 1 - F.monotonically_increasing_id()
+    odd = sized(written(odd.select(F.col("_name").alias("_odd"), number.alias("_number")), "jaccard-numbers"))
+    known = packed.join(odd, F.col("_name") == F.col("_odd"), "left").withColumn("_own", F.coalesce("_number", "_key"))
+    found = join_similar(known.select(own.alias("doc_id"), "_text"), size, percent, "_text", "doc_id")
+    found = written(found.filter("n_shingles > 0").select("doc_id", "component_id").distinct(), "jaccard-groups")
+    labels = known.select("_own", "_name").distinct().join(found, own == F.col("doc_id")).select("_own", "_name", "component_id")
+    first = labels.groupBy("component_id").agg(F.min(F.struct("_name", "_own")).alias("first")).select(F.col("first._own").alias("_kept"))
+    gone = found.join(first, F.col("doc_id") == F.col("_kept"), "left_anti").select(F.col("doc_id").alias("_gone"))
+    left = known.join(sized(written(gone, "jaccard-gone")), own == F.col("_gone"), "left_anti")
+    many = names.filter("rows > 1").select(F.col("_name").alias("_many"))
+    left = left.join(sized(written(many, "jaccard-many")), F.col("_name") == F.col("_many"), "left")
+    worded = F.col("_text").rlike(r"[^\x20\x09-\x0D]")
+    again = F.col("_many").isNotNull() & F.coalesce(worded, F.lit(False))
+    once = left.filter(again).groupBy("_own").agg(F.min("_row").alias("_row")).select("_row.*")
+    return left.filter(~again).select("_row.*").unionByName(once)

@@ -27,6 +27,8 @@ from telemetry_lake.llm.common import flat, slices
 from telemetry_lake.llm.grams import hashed, pieces
 
 TRAIN_DOCS, TRAIN_BYTES = 800, 8 << 20
+# Parts of a language whose first texts are found apart.
+PARTS = 64
 SIZES, BITS = (1, 2, 3, 4), 14
 CENTROIDS, ROUNDS, SEED = 4, 8, 11
 # Share of a centroid's training texts that lie beyond its rejection distance.
@@ -34,7 +36,7 @@ BEYOND = 0.005
 CHUNK_BYTES = 4 << 20
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LATIN = re.compile(rb"[A-Za-z]")
 
 ADDED = [
     T.StructField("language", T.StringType(), False),
@@ -63,6 +65,11 @@ def counts(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
         yield open_text, total
 
 
+def has_letter(text: bytes) -> bool:
+    """Whether a text has a character of one of the letter categories; numerals of any script are none."""
+    return bool(_LATIN.search(text)) or any(map(str.isalpha, text.decode("utf-8", "replace")))
+
+
 class Centroids:
     def __init__(self, languages: list[str], names: np.ndarray, rows: np.ndarray, idf: np.ndarray, radius: np.ndarray):
         self.languages, self.names, self.rows, self.idf, self.radius = languages, names, rows, idf, radius
@@ -76,7 +83,7 @@ class Centroids:
         out = [(UNKNOWN, 0.0, True)] * len(column)
         if not len(self.rows):
             return out
-        letters = [bool(v.is_valid and _LETTER.search(v.as_py().decode("utf-8", "replace"))) for v in column.cast(pa.large_binary())]
+        letters = [v.is_valid and has_letter(v.as_py()) for v in column.cast(pa.large_binary())]
         for i, total in counts(column):
             if letters[i]:
                 cosines = self.rows @ self.vector(total)
@@ -123,12 +130,16 @@ def fit(texts: list[str], languages: list[str]) -> Centroids:
 def sample(docs: DataFrame, learn: Column, text: str = "text", lang: str = "lang", key: str = "doc_id") -> list[tuple[str, str]]:
     """The bounded training sample, texts and languages. ``learn`` says of a row whether it may be used.
 
-    The first texts of each language are taken in every task before they meet.
+    The first texts of each language are taken in every task before they meet, first within parts of a language and
+    then among what each part has left, so that no task sees a language whole.
     """
     rows = docs.filter(learn & F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(key).alias("_id"), F.col(lang).alias("_lang"), F.octet_length(text).alias("_bytes"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id", "_bytes")
-    first = rows.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= TRAIN_DOCS)
+    first = rows.withColumn("_part", F.pmod(F.xxhash64("_id", "_bytes"), F.lit(PARTS)))
+    for keys in (["_lang", "_part"], ["_lang"]):
+        order = Window.partitionBy(*keys).orderBy(F.xxhash64("_id"), "_id", "_bytes")
+        first = first.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= TRAIN_DOCS)
+    first = first.drop("_part")
     chosen, total = [], 0
     for row in first.orderBy("_rank", "_lang").collect():
         if total + row._bytes <= TRAIN_BYTES:

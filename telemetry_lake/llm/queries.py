@@ -197,8 +197,9 @@ o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS o FROM s a JOIN s b ON a.
 links AS (
     SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 85 * (x.n + y.n - o)),
 walk AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT walk.a, links.b FROM walk JOIN links ON walk.b = links.a)
-SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, m AS component_id, coalesce(c, 0)::BIGINT AS n_links
 FROM documents LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS m FROM walk GROUP BY a) USING (doc_id)
+     LEFT JOIN (SELECT a AS doc_id, count(*) AS c FROM links GROUP BY a) USING (doc_id)
 """,
     "op5_url_filters": r"""
 WITH u AS (

@@ -11,8 +11,9 @@ Pointer jumping from the start of each file keeps the candidates that a chain of
 line inside a payload starts no record. Pieces between two kept candidates are put together again.
 
 Defined results: a NULL html is an empty payload; NULL urls and ids leave their header out (a NULL id reads back
-as NULL); line breaks in a url become blanks; rows that repeat the smallest id of a payload are responses too;
-an empty table gives an archive without records.
+as NULL); line breaks in a url become blanks, other separators of lines (U+0085, U+2028, U+2029) stay; rows that repeat
+the smallest id of a payload are responses too; an empty table gives an archive without records; very long payloads are
+records like any other. Other columns of the pages are not written, whatever their names.
 """
 
 from __future__ import annotations
@@ -75,7 +76,8 @@ def write_archive(
 
 def _field(head: Column, name: str) -> Column:
     """Value of a header, NULL if it is not there."""
-    found = F.regexp_extract(head, rf"(?im)^{name}:[ \t]*([^\r\n]*)", 1)
+    # A header begins behind the line break of the one before: a value may hold what other alphabets take for one.
+    found = F.regexp_extract(head, rf"(?i)(?:^|\n){name}:[ \t]*([^\r\n]*)", 1)
     return F.when(found != "", found)
 
 
@@ -97,7 +99,7 @@ def pieces_of(spark: SparkSession, folder: str) -> DataFrame:
 def parsed(pieces: DataFrame) -> DataFrame:
     """Adds ``head``, the length field of the header and ``body``, the bytes up to where the block begins."""
     df = pieces.withColumn("head", F.when(F.instr("value", END) > 0, F.substring_index("value", END, 1)))
-    length = F.regexp_extract("head", r"(?im)^Content-Length:[ \t]*([0-9]+)[ \t]*\r?$", 1).try_cast("long")
+    length = F.regexp_extract("head", r"(?i)(?:^|\n)Content-Length:[ \t]*([0-9]+)[ \t]*(?:\r|\n|\z)", 1).try_cast("long")
     return df.withColumn("length", length).withColumn("body", F.octet_length("head") + len(END))
 
 

@@ -1,6 +1,7 @@
 """Jaccard join, line dedup and suffix dedup against brute force."""
 
 import random
+import time
 
 import numpy as np
 import pytest
@@ -46,6 +47,17 @@ def brute_components(rows, size, percent):
     return {i: find(i) for i, _ in rows}
 
 
+def brute_links(rows, size, percent):
+    """Numbers of links by (id, text); rows of one id are one document."""
+    sets = [(i, t, shingle_set(t, size)) for i, t in rows]
+    out = {}
+    for x, (i, t, a) in enumerate(sets):
+        equal = sum(y != x and a == b for y, (_, _, b) in enumerate(sets)) if a else 0
+        others = sum(bool(b) and a != b and j is not None and i is not None and 100 * len(a & b) >= percent * len(a | b) for j, _, b in sets) if a else 0
+        out.setdefault((i, t), []).append(equal + others)
+    return {name: counts[0] for name, counts in out.items()}
+
+
 @pytest.mark.parametrize("size,percent,chunk,broadcast", [(4, 85, 400_000, 10**6), (5, 80, 300, 0), (1, 50, 40, 10**6)])
 def test_jaccard_components(spark, monkeypatch, size, percent, chunk, broadcast):
     monkeypatch.setattr(jaccard, "CHUNK_SHINGLES", chunk)
@@ -57,6 +69,9 @@ def test_jaccard_components(spark, monkeypatch, size, percent, chunk, broadcast)
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == expected
     sizes = sorted(((i is None, i or 0, len(shingle_set(t, size))) for i, t in rows))
     assert sorted((r.doc_id is None, r.doc_id or 0, r.n_shingles) for r in got) == sizes
+    ids = [i for i, _ in rows]
+    links = {i: n for (i, _), n in brute_links(rows, size, percent).items() if i is not None and ids.count(i) == 1}
+    assert {r.doc_id: r.n_links for r in got if r.doc_id in links} == links and max(links.values()) > 5
 
 
 @pytest.mark.parametrize("share", [1.0, 0.5, 0.04])
@@ -78,19 +93,34 @@ def test_blocks_of_a_list_are_bounded_and_join_all_who_chose(spark, monkeypatch,
         assert all((a, b) in met for a, chosen in own if chosen for b, _ in own)
 
 
-def test_divide_skip_finds_every_link():
+@pytest.mark.parametrize("heap", [0, 10**6])
+def test_divide_skip_finds_every_link(monkeypatch, heap):
+    monkeypatch.setattr(jaccard, "HEAP_ENTRIES", heap)
     rnd = random.Random(3)
     sets = [np.unique(np.array([rnd.randrange(60) for _ in range(rnd.randrange(5, 40))], np.uint64)) for _ in range(60)]
-    pairs = list(jaccard.Block(list(range(60)), sets, 60).links())
-    label = list(range(60))
-    for a, b in pairs:
-        x, y = label[a], label[b]
-        label = [y if v == x else v for v in label]
-        assert 100 * len(np.intersect1d(sets[a], sets[b])) >= 60 * len(np.union1d(sets[a], sets[b]))
-    for a in range(60):
-        for b in range(60):
-            if 100 * len(np.intersect1d(sets[a], sets[b])) >= 60 * len(np.union1d(sets[a], sets[b])):
-                assert label[a] == label[b]
+    similar = {(a, b) for a in range(60) for b in range(60) if a != b and 100 * len(np.intersect1d(sets[a], sets[b])) >= 60 * len(np.union1d(sets[a], sets[b]))}
+    for cost in (0.01, 1.0):
+        monkeypatch.setattr(jaccard, "MERGE_COST", cost)
+        block = jaccard.Block(list(range(60)), sets, 60)
+        found = {(int(block.ids[a]), int(block.ids[b])) for a, b in block.pairs()}
+        assert found | {(b, a) for a, b in found} == similar and 2 * len(found) == len(similar)
+        weights = np.arange(60) + 1
+        block = jaccard.Block(list(range(60)), sets, 60, weights)
+        label = list(range(60))
+        for a, b in block.run():
+            assert (a, b) in similar
+            label = [label[b] if v == label[a] else v for v in label]
+        assert all(label[a] == label[b] for a, b in similar)
+        assert dict(zip(block.ids.tolist(), block.n_links.tolist(), strict=True)) == {a: sum(int(weights[y]) for x, y in similar if x == a) for a in range(60)}
+
+
+def test_clusters_of_near_copies_in_one_block():
+    """Two clusters of 2,000 near copies: all links of a set are found in a few array steps."""
+    rnd = np.random.default_rng(1)
+    sets = [np.unique(np.concatenate([np.arange(40) + 1_000 * (k % 2), rnd.integers(10**6, 10**9, 1)])).astype(np.uint64) for k in range(4_000)]
+    block, began = jaccard.Block(list(range(4_000)), sets, 85), time.time()
+    assert len(list(block.run())) == 3_998 and set(block.n_links.tolist()) == {1_999}
+    assert time.time() - began < 20
 
 
 def test_components_of_paths_and_stars(spark):

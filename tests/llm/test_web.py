@@ -100,6 +100,20 @@ def test_archive_round_trip(spark, folder, least):
     assert {r.target_uri for r in got} == {None, "u", "u  v", *(f"http://h/{i}" for i in range(10) if i % 3)}
 
 
+def test_separators_of_lines_in_urls_are_no_header_ends(spark, folder):
+    urls = [f"http://h/{sep}Content-Length: 3{sep}x" for sep in "\x85\u2028\u2029\x0b\x0c"]
+    urls += [f"http://h/{sep}WARC-Refers-To: <urn:page:1>" for sep in "\x85\u2028\u2029"] + ["http://h/\r\nContent-Length: 3\r\n"]
+    rows = [(i, url, f"payload of page {i}") for i, url in enumerate(urls)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    warc.write_archive(pages, f"{folder}/w")
+    got = {r.record_id: r for r in warc.read_archive(spark, f"{folder}/w").collect()}
+    assert len(got) == len(rows)
+    for i, url, html in rows:
+        r = got[f"<urn:page:{i}>"]
+        assert (bytes(r.block).decode(), r.refers_to, r.record_type) == (html, None, "response")
+        assert r.target_uri == url.replace("\r", " ").replace("\n", " ").strip() or r.target_uri == url.replace("\r", " ").replace("\n", " ")
+
+
 def test_an_empty_table(spark, folder):
     none = spark.createDataFrame([], "page_id bigint, url string, html string")
     assert warc.through_archive(none).count() == 0
