@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from telemetry_lake.llm.bpe import encode_decode
 from telemetry_lake.llm.common import sized, table, written
 from telemetry_lake.llm.decontaminate import find_contamination
-from telemetry_lake.llm.jaccard import join_similar
+from telemetry_lake.llm.jaccard import one_of_each
 from telemetry_lake.llm.lines import dedupe_lines
 from telemetry_lake.llm.quality import judge
 
@@ -45,14 +45,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of similar documents the one with the smallest id, once."""
-    groups = written(join_similar(docs.select("doc_id", "text")).select("doc_id", "component_id"), "pipeline-groups")
-    gone = groups.filter("doc_id <> component_id OR (doc_id IS NULL AND component_id IS NOT NULL)").select("doc_id").distinct()
-    gone = sized(written(gone.filter("doc_id IS NOT NULL"), "pipeline-gone"))
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    many = groups.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    many = sized(written(many, "pipeline-many"))
-    once = kept.join(many, "doc_id", "left_anti")
-    return once.union(kept.join(many, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return one_of_each(docs.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
