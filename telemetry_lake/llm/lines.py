@@ -34,12 +34,13 @@ from telemetry_lake.llm.common import SPACES, sized, written
 
 PERCENT = 80
 # Rarest words by which lines are compared with the first line that has them.
-STAR = 3
+STAR = 2
 # Buckets in which the words of the corpus are counted for their order, and steps of the counts' logarithm.
 RARITY_BUCKETS, STEPS = 1 << 18, 3
 # Rows of one word that meet in a task when its first line is looked for.
 GROUP_ROWS = 1 << 20
 LINE = ["id", "at"]
+BLANKS = " \t\x0b\x0c\r"
 
 
 def _hashes(line: str | Column) -> Column:
@@ -70,33 +71,32 @@ def least_words(percent: int) -> int:
     return -(-percent // (100 - percent)) if percent < 100 else 1 << 30
 
 
-def _rarity(rows: DataFrame) -> bytes:
-    """How often the words of each bucket occur, a byte each on a logarithmic scale; the size is fixed."""
-    words = rows.select(F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("w")).filter("w <> ''")
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(RARITY_BUCKETS)).alias("bucket")).agg(F.count("*").alias("n"))
-    levels = bytearray(RARITY_BUCKETS)
-    for row in counts.select("bucket", F.least(F.floor(STEPS * F.log2("n")) + 1, F.lit(126)).alias("level")).collect():
+def _rarity(rows: DataFrame) -> Column:
+    """How often the words of each bucket occur, on a logarithmic scale: an array of fixed size, a constant of the plan."""
+    words = rows.select(F.explode(F.split(F.lower("text"), SPACES)).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
+    level = F.least(F.floor(STEPS * F.log2("n")) + 1, F.lit(126))
+    levels = [0] * RARITY_BUCKETS
+    for row in counts.select("bucket", level.alias("level")).collect():
         levels[row.bucket] = row.level
-    return bytes(levels)
+    return F.split(F.lit(" ".join(map(str, levels))), " ").cast("array<tinyint>")
 
 
-def _ranked(words: str, levels: bytes) -> Column:
-    """The words, rarest first, as numbers: rarity in the highest byte, the upper part of the hash below."""
-    table = F.lit(levels)
-
+def _ranked(line: str, levels: Column) -> Column:
+    """The distinct words of a line, rarest first, as numbers: rarity in the highest byte, the word's hash below."""
     def number(w: Column) -> Column:
-        at = F.pmod(w, F.lit(RARITY_BUCKETS)).cast("int") + 1
-        level = F.ascii(F.substr(table, at, F.lit(1)).cast("string")).cast("long")
-        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(w, 8))
+        h = F.xxhash64(w)
+        level = F.get(levels, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")).cast("long")
+        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.array_sort(F.transform(words, number))
+    return F.sort_array(F.array_distinct(F.transform(F.split(F.lower(line), SPACES), number)))
 
 
 def _parity(words: str, half: int) -> Column:
     """A 64-bit half of the words' parity: each word flips one bit of one half."""
     def flip(bits: Column, w: Column) -> Column:
-        one = F.call_function("shiftleft", F.lit(1).cast("long"), w.bitwiseAND(F.lit(63)).cast("int"))
-        return F.when(F.shiftright(w, 6).bitwiseAND(F.lit(1)) == half, bits.bitwiseXOR(one)).otherwise(bits)
+        mine = F.shiftright(w, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - half)).cast("long")
+        return bits.bitwiseXOR(F.call_function("shiftleft", mine, w.bitwiseAND(F.lit(63)).cast("int")))
 
     return F.aggregate(words, F.lit(0).cast("long"), flip)
 
@@ -105,15 +105,15 @@ def _line_table(rows: DataFrame, percent: int) -> DataFrame:
     """A written row per line with words: ``id, at, k1, k2`` (its set), ``n, prefix, b1, b2``."""
     levels = _rarity(rows)
     lines = rows.select("id", "sum", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.select("id", _at("pos", F.col("sum")).alias("at"), F.explode(F.array(_hashes("line"))).alias("words")).filter(F.size("words") > 0)
-    lines = lines.withColumn("ranked", F.explode(F.array(_ranked("words", levels))))
-    n = F.size("words")
+    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).filter("line <> ''")
+    lines = lines.select("id", _at("pos", F.col("sum")).alias("at"), F.explode(F.array(_ranked("line", levels))).alias("ranked"))
+    n = F.size("ranked")
     taking_part = n >= least_words(percent)
     length = F.when(taking_part, n - F.ceil(percent * n / 100) + 1).otherwise(0).cast("int")
     lines = lines.select(
         *LINE, F.xxhash64("ranked").alias("k1"), F.xxhash64(F.lit(1), "ranked").alias("k2"), n.alias("n"),
         F.slice("ranked", 1, length).alias("prefix"),
-        *[F.when(taking_part, _parity("words", half)).alias(f"b{half + 1}") for half in (0, 1)],
+        *[F.when(taking_part, _parity("ranked", half)).alias(f"b{half + 1}") for half in (0, 1)],
     )
     return written(lines, "line-sets")
 
@@ -127,16 +127,19 @@ def _rows_of(lines: DataFrame, words: Column) -> DataFrame:
 
 
 def _may_match(a: str, b: str, percent: int) -> Column:
-    """Length, positional and parity filter on two rows of one prefix word, their first common one or not."""
+    """Parity, length and positional filter on two rows of one prefix word, their first common one or not.
+
+    In whole numbers, the cheapest and most telling condition first: sets of n and m words have at least
+    percent (n + m) / (100 + percent) in common if they are similar, and differ in no more than the others.
+    """
     def part(name: str) -> tuple[Column, Column]:
-        return F.shiftright(f"{name}ni", 32).cast("int"), _low(F.col(f"{name}ni")).cast("int")
+        return F.shiftright(f"{name}ni", 32), _low(F.col(f"{name}ni"))
 
     (n, i), (m, j) = part(a), part(b)
-    common = F.ceil(percent * (n + m) / (100 + percent))  # least common words
-    fits = (100 * F.least(n, m)) >= (percent * F.greatest(n, m))
-    ahead = F.least(i, j) + 1 + F.least(n - i - 1, m - j - 1) >= common
     flips = [F.bit_count(F.col(f"{a}{bits}").bitwiseXOR(F.col(f"{b}{bits}"))) for bits in ("b1", "b2")]
-    return fits & ahead & (flips[0] + flips[1] <= n + m - 2 * common)
+    differ = (100 + percent) * (flips[0] + flips[1]) <= (100 - percent) * (n + m)
+    ahead = (100 + percent) * (F.least(i, j) + F.least(n - i, m - j)) >= percent * (n + m)
+    return differ & ahead & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, percent: int, purpose: str) -> DataFrame:
@@ -175,10 +178,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     # With the first line that has one of the rarest words.
     star = _rows_of(firsts, F.slice("prefix", 1, STAR))
     salts = F.greatest(F.lit(1), F.ceil(F.pow(F.lit(2.0), F.col("level") / STEPS) / GROUP_ROWS))
-    star = star.withColumn("salt", F.pmod(F.xxhash64(*LINE), salts))
+    star = star.withColumn("salt", F.pmod(F.xxhash64(*LINE), salts).cast("int")).drop("level")
     group = Window.partitionBy("w", "salt")
     star = star.withColumn("first", F.min(F.struct(place.alias("place"), F.col("at").alias("eat"), *[F.col(c).alias(f"e{c}") for c in ("ni", "b1", "b2")])).over(group))
-    star = star.select(*LINE, "ni", "b1", "b2", "first.*").filter((place > F.col("place")) & _may_match("", "e", percent))
+    star = star.select(*LINE, "ni", "b1", "b2", "first.*").filter(_may_match("", "e", percent) & (place > F.col("place")))
     settled = written(_similar(star.select(*LINE, F.col("place.id").alias("eid"), "eat"), rows, percent, "line-star"), "line-settled")
 
     # Those left with all others in front of them.
@@ -187,9 +190,10 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     index = firsts.join(known, same, "left").withColumn("settled", F.col("_at").isNotNull().cast("int")).drop("_id", "_at")
     index = _rows_of(index, F.col("prefix")).drop("level")
     other = index.select("w", *[F.col(c).alias(f"e{c}") for c in index.columns if c != "w"])
-    # Both sides are one exchange: a condition on one of them alone would be applied before it and part them.
-    left = F.col("settled") * F.shiftright("eni", 32) < 1
-    rest = index.join(other, "w").filter(left & (place > _place("eid", "eat")) & _may_match("", "e", percent))
+    # Both sides are one exchange: they need the same columns, and a condition on one of them alone would be applied
+    # before it and part them. All lines here have words, so this asks for a line that is not settled.
+    left = F.col("settled") * (F.shiftright("eni", 32) + F.col("esettled")) < 1
+    rest = index.join(other, "w").filter(_may_match("", "e", percent) & left & (place > _place("eid", "eat")))
     more = _similar(rest.select(*LINE, "eid", "eat"), rows, percent, "line-rest")
     gone = repeats.union(settled).union(more).distinct()
     return gone.groupBy("id", _low(F.col("at")).alias("s")).agg(F.collect_set(_pos(F.col("at"))).alias("gone"))
