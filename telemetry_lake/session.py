@@ -53,8 +53,8 @@ def _size_shuffles(spark: SparkSession) -> SparkSession:
     of state stores of a new streaming query. A cluster never gets fewer than Spark's default.
     """
     name = "spark.sql.shuffle.partitions"
-    if spark.conf.get(name) == _DEFAULT_PARTITIONS:
-        context = spark.sparkContext
+    context = spark.sparkContext
+    if spark.conf.get(name) == _DEFAULT_PARTITIONS and context.getConf().get(name) is None:
         cores = context.defaultParallelism
         wanted = cores if context.master.startswith("local") else max(3 * cores, int(_DEFAULT_PARTITIONS))
         spark.conf.set(name, str(wanted))
