@@ -104,10 +104,10 @@ def parsed(pieces: DataFrame) -> DataFrame:
 
 
 def candidates(pieces: DataFrame) -> DataFrame:
-    """A narrow row per piece: ``n``, ``path``, ``start`` (offset of its magic; negative before the first one),
+    """A narrow row per piece: ``n``, ``path`` (as a hash of 64 bits), ``start`` (offset of its magic; negative before the first one),
     ``following`` (offset of the successor; NULL without a readable header) and ``whole`` (the piece has it all)."""
     narrow = parsed(pieces).select(
-        "path", "block", "n", (F.octet_length("value") + len(MAGIC)).alias("size"),
+        F.xxhash64("path").alias("path"), "block", "n", (F.octet_length("value") + len(MAGIC)).alias("size"),
         (F.col("body") + F.col("length")).alias("needed"),
     )
     ahead = Window.partitionBy("path", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
@@ -126,14 +126,14 @@ def reachable(links: DataFrame) -> DataFrame:
     """``(path, start)`` of the candidates that the chain from each file's start reaches.
 
     ``links`` has ``(path, start, following)``. Each round doubles the length of the jumps: after k rounds the
-    first 2^k records of every file are reached.
+    first 2^k records of every file are reached. Both sides grow with the archives, so no side is broadcast.
     """
     jumps = written(links.filter("following > start"), "warc-links")
     reached = written(links.filter("start = 0").select("path", "start"), "warc-reached")
     count = reached.count()
     while True:
-        ahead = reached.join(jumps, ["path", "start"]).select("path", F.col("following").alias("start"))
-        ahead = ahead.join(links.select("path", "start"), ["path", "start"], "left_semi")
+        ahead = reached.join(jumps.hint("merge"), ["path", "start"]).select("path", F.col("following").alias("start"))
+        ahead = ahead.join(links.select("path", "start").hint("merge"), ["path", "start"], "left_semi")
         reached = written(reached.union(ahead).distinct(), "warc-reached")
         grown = reached.count()
         if grown == count:
@@ -141,7 +141,7 @@ def reachable(links: DataFrame) -> DataFrame:
         count = grown
         second = jumps.select("path", F.col("start").alias("following"), F.col("following").alias("landing"))
         jumps = written(
-            jumps.join(second, ["path", "following"]).select("path", "start", F.col("landing").alias("following")),
+            jumps.join(second.hint("merge"), ["path", "following"]).select("path", "start", F.col("landing").alias("following")),
             "warc-links",
         )
 
@@ -155,7 +155,7 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
     pieces = pieces_of(spark, folder)
     found = written(candidates(pieces), "warc-candidates")
     good = reachable(found.filter("start >= 0").select("path", "start", "following")).withColumn("good", F.lit(True))
-    found = found.join(good, ["path", "start"], "left")
+    found = found.join(good.hint("merge"), ["path", "start"], "left")
     odd = found.filter("start < 0 OR good IS NULL OR NOT whole").select("n", "start", F.coalesce("good", F.lit(False)).alias("good"))
     odd = sized(written(odd, "warc-odd"))
     records = parsed(pieces.join(odd.select("n"), "n", "left_anti"))
