@@ -37,15 +37,26 @@ PERCENT = 80
 STAR = 2
 # Buckets in which the words of the corpus are counted for their order, and steps of the counts' logarithm.
 RARITY_BUCKETS, STEPS = 1 << 18, 3
+# Words up to which half of the parity is enough to tell lines apart.
+FEW_WORDS = 64
 # Rows of one word that meet in a task when its first line is looked for.
 GROUP_ROWS = 1 << 20
 LINE = ["id", "at"]
 BLANKS = " \t\x0b\x0c\r"
 
 
+def _words(text: str | Column) -> Column:
+    """The lower-cased words of a text, and perhaps empty ones; blanks alone part most texts, which is faster."""
+    text = F.lower(text)
+    other = F.lit(False)
+    for blank in BLANKS[1:] + "\n":
+        other = other | (F.instr(text, blank) > 0)
+    return F.when(other, F.split(text, SPACES)).otherwise(F.split(text, " "))
+
+
 def _hashes(line: str | Column) -> Column:
     """The distinct words of a line, as hashes."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(F.lower(line), SPACES), ""), lambda w: F.xxhash64(w)))
+    return F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
 
 
 def _low(value: Column) -> Column:
@@ -73,7 +84,8 @@ def least_words(percent: int) -> int:
 
 def _rarity(rows: DataFrame) -> Column:
     """How often the words of each bucket occur, on a logarithmic scale: an array of fixed size, a constant of the plan."""
-    words = rows.select(F.explode(F.split(F.lower("text"), SPACES)).alias("w"))
+    lines = rows.select(F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select(F.explode(_words("line")).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
     level = F.least(F.floor(STEPS * F.log2("n")) + 1, F.lit(126))
     levels = [0] * RARITY_BUCKETS
@@ -89,16 +101,22 @@ def _ranked(line: str, levels: Column) -> Column:
         level = F.get(levels, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")).cast("long")
         return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    return F.sort_array(F.array_distinct(F.transform(F.split(F.lower(line), SPACES), number)))
+    numbers = F.transform(_words(line), number)
+    return F.sort_array(F.array_distinct(F.array_remove(numbers, number(F.lit("")))))
 
 
 def _parity(words: str, half: int) -> Column:
-    """A 64-bit half of the words' parity: each word flips one bit of one half."""
+    """A 64-bit half of the words' parity: each word flips one bit of one half. Of few words the second half is empty."""
+    def one(w: Column, value: Column) -> Column:
+        return F.call_function("shiftleft", value, w.bitwiseAND(F.lit(63)).cast("int"))
+
     def flip(bits: Column, w: Column) -> Column:
         mine = F.shiftright(w, 6).bitwiseAND(F.lit(1)).bitwiseXOR(F.lit(1 - half)).cast("long")
-        return bits.bitwiseXOR(F.call_function("shiftleft", mine, w.bitwiseAND(F.lit(63)).cast("int")))
+        return bits.bitwiseXOR(one(w, mine))
 
-    return F.aggregate(words, F.lit(0).cast("long"), flip)
+    none = F.lit(0).cast("long")
+    few = none if half else F.aggregate(words, none, lambda bits, w: bits.bitwiseXOR(one(w, F.lit(1).cast("long"))))
+    return F.when(F.size(words) <= FEW_WORDS, few).otherwise(F.aggregate(words, none, flip))
 
 
 def _line_table(rows: DataFrame, percent: int) -> DataFrame:
@@ -106,7 +124,7 @@ def _line_table(rows: DataFrame, percent: int) -> DataFrame:
     levels = _rarity(rows)
     lines = rows.select("id", "sum", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).filter("line <> ''")
-    lines = lines.select("id", _at("pos", F.col("sum")).alias("at"), F.explode(F.array(_ranked("line", levels))).alias("ranked"))
+    lines = lines.select("id", _at("pos", F.col("sum")).alias("at"), _ranked("line", levels).alias("ranked"))
     n = F.size("ranked")
     taking_part = n >= least_words(percent)
     length = F.when(taking_part, n - F.ceil(percent * n / 100) + 1).otherwise(0).cast("int")
@@ -136,8 +154,10 @@ def _may_match(a: str, b: str, percent: int) -> Column:
         return F.shiftright(f"{name}ni", 32), _low(F.col(f"{name}ni"))
 
     (n, i), (m, j) = part(a), part(b)
-    flips = [F.bit_count(F.col(f"{a}{bits}").bitwiseXOR(F.col(f"{b}{bits}"))) for bits in ("b1", "b2")]
-    differ = (100 + percent) * (flips[0] + flips[1]) <= (100 - percent) * (n + m)
+    first, second = (F.col(f"{a}{bits}").bitwiseXOR(F.col(f"{b}{bits}")) for bits in ("b1", "b2"))
+    # Where one line has few words, whose bits are all in the first half, those of the other are put together.
+    flips = F.when(F.least(n, m) > FEW_WORDS, F.bit_count(first) + F.bit_count(second)).otherwise(F.bit_count(first.bitwiseXOR(second)))
+    differ = (100 + percent) * flips <= (100 - percent) * (n + m)
     ahead = (100 + percent) * (F.least(i, j) + F.least(n - i, m - j)) >= percent * (n + m)
     return differ & ahead & (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
@@ -189,12 +209,13 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     same = firsts["id"].eqNullSafe(F.col("_id")) & (firsts["at"] == F.col("_at"))
     index = firsts.join(known, same, "left").withColumn("settled", F.col("_at").isNotNull().cast("int")).drop("_id", "_at")
     index = _rows_of(index, F.col("prefix")).drop("level")
-    other = index.select("w", *[F.col(c).alias(f"e{c}") for c in index.columns if c != "w"])
+    index, other = (index.select(*[F.col(c).alias(side + c) for c in index.columns]) for side in ("l", "e"))
     # Both sides are one exchange: they need the same columns, and a condition on one of them alone would be applied
     # before it and part them. All lines here have words, so this asks for a line that is not settled.
-    left = F.col("settled") * (F.shiftright("eni", 32) + F.col("esettled")) < 1
-    rest = index.join(other, "w").filter(_may_match("", "e", percent) & left & (place > _place("eid", "eat")))
-    more = _similar(rest.select(*LINE, "eid", "eat"), rows, percent, "line-rest")
+    left = F.col("lsettled") * (F.shiftright("eni", 32) + F.col("esettled")) < 1
+    rest = index.join(other, F.col("lw") == F.col("ew"))
+    rest = rest.filter(_may_match("l", "e", percent) & left & (_place("lid", "lat") > _place("eid", "eat")))
+    more = _similar(rest.select(F.col("lid").alias("id"), F.col("lat").alias("at"), "eid", "eat"), rows, percent, "line-rest")
     gone = repeats.union(settled).union(more).distinct()
     return gone.groupBy("id", _low(F.col("at")).alias("s")).agg(F.collect_set(_pos(F.col("at"))).alias("gone"))
 

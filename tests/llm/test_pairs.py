@@ -156,6 +156,7 @@ def test_line_dedup(spark, monkeypatch, broadcast, percent):
     rows += [(None, pool[3]), rows[-1], (3, pool[5] + "\n" + pool[5].upper())]
     rows += [(2000 + i, "\n".join(" ".join(rnd.sample("abcde", rnd.randrange(1, 6))) for _ in range(3))) for i in range(20)]
     monkeypatch.setattr(lines, "GROUP_ROWS", 10**6 if broadcast else 4)
+    monkeypatch.setattr(lines, "FEW_WORDS", 64 if broadcast else 12)
     df = documents(spark, rows).withColumn("gone", F.lit("mine")).withColumn("w", F.lit(1)).withColumn("_id", F.lit(2)).withColumn("at", F.lit(3))
     got = lines.dedupe_lines(df, percent).collect()
     assert len(got) == len(rows) and all((r.gone, r.w, r._id, r.at) == ("mine", 1, 2, 3) for r in got)
