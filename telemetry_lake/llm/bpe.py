@@ -7,7 +7,7 @@ they are and are skipped when they come up. The work is n log n in the length of
 Short pre-tokens share one queue, so that a step merges the same rank in all of them with a few numpy calls.
 
 Defined results: NULL and empty texts give no ids and decode to empty bytes; repeated rows are encoded alike;
-other columns of the input are kept as they are (they must not be called ``ids`` or ``decoded``).
+other columns of the input are kept as they are (they must not be called ``ids`` or ``decoded``); empty tables stay empty.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ every cursor by its own shift.
 
 Defined results: NULL and empty texts have no words and no hits; items of NULL text or without words have no
 patterns; an item without an id marks hit words like any other, and is not in the item ids; equal items are all
-reported; repeated documents are reported alike; an empty benchmark hits nothing.
+reported; repeated documents are reported alike; an empty benchmark hits nothing, and empty documents stay empty. Very long
+texts are searched whole, in stretches.
 Columns of the input other than the text are kept, and must not bear one of the names added.
 """
 

@@ -9,7 +9,8 @@ The fit takes a bounded sample: at most ``TRAIN_DOCS`` texts of each language, i
 id, and at most ``TRAIN_BYTES`` of text in all, taken evenly from the languages. Prediction covers every text as a whole.
 
 Defined results: NULL texts, and texts without a letter, are ``und`` with score 0; so is everything if nothing could
-be learned; equal cosines go to the language first by name; equal texts get equal results.
+be learned; equal cosines go to the language first by name; equal texts get equal results. Very long texts are one vector,
+counted piece by piece; empty tables stay empty. Other columns are kept, and must not bear one of the names added.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ kept if the counted defects are in bounds and the score reaches a fixed threshol
 
 Defined results: NULL and empty texts have no words and fail; a repeated row is judged like the first; a text of
 words that neither multinomial knows scores near zero and stays; without labelled texts every score is zero
-and the counted rules decide alone. Equal scores are treated alike.
+and the counted rules decide alone. Equal scores are treated alike. Very long texts are counted whole, in one row; empty
+tables stay empty. Other columns are kept whatever their names, but for those of the counts and verdicts.
 """
 
 from __future__ import annotations

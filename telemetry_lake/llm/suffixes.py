@@ -16,7 +16,8 @@ strings cover their union, and all strings are judged on the input. Matches neve
 
 Defined results: a NULL text is empty; texts shorter than ``LENGTH`` lose nothing; rows with a NULL id are left as
 they are and remove nothing elsewhere; rows with one id and the same text are one document; equal ids are
-never smaller than each other.
+never smaller than each other. Very long texts are cut into contexts like any other; empty tables stay empty. Other columns
+are not read, whatever their names.
 """
 
 from __future__ import annotations

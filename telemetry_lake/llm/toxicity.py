@@ -11,7 +11,8 @@ all, in the order of a hash of the text id. Scoring covers every text as a whole
 
 Defined results: NULL and empty texts, and texts without words, get the score of an empty passage, a small one;
 equal texts get equal scores; a text labelled twice counts as toxic if one label says so; without labels
-of both classes every score is the share of toxic labels (0 without any).
+of both classes every score is the share of toxic labels (0 without any). Very long texts are scored whole, passage by
+passage; empty tables stay empty. Other columns are kept, and must not bear the name of the one added.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ host that holds most pages is spread as well. Only DataFrame functions.
 
 Defined results: a NULL url or one without ``://`` has an empty host and path and gets the default verdict;
 repeated rows are judged alike; of fitting rules the one with more characters wins, among those the longer host;
-of two rules with the same host and path the later one replaces the earlier.
+of two rules with the same host and path the later one replaces the earlier. Very long urls are keys like any other;
+empty tables stay empty. Other columns of the pages are not read, whatever their names.
 """
 
 from __future__ import annotations

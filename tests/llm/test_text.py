@@ -173,6 +173,15 @@ def test_quality_rules(spark):
     assert plain.count() == 0 and quality.judge(df.limit(0), trusted).count() == 0
 
 
+def test_very_long_texts_are_judged_whole(spark):
+    long = " ".join(f"w{i}" for i in range(30_000))
+    rows = [(0, long), (1, long + "\n" + long), (2, "a b c d e f g h " * 8_000)]
+    trusted = spark.createDataFrame([(0,)], "doc_id bigint")
+    got = {r.doc_id: r for r in quality.judge(documents(spark, rows), trusted).collect()}
+    assert [(got[i].n_words, got[i].n_repeat_words, got[i].base_failed) for i in range(3)] == [(30_000, 0, False), (60_000, 60_000, True), (64_000, 64_000, True)]
+    assert got[1].n_dup_lines == 1
+
+
 def test_grams_stay_inside_words():
     raw = [b"", b"Ab  cd", b"x" * 300_000, "é!".encode()]
     data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
@@ -214,6 +223,9 @@ def test_toxicity(spark):
     assert toxicity.train([], []).scores(pa.array(["a", None])).max() < 0.01
     assert toxicity.train(["a", ""], [1, 1]).scores(pa.array(["b"])).min() > 0.99
     assert toxicity.score_toxicity(df.limit(0), model).count() == 0
+    again = documents(spark, [(1, rows[0][1]), (1, rows[0][1]), (2, rows[0][1]), (3, " ".join([rows[1][1]] * 400)), (4, rows[1][1])])
+    scores = [r.toxicity for r in toxicity.score_toxicity(again, model).orderBy("doc_id").collect()]
+    assert scores[0] == scores[1] == scores[2] and (scores[3] >= 0.5) == (scores[4] >= 0.5)
 
 
 def test_language(spark):

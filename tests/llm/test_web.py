@@ -35,7 +35,8 @@ def test_verdicts(spark, rules):
     hosts = ["a", "b.a", "c.b.a", "d.c.b.a", "ab", "x.ab", "a-b", "é.a", "B.A", "org", "example.org", "m.Example.ORG", "com", "q.com", "borg", "", "a."]
     paths = ["", "/", "/x", "/x/", "/x/y/z", "/es/", "/es", "/en/12", "/fr/1?q=/de/", "/de/#x", "?x", "#y://z"]
     rows = [(i, f"http://{rnd.choice(hosts)}{rnd.choice(paths)}") for i in range(400)]
-    rows += [(900, None), (901, ""), (902, "no scheme"), (903, "://"), (None, "http://a/"), (0, "https://b.a/x/1"), (904, "x://a\n/b\nc")]
+    rows += [(900, None), (901, ""), (902, "no scheme"), (903, "://"), (None, "http://a/"), (0, "https://b.a/x/1"), (904, "x://a\n/b\nc"),
+             (905, "http://" + "q." * 20_000 + "b.a/x/" + "y" * 50_000)]
     df = spark.createDataFrame(rows, "page_id bigint, url string").withColumn("part", F.lit("mine")).withColumn("k", F.lit(1))
     got = urls.judge_urls(df, rules)
     assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
