@@ -8,8 +8,9 @@ input, removed ones included.
    have words enough to be similar to another set at all: at 80 percent, lines of one to three words equal or differ.
 2. The words of a line are ordered by rarity: by how often their hash bucket occurs in the corpus, then by hash, an
    order that all lines share. Of n words the first n - ceil(t n) + 1 are the prefix; similar lines share one of it.
-3. Lines that have one of their ``STAR`` rarest words in common with others are compared with the first line that has it.
-   That settles the many versions of a much copied line without their pairs.
+3. Lines of equal length that share one of the last ``STAR`` words of their prefixes are compared with the first line
+   that has it and with the ``NEAREST`` ones in front of them. That settles the many versions of a much copied line
+   without their pairs: what a version changes is rarer than the words it keeps, which stand at the end of the prefix.
 4. Each line left meets the lines in front of it that share a prefix word. Length and positional filters, and a
    parity of 128 bits over the words, of which two similar lines differ in few, come with the join, so that
    nearly all pairs it makes are similar.
@@ -33,8 +34,10 @@ from pyspark.sql.window import Window
 from telemetry_lake.llm.common import SPACES, sized, written
 
 PERCENT = 80
-# Rarest words by which lines are compared with the first line that has them.
+# Last words of a prefix by which lines are compared with the first line that has them.
 STAR = 2
+# Lines of such a group just in front of a line with which it is compared as well.
+NEAREST = 4
 # Buckets in which the words of the corpus are counted for their order, and steps of the counts' logarithm.
 RARITY_BUCKETS, STEPS = 1 << 18, 3
 # Words up to which half of the parity is enough to tell lines apart.
@@ -144,8 +147,8 @@ def _rows_of(lines: DataFrame, words: Column) -> DataFrame:
     return rows.select(F.col("p").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("w"), *LINE, ni.alias("ni"), "b1", "b2", F.shiftright("p", 56).cast("int").alias("level"), *extra)
 
 
-def _may_match(a: str, b: str, percent: int) -> Column:
-    """Parity, length and positional filter on two rows of one prefix word, their first common one or not.
+def _may_match(a: str, b: str, percent: int, placed: bool = True) -> Column:
+    """Parity, length and (if the rows know it) positional filter on two rows of one prefix word, the first common one or not.
 
     In whole numbers, the cheapest and most telling condition first: sets of n and m words have at least
     percent (n + m) / (100 + percent) in common if they are similar, and differ in no more than the others.
@@ -159,7 +162,8 @@ def _may_match(a: str, b: str, percent: int) -> Column:
     flips = F.when(F.least(n, m) > FEW_WORDS, F.bit_count(first) + F.bit_count(second)).otherwise(F.bit_count(first.bitwiseXOR(second)))
     differ = (100 + percent) * flips <= (100 - percent) * (n + m)
     ahead = (100 + percent) * (F.least(i, j) + F.least(n - i, m - j)) >= percent * (n + m)
-    return differ & ahead & (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return differ & ahead & fits if placed else differ & fits
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, percent: int, purpose: str) -> DataFrame:
@@ -195,13 +199,17 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     alone = F.col("first").isNull() | ~repeated
     firsts = lines.filter(F.size("prefix") > 0).join(first, ["k1", "k2"], "left").filter(alone).select(*LINE, "n", "prefix", "b1", "b2")
 
-    # With the first line that has one of the rarest words.
-    star = _rows_of(firsts, F.slice("prefix", 1, STAR))
+    # With the first line of the same length that has one of the last words of the prefix.
+    star = _rows_of(firsts, F.slice("prefix", F.greatest(F.lit(1), F.size("prefix") - (STAR - 1)), STAR))
+    # Places in the prefix count from its end here, so only length and parity are asked for.
     salts = F.greatest(F.lit(1), F.ceil(F.pow(F.lit(2.0), F.col("level") / STEPS) / GROUP_ROWS))
     star = star.withColumn("salt", F.pmod(F.xxhash64(*LINE), salts).cast("int")).drop("level")
-    group = Window.partitionBy("w", "salt")
-    star = star.withColumn("first", F.min(F.struct(place.alias("place"), F.col("at").alias("eat"), *[F.col(c).alias(f"e{c}") for c in ("ni", "b1", "b2")])).over(group))
-    star = star.select(*LINE, "ni", "b1", "b2", "first.*").filter(_may_match("", "e", percent) & (place > F.col("place")))
+    group = Window.partitionBy("w", F.shiftright("ni", 32), "salt").orderBy(place, "at")
+    own = F.struct(place.alias("place"), F.col("at").alias("eat"), *[F.col(c).alias(f"e{c}") for c in ("ni", "b1", "b2")])
+    star = star.withColumn("own", own)
+    met = F.array(F.first("own").over(group), *[F.lag("own", k).over(group) for k in range(1, NEAREST + 1)])
+    star = star.withColumn("met", met).select(*LINE, "ni", "b1", "b2", F.explode("met").alias("e")).filter("e IS NOT NULL")
+    star = star.select(*LINE, "ni", "b1", "b2", "e.*").filter(_may_match("", "e", percent, placed=False) & (place > F.col("place")))
     settled = written(_similar(star.select(*LINE, F.col("place.id").alias("eid"), "eat"), rows, percent, "line-star"), "line-settled")
 
     # Those left with all others in front of them.
