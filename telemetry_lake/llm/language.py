@@ -98,19 +98,25 @@ def fit(texts: list[str], languages: list[str]) -> Centroids:
     """Centroids of each language from whole texts."""
     size = 1 << BITS
     known = sorted(set(languages))
-    found = list(counts(pa.array(texts, pa.large_string())))
-    frequency = np.zeros(size)
-    for _, total in found:
-        frequency += total > 0
+    # Only the counts that are not zero are kept of all texts; whole vectors are made of one language at a time.
+    found, frequency = [], np.zeros(size)
+    for i, total in counts(pa.array(texts, pa.large_string())):
+        at = np.flatnonzero(total)
+        frequency[at] += 1
+        found.append((i, at.astype(np.uint16), total[at].astype(np.float32)))
     idf = np.log((1.0 + len(found)) / (1.0 + frequency)) + 1.0
     model = Centroids(known, np.zeros(0, int), np.zeros((0, size)), idf, np.zeros(0))
     random = np.random.default_rng(SEED)
     names, rows, radius = [], [], []
     for number, language in enumerate(known):
-        own = [model.vector(total) for i, total in found if languages[i] == language]
-        if not own:
+        mine = [(at, number_of) for i, at, number_of in found if languages[i] == language]
+        if not mine:
             continue
-        own = np.stack(own).astype(np.float32)
+        own = np.empty((len(mine), size), np.float32)
+        for row, (at, number_of) in zip(own, mine, strict=True):
+            total = np.zeros(size)
+            total[at] = number_of
+            row[:] = model.vector(total)
         middle = own[random.choice(len(own), min(CENTROIDS, len(own)), replace=False)]
         for _ in range(ROUNDS):
             nearest = (own @ middle.T).argmax(1)

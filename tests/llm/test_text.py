@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import unicodedata
 
 import duckdb
@@ -228,6 +229,23 @@ def test_toxicity(spark):
     assert scores[0] == scores[1] == scores[2] and (scores[3] >= 0.5) == (scores[4] >= 0.5)
 
 
+def most_memory(work) -> int:
+    """Most bytes that Python holds at once during ``work``, beyond those it held before."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_language_fit_holds_one_language_at_a_time():
+    # 1,200 whole vectors of doubles are 150 MB; a language's 100 vectors of floats are 6 MB.
+    texts = [f"word{i} some more words of text {i % 7}" for i in range(1_200)]
+    names = [f"lang{i % 12:02}" for i in range(1_200)]
+    assert most_memory(lambda: language.fit(texts, names)) < 60 << 20
+
+
 def test_language(spark):
     rnd = random.Random(9)
     parts = {"aa": ["lo", "ra", "mi", "tun"], "bb": ["scht", "ung", "ver", "ein"], "cc": ["ção", "lhe", "nho", "qué"]}
