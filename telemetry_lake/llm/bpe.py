@@ -23,12 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from telemetry_lake.llm.common import slices
+from telemetry_lake.llm.common import give_back, slices
 
 # Pre-tokens after which a worker forgets what it knows, before the next run of texts.
-CACHE_SIZE = 1 << 18
-# Bytes of text encoded together.
-BATCH_BYTES = 4 << 20
+CACHE_SIZE = 1 << 17
+# Bytes of text encoded together; the queue's arrays take some fifty times that.
+BATCH_BYTES = 1 << 20
 # Pre-tokens of up to so many bytes are merged together, longer ones alone.
 SHORT = 64
 # No rank: a pair that does not merge, a wall between pre-tokens, a symbol that is gone.
@@ -319,6 +319,7 @@ def encode_decode(df: DataFrame, vocabulary_path: str, pattern: str, text: str =
     added = [T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.BinaryType())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder = encoder_for(vocabulary.value, pattern)
         for batch in batches:
             for part in slices(batch, text, BATCH_BYTES):

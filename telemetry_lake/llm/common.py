@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 from collections.abc import Iterator
@@ -50,6 +51,16 @@ def release(spark: SparkSession) -> None:
         spark.sparkContext._jvm.System.gc()
 
 
+def give_back() -> None:
+    """Return the memory that earlier steps of this Python worker have freed to the system, which else counts as theirs."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # another C library
+        pass
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, every other character as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

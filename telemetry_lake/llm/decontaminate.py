@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from telemetry_lake.llm.common import flat, slices
+from telemetry_lake.llm.common import flat, give_back, slices
 
 WINDOW = 10
 # Bytes of benchmark text whose tables a task holds at a time, and bytes of documents searched at a time.
@@ -238,6 +238,7 @@ def find_contamination(
         close()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         for batch in batches:
             for part in slices(batch, text, CHUNK_BYTES):
                 found = search(part.column(text), blocks)

@@ -246,6 +246,18 @@ def test_language_fit_holds_one_language_at_a_time():
     assert most_memory(lambda: language.fit(texts, names)) < 60 << 20
 
 
+def test_bpe_memory_of_a_part():
+    # Texts that are encoded together, all their pre-tokens new.
+    encoder = bpe.Encoder(bpe.parse_ranks(open(PATH, "rb").read()), public_tokenizers.PATTERN)
+    rng = random.Random(5)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    size, texts = 0, []
+    while size < bpe.BATCH_BYTES:
+        texts.append(" ".join("".join(rng.choices(letters, k=6)) for _ in range(300)))
+        size += len(texts[-1])
+    assert most_memory(lambda: encoder.encode_all(texts)) < 250 << 20
+
+
 def test_language(spark):
     rnd = random.Random(9)
     parts = {"aa": ["lo", "ra", "mi", "tun"], "bb": ["scht", "ung", "ver", "ein"], "cc": ["ção", "lhe", "nho", "qué"]}
