@@ -2,10 +2,11 @@
 
 Tokenizer A (byte-level BPE) encodes blank + text, tokenizer B (sentence pieces, which put the blank there themselves)
 encodes the text. An interval of tokens whose last end is shared is cut in two at the shared end next to its middle:
-candidates are the ends of A, from the middle outwards, and each is looked up among the ends of B by bisection. Both
-halves are cut in turn; an interval without a shared end inside is a leaf, one group of tokens of A and B. All
-intervals of a batch of texts are cut in step, so that a step is a few numpy calls. In a leaf the tokens overlap in a
-staircase: the union of both sides' ends parts it into stretches, each of which links one token of A with one of B.
+candidates are the ends of A, from the middle outwards; each is looked up among the ends of B by bisection, once and in
+ascending order, so that neighbouring bisections touch the same numbers. Both halves are cut in turn; an interval without
+a shared end inside is a leaf, one group of tokens of A and B. All intervals of a batch of texts are cut in step, so that
+a step is a few numpy calls. In a leaf the tokens overlap in a staircase: the union of both sides' ends parts it into
+stretches, each of which links one token of A with one of B.
 
 How often two ids are linked in the whole corpus is counted from the written links of each text (``linked_pairs``).
 ``weigh`` brings these counts back to the texts: pairs that hold at least a 2^20th of all links are at most 2^20 and
@@ -52,11 +53,12 @@ def shared_ends(a: np.ndarray, b: np.ndarray, first: np.ndarray, stop: np.ndarra
 
     ``a`` and ``b`` are ascending byte offsets of token ends of texts that lie end to end.
     """
+    shared = b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a if len(b) else np.zeros(len(a), bool)
     cuts = [stop - 1]
     lo, hi = first, stop - 1  # ends lo..hi-1 are inside the interval
     while (some := lo < hi).any():
         lo, hi = lo[some], hi[some]
-        cut = _near_middle(a, b, lo, hi)
+        cut = _near_middle(shared, lo, hi)
         found = cut >= 0  # the other intervals are leaves
         lo, hi, cut = lo[found], hi[found], cut[found]
         cuts.append(cut)
@@ -64,8 +66,8 @@ def shared_ends(a: np.ndarray, b: np.ndarray, first: np.ndarray, stop: np.ndarra
     return np.sort(np.concatenate(cuts))
 
 
-def _near_middle(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """For each interval the index of a shared end among ``lo..hi-1`` that is nearest to its middle, or -1.
+def _near_middle(shared: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """For each interval the index of an end that is ``shared`` among ``lo..hi-1`` that is nearest to its middle, or -1.
 
     The distances tried double from round to round, so a leaf of n ends takes log n rounds.
     """
@@ -85,8 +87,7 @@ def _near_middle(a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray) -
         total = int(per.sum())
         ahead = np.cumsum(flat_counts) - flat_counts
         at = np.repeat(starts.ravel() - ahead, flat_counts) + np.arange(total)
-        ends = a[at]
-        hit = b[np.minimum(np.searchsorted(b, ends), len(b) - 1)] == ends
+        hit = shared[at]
         if hit.any():
             owner = np.repeat(np.arange(len(open_)), per)[hit]
             at = at[hit]

@@ -241,6 +241,14 @@ def test_shared_ends_equal_sets():
             assert a[cuts].tolist() == sorted(set(a.tolist()) & set(b.tolist()))
 
 
+def test_shared_ends_look_each_end_up_once(monkeypatch):
+    rnd, asked, search = np.random.default_rng(4), [], np.searchsorted
+    a, b = (np.append(np.flatnonzero(rnd.random(5_000) < 0.05) + 1, 5_001) for _ in range(2))
+    monkeypatch.setattr(np, "searchsorted", lambda x, v, *more: asked.append(np.size(v)) or search(x, v, *more))
+    alignment.shared_ends(a, b, np.array([0]), np.array([len(a)]))
+    assert sum(asked) <= len(a)
+
+
 def test_alignment_of_a_table(spark, both, monkeypatch):
     texts = [t for t in ODD if t is None or len(t) < 1_000] + SPECIAL + random_texts(25)
     rows = [*enumerate(texts), (1, texts[-1]), (None, texts[-1])]
