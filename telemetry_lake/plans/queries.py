@@ -192,6 +192,8 @@ def reject_reason_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _checked_folder(spark: SparkSession, sf_dir: str) -> str:
     base = scratch_dir(spark, "landing")
     events = stream_events(spark, sf_dir, read_events(spark, sf_dir).schema)
+    # Dealt evenly: a file of few row groups would have its rows checked by as few tasks.
+    events = events.repartition(3 * spark.sparkContext.defaultParallelism)
     lines = wire_lines(as_telemetry(events))
     start_landing(
         lines, f"{base}/ingest", f"{base}/checkpoint", max_records=LANDING_FILE_ROWS, delay=None

@@ -137,3 +137,12 @@ def test_port_scan_stream(spark, folder):
     ).withColumnRenamed("parsed_timestamp", "ts")
     run_available(port_scans(rows), f"{folder}/out", f"{folder}/cp")
     assert [(r.distinct_ports, r.packets) for r in spark.read.parquet(f"{folder}/out").collect()] == [(100, 100)]
+
+
+def test_rows_of_one_row_group_are_checked_by_several_tasks(spark):
+    from conftest import SMALL
+
+    from telemetry_lake.plans.queries import _checked_folder
+
+    assert spark.read.parquet(f"{SMALL}/events.parquet").rdd.getNumPartitions() == 1
+    assert len(os.listdir(f"{_checked_folder(spark, SMALL)}/valid=true".replace("file:", ""))) > 4
