@@ -32,7 +32,8 @@ def _throttle_processor(seconds: int) -> StatefulProcessor:
             self.fired = handle.getValueState("fired", "at long")
 
         def handleInputRows(self, key, rows, timerValues):
-            before = self.fired.get()[0] if self.fired.exists() else None
+            last = self.fired.get()
+            before = last[0] if last else None
             sent, fired = _sent(pd.concat(list(rows)), seconds * 1_000_000, before)
             if fired != before:
                 self.fired.update((fired,))

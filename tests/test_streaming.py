@@ -146,3 +146,14 @@ def test_rows_of_one_row_group_are_checked_by_several_tasks(spark):
 
     assert spark.read.parquet(f"{SMALL}/events.parquet").rdd.getNumPartitions() == 1
     assert len(os.listdir(f"{_checked_folder(spark, SMALL)}/valid=true".replace("file:", ""))) > 4
+
+
+def test_state_stores_do_not_count_their_rows(spark, folder):
+    from telemetry_lake.session import apply_settings
+
+    source = write_lines(f"{folder}/in/a.json.gz", [sent("A", "00:05", 30), sent("B", "00:15", 30)])
+    counts = detect(texts(apply_settings(spark), os.path.dirname(source)))
+    query = run_available(counts, f"{folder}/out", f"{folder}/checkpoint")
+    state = [operator for progress in query.recentProgress for operator in progress["stateOperators"]]
+    assert sum(operator["numRowsUpdated"] for operator in state) > 0
+    assert all(operator["numRowsTotal"] == 0 for operator in state)
