@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 from math import log2
 
 import numpy as np
@@ -40,12 +41,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from telemetry_lake.llm.common import components, sized, slices, written
+from telemetry_lake.llm.common import components, release, sized, slices, written
 from telemetry_lake.llm.shingles import sets_of
 
 WORDS, PERCENT = 5, 80
 # Bytes of text handled at a time, and shingles in a chunk of a group.
 CHUNK_BYTES, CHUNK_SHINGLES = 4 << 20, 400_000
+# Parts in which the shingles of all leads are counted.
+TOKEN_PARTS = 4
 # What merging an entry costs against a step of a binary search, and entries that are merged with a heap.
 MERGE_COST, HEAP_ENTRIES = 1.0, 64
 # Tiers of list lengths: each holds lists of up to four times the length.
@@ -92,6 +95,13 @@ def shingle_sets(docs: DataFrame, size: int, percent: int, text: str = "text", k
     return rows.mapInArrow(run, schema)
 
 
+def _kept(rows: DataFrame, purpose: str) -> DataFrame:
+    """``written``, and the shuffle files of it are deleted."""
+    kept = written(rows, purpose)
+    release(kept.sparkSession)
+    return kept
+
+
 def candidate_lists(leads: DataFrame, percent: int) -> DataFrame:
     """``(token, rep, n, chosen)``: inverted lists over classes that may have a partner.
 
@@ -99,17 +109,24 @@ def candidate_lists(leads: DataFrame, percent: int) -> DataFrame:
     partner count as unshared.
     """
     short = lambda n: F.floor(n * (100 - percent) / 100)
-    rows = leads.select("rep", "n", F.size("tokens").alias("q"), F.explode("tokens").alias("token"))
+    # Length of the lead: it follows from n, so that it is not shuffled with every shingle.
+    lead = F.least(F.col("n"), 2 * short(F.col("n")) + 2)
+    rows = leads.select("rep", "n", F.explode("tokens").alias("token"))
     by_token, of_rep = Window.partitionBy("token"), Window.partitionBy("rep", "n")
     # The smallest partner asks for the fewest shared shingles of a lead.
     small = F.ceil(F.col("n") * percent / 100)
-    least = F.least(small - short(small), short(small) + 2, F.col("q") - short(F.col("n")))
-    for _ in range(2):
-        shared = rows.withColumn("df", F.count("*").over(by_token)).filter("df > 1")
-        rows = shared.withColumn("cnt", F.count("*").over(of_rep)).filter(F.col("cnt") >= least)
-        rows = written(rows.select("rep", "n", "q", "token", "df", "cnt"), "jaccard-shared")
+    least = F.least(small - short(small), short(small) + 2, lead - short(F.col("n")))
+    for parts in (TOKEN_PARTS, 1):
+        # Part by part of the shingles, so that not all of them lie in shuffle files at the same time.
+        shared = [rows.filter(F.pmod("token", F.lit(parts)) == i).withColumn("df", F.count("*").over(by_token)).filter("df > 1") for i in range(parts)]
+        if parts > 1:
+            shared = [_kept(part, "jaccard-parts") for part in shared]
+        rows = reduce(DataFrame.unionByName, shared)
+        rows = rows.withColumn("cnt", F.count("*").over(of_rep)).filter(F.col("cnt") >= least)
+        rows = written(rows.select("rep", "n", "token", "df", "cnt"), "jaccard-shared")
+        release(leads.sparkSession)
     rank = F.row_number().over(of_rep.orderBy("df", "token"))
-    own = short(F.col("n")) + 1 - (F.col("q") - F.col("cnt"))
+    own = short(F.col("n")) + 1 - (lead - F.col("cnt"))
     return rows.withColumn("rank", rank).select("token", "rep", "n", (F.col("rank") <= own).alias("chosen"))
 
 
@@ -330,14 +347,18 @@ def join_similar(
     sets = written(shingle_sets(docs, size, percent, text, key), "jaccard-sets")
     leads, copies = _classes(sets)
     lists = written(candidate_lists(leads, percent), "jaccard-lists")
+    release(docs.sparkSession)
     blocks = written(blocks_of(lists), "jaccard-blocks")
+    release(docs.sparkSession)
     asked = sized(written(blocks.select("rep").distinct(), "jaccard-asked"))
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text")).join(asked, "rep")
     full = shingle_sets(texts, size, percent, "_text", "rep", whole=True).filter("n > 0").withColumnRenamed("id", "rep")
     many = sized(copies.select("digest", "n", "weight"))
     full = full.join(many, ["digest", "n"], "left").select("rep", "tokens", F.coalesce("weight", F.lit(1)).alias("weight"))
     full = written(full.dropDuplicates(["rep", "tokens"]), "jaccard-full")
+    release(docs.sparkSession)
     found = written(class_links(full, blocks, percent), "jaccard-links")
+    release(docs.sparkSession)
     labels = components(found.filter("b IS NOT NULL").select("a", "b"), "jaccard-components")
     # Links of blocks of lists come as pairs, some more than once.
     pairs = found.filter("b IS NOT NULL AND n IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

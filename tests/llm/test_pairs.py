@@ -232,3 +232,15 @@ def test_empty_tables(spark):
     assert jaccard.join_similar(none).count() == 0
     assert lines.dedupe_lines(none).count() == 0
     assert suffixes.remove_repeats(none).count() == 0
+
+
+def test_shingles_of_leads_are_counted_in_parts(spark, monkeypatch):
+    parts, kept = [], jaccard._kept
+    monkeypatch.setattr(jaccard, "_kept", lambda rows, purpose: parts.append(kept(rows, purpose)) or parts[-1])
+    words = [f"w{i}" for i in range(120)]
+    docs = spark.createDataFrame([(i, " ".join(words[: 110 + i])) for i in range(10)], "doc_id bigint, text string")
+    found = jaccard.join_similar(docs, 4, 85).collect()
+    assert [(r.component_id, r.n_links) for r in found] == [(0, 9)] * 10
+    tokens = [{r.token for r in part.select("token").distinct().collect()} for part in parts]
+    assert len(tokens) == jaccard.TOKEN_PARTS and sum(bool(own) for own in tokens) > 1
+    assert all({token % jaccard.TOKEN_PARTS for token in own} <= {i} for i, own in enumerate(tokens))
