@@ -5,13 +5,15 @@ strings cover their union, and all strings are judged on the input. Matches neve
 
 1. Rows whose whole text an earlier document has are copies and need no search.
 2. Every string has an anchor, its byte 16-gram of smallest hash. Runs of neighbouring strings share one, so a
-   text has about one anchor in eighteen bytes. Anchors that two documents have are kept.
+   text has about one anchor in eighteen bytes. Two equal strings have, next to their anchor, at least half of their other
+   bytes in common on one side; anchors are kept that two texts have together with one of these sides.
 3. The strings of a kept anchor overlap and are one *context* of 50 to 84 bytes. Equal contexts are counted once,
    with the smallest id that has them.
 4. The contexts of an anchor are a collection of short strings. Round by round one more symbol of every string,
    from the last to the first, goes into the collection's Burrows-Wheeler transform; the place follows from
    the transform itself, and the array of common prefixes is updated next to each insertion. In the end,
-   neighbours with 50 common bytes are the same string, and the smallest id of each run is known.
+   neighbours with 50 common bytes are the same string, and the smallest id of each run is known. A context that has
+   none of ``SIDES`` stretches around its anchor in common with another one shares no string with it, and is not sorted.
 5. These ids go back to the contexts' places; a string there is removed if the id is smaller than its own.
 
 Defined results: a NULL text is empty; texts shorter than ``LENGTH`` lose nothing; rows with a NULL id are left as
@@ -38,11 +40,34 @@ LENGTH, GRAM = 50, 16
 CHUNK_BYTES, PIECE_BYTES = 2 << 20, 1 << 20
 # Contexts sorted together; one anchor's contexts are never parted.
 COLLECTION = 16_384
+# Stretches around an anchor, one of which two equal strings have in common: of all anchors, and of those that are kept.
+ROUGH_SIDES, SIDES = 2, 4
 END = 0  # symbol in front of a whole string
 
 
+def sides(length: int, count: int) -> list[tuple[int, int]]:
+    """Bytes before and after the anchor, by where it stands in a string: equal strings have those of one pair in common."""
+    edges = [k * (length - GRAM + 1) // count for k in range(count + 1)]
+    return [(a, length - GRAM - b + 1) for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def around(data: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, count: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each of the ``sides`` of the anchors at ``place``: hash of the stretch, and whether it lies in ``low..high``."""
+    eight = np.ndarray((len(data),), "<u8", np.concatenate([data, np.zeros(8, np.uint8)]), 0, (1,))
+    out = []
+    for before, after in sides(length, count):
+        start, size = place - before, before + GRAM + after
+        inside = (start >= low) & (start + size <= high)
+        start = np.where(inside, start, 0)
+        value = np.full(len(place), before, np.uint64)
+        for at in (*range(0, size - 8, 8), size - 8):
+            value = mix(value * np.uint64(0x9E3779B97F4A7C15) + eight[np.minimum(start + at, len(data) - 1)])
+        out.append((value, inside))
+    return out
+
+
 def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs of string starts with one anchor: document, first and last start (in ``data``), hash of the anchor."""
+    """Runs of string starts with one anchor: document, first and last start (in ``data``), hash and place of the anchor."""
     found = []
     ends = np.repeat(offsets[1:], np.diff(offsets))
     document = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
@@ -69,9 +94,9 @@ def anchored_runs(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[n
         last = np.append(run[1:], len(place)) - 1
         good = inside[run]
         run, last = run[good], last[good]
-        found.append((document[begin + run], begin + run, begin + last, value[place[run]].view(np.int64)))
+        found.append((document[begin + run], begin + run, begin + last, value[place[run]].view(np.int64), begin + place[run].astype(np.int64)))
     if not found:
-        return tuple(np.zeros(0, np.int64) for _ in range(4))
+        return tuple(np.zeros(0, np.int64) for _ in range(5))
     return tuple(np.concatenate(parts) for parts in zip(*found, strict=True))
 
 
@@ -177,64 +202,120 @@ def _keyed(docs: DataFrame, text: str, key: str) -> DataFrame:
     return docs.select(F.col(key).alias("id"), F.xxhash64(t).alias("sum"), t.alias("text"))
 
 
-def _anchor_hashes(rows: DataFrame, length: int) -> DataFrame:
-    """Distinct anchors of each text, ``(id, sum, hashes)``."""
+def _numbers(document: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Number of each run's anchor in its text; runs of one anchor may be parted, wherever a piece of the data ends."""
+    new = np.concatenate([[True], (document[1:] != document[:-1]) | (place[1:] != place[:-1])])[: len(document)]
+    number = np.cumsum(new)
+    first = np.searchsorted(document, document)
+    return number - number[first]
+
+
+def _anchors(rows: DataFrame, length: int) -> DataFrame:
+    """``(id, number, anchor, s0, s1)``: parts of the hashes of each text's anchors and of the stretches around them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
                 data, offsets = flat(part.column("text"))
-                document, _, _, value = anchored_runs(data, offsets, length)
-                order = np.lexsort((value, document))
-                document, value = document[order], value[order]
-                first = np.concatenate([[True], (document[1:] != document[:-1]) | (value[1:] != value[:-1])])[: len(value)]
-                document, value = document[first], value[first]
-                ends = np.searchsorted(document, np.arange(part.num_rows + 1))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value, pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("sum"), lists], names=["id", "sum", "hashes"])
-
-    return rows.mapInArrow(run, T.StructType([
-        rows.schema["id"], T.StructField("sum", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType(), False))]))
+                document, _, _, value, place = anchored_runs(data, offsets, length)
+                number = _numbers(document, place)
+                one = np.concatenate([[True], (document[1:] != document[:-1]) | (number[1:] != number[:-1])])[: len(number)]
+                document, value, place, number = document[one], value[one], place[one], number[one]
+                found = around(data, place, offsets[document], offsets[document + 1], length, ROUGH_SIDES) if len(place) else []
+                stretches = [pa.array(hashes.astype(np.uint32).view(np.int32), mask=~inside) for hashes, inside in found]
+                stretches = stretches or [pa.array([], pa.int32())] * ROUGH_SIDES
+                columns = [part.column("id").take(pa.array(document)), pa.array(number, pa.int32()), pa.array(value >> 40, pa.int32()), *stretches]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    names = ["id", "number", "anchor", *[f"s{k}" for k in range(ROUGH_SIDES)]]
+    return rows.mapInArrow(run, T.StructType([rows.schema["id"], *[T.StructField(name, T.IntegerType()) for name in names[1:]]]))
+
+
+def _wanted(part: pa.RecordBatch, document: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Whether the bit of each anchor's number is set in its text's ``wanted``."""
+    lists = part.column("wanted")
+    flags = lists.flatten()
+    words, bits = (field.to_numpy(zero_copy_only=False) for field in flags.flatten())
+    keys = (np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy())) << 32) + words
+    order = np.argsort(keys)
+    keys, bits = keys[order], bits[order]
+    own = (document << 32) + (number >> 6)
+    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    return (keys[at] == own) & ((bits[at] >> (number & 63)) & 1 == 1)
 
 
 def _contexts(rows: DataFrame, length: int) -> DataFrame:
-    """``(id, sum, start, hash, context)`` of the anchors in ``hashes``; starts count from the text's own."""
+    """``(id, sum, start, hash, place, context, last)`` of the anchors in ``wanted``; starts count from the text's own, the
+    place of the anchor from the context's. Of equal contexts of neighbouring texts only that of the smallest id has a
+    ``last``, the greatest id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", CHUNK_BYTES):
                 data, offsets = flat(part.column("text"))
-                document, first, last, value = anchored_runs(data, offsets, length)
-                edges = np.searchsorted(document, np.arange(part.num_rows + 1))
-                keep = np.zeros(len(value), bool)
-                for i, wanted in enumerate(part.column("hashes")):
-                    own = slice(edges[i], edges[i + 1])
-                    keep[own] = np.isin(value[own], np.asarray(wanted.values))
-                document, first, last, value = document[keep], first[keep], last[keep], value[keep]
+                document, first, last, value, place = anchored_runs(data, offsets, length)
+                keep = _wanted(part, document, _numbers(document, place))
+                document, first, last, value, place = (x[keep] for x in (document, first, last, value, place))
                 raw = data.tobytes()
                 contexts = [raw[a : b + length] for a, b in zip(first.tolist(), last.tolist(), strict=True)]
                 at = pa.array(document)
+                owner = part.column("id").take(at)
+                ids = owner.to_numpy()
+                ascending = np.argsort(ids, kind="stable").tolist()
+                greatest = {contexts[i]: i for i in ascending}
+                least = {contexts[i]: i for i in reversed(ascending)}
+                lasts, leads = np.zeros(len(ids), np.int64), np.zeros(len(ids), bool)
+                for context, i in least.items():
+                    lasts[i], leads[i] = ids[greatest[context]], True
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id").take(at), part.column("sum").take(at), pa.array(first - offsets[document], pa.int64()),
-                     pa.array(value, pa.int64()), pa.array(contexts, pa.binary())],
-                    names=["id", "sum", "start", "hash", "context"],
+                    [owner, part.column("sum").take(at), pa.array(first - offsets[document], pa.int64()), pa.array(value, pa.int64()),
+                     pa.array(place - first, pa.int32()), pa.array(contexts, pa.binary()), pa.array(lasts, mask=~leads)],
+                    names=["id", "sum", "start", "hash", "place", "context", "last"],
                 )
 
     return rows.mapInArrow(run, T.StructType([
         rows.schema["id"], T.StructField("sum", T.LongType()), T.StructField("start", T.LongType()),
-        T.StructField("hash", T.LongType()), T.StructField("context", T.BinaryType())]))
+        T.StructField("hash", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("context", T.BinaryType()),
+        T.StructField("last", T.LongType())]))
+
+
+def _meeting(rows: pa.Table, length: int) -> np.ndarray:
+    """Contexts that may share a string with another one of their anchor, by the stretches around it."""
+    hashes = rows.column("hash").to_numpy()
+    data, offsets = flat(rows.column("context").combine_chunks())
+    place = rows.column("place").to_numpy() + offsets[:-1]
+    out = np.zeros(len(hashes), bool)
+    for value, inside in around(data, place, offsets[:-1], offsets[1:], length, SIDES):
+        which = np.flatnonzero(inside)
+        which = which[np.lexsort((value[which], hashes[which]))]
+        same = (hashes[which[1:]] == hashes[which[:-1]]) & (value[which[1:]] == value[which[:-1]])
+        out[which[1:][same]] = True
+        out[which[:-1][same]] = True
+    return out
 
 
 def _sorted_minima(distinct: DataFrame, length: int) -> DataFrame:
-    """``(hash, digest, minima)`` of distinct contexts ``(hash, context, owner)``."""
+    """``(hash, digest, owner, minima)`` of those distinct contexts ``(hash, place, context, owner, last)`` that lose a string
+    somewhere; without ``minima`` their strings are all the owner's."""
 
     def solve(rows: pa.Table) -> pa.RecordBatch:
-        owners = rows.column("owner").to_numpy()
-        minima = context_minima(rows.column("context").to_pylist(), owners, length)
-        ends = pa.array(np.concatenate([[0], np.cumsum([len(x) for x in minima])]), pa.int32())
-        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(minima), pa.int64()))
-        keys = [rows.column(name).combine_chunks() for name in ("hash", "digest")]
-        return pa.RecordBatch.from_arrays([*keys, lists], names=["hash", "digest", "minima"])
+        owners, last = (rows.column(name).to_numpy() for name in ("owner", "last"))
+        meets = np.flatnonzero(_meeting(rows, length))
+        contexts = rows.column("context").take(pa.array(meets)).to_pylist()
+        lists = dict(zip(meets.tolist(), context_minima(contexts, owners[meets], length), strict=True)) if len(meets) else {}
+        least = owners.copy()
+        for i, minima in lists.items():
+            least[i] = minima.min()
+            if (minima == owners[i]).all():
+                lists[i] = None
+        lose = np.flatnonzero(least < last)
+        taken = [lists.get(i) for i in lose.tolist()]
+        sizes = np.cumsum([0, *(0 if x is None else len(x) for x in taken)])
+        ends = pa.array(sizes, pa.int32(), mask=np.array([*(x is None for x in taken), False]))
+        some = [x for x in taken if x is not None]
+        found = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(some) if some else [], pa.int64()))
+        keys = [rows.column(name).combine_chunks().take(pa.array(lose)) for name in ("hash", "digest", "owner")]
+        return pa.RecordBatch.from_arrays([*keys, found], names=["hash", "digest", "owner", "minima"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
@@ -256,8 +337,8 @@ def _sorted_minima(distinct: DataFrame, length: int) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(waiting))
 
-    parts = distinct.repartition("hash").sortWithinPartitions("hash").withColumn("digest", F.xxhash64("context"))
-    return parts.mapInArrow(run, "hash bigint, digest bigint, minima array<bigint>")
+    parts = distinct.sortWithinPartitions("hash").withColumn("digest", F.xxhash64("context"))
+    return parts.mapInArrow(run, "hash bigint, digest bigint, owner bigint, minima array<bigint>")
 
 
 def _cut(rows: DataFrame, length: int) -> DataFrame:
@@ -295,17 +376,36 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
 
 
 def _shared_anchors(search: DataFrame, length: int) -> DataFrame:
-    """Of each text the anchors that another one has, ``(id, sum, hashes)``."""
-    anchors = _anchor_hashes(search, length).select("id", "sum", F.explode("hashes").alias("hash"))
-    shared = anchors.withColumn("df", F.count("*").over(Window.partitionBy("hash"))).filter("df > 1")
-    return shared.groupBy("id", "sum").agg(F.collect_list("hash").alias("hashes"))
+    """The anchors that another text has with the same bytes on one side, ``(id, wanted)``: bits of their numbers, in words
+    of 64. Texts of one id have them together."""
+    anchors = _anchors(search, length).repartition("anchor")  # one exchange for all windows
+    shared = F.lit(False)
+    for k in range(ROUGH_SIDES):
+        same = Window.partitionBy("anchor", f"s{k}")
+        anchors = anchors.withColumn(f"shared{k}", F.min("id").over(same) < F.max("id").over(same))
+        shared = shared | (F.col(f"s{k}").isNotNull() & F.col(f"shared{k}"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("number").bitwiseAND(F.lit(63)))
+    words = anchors.filter(shared).groupBy("id", F.shiftright("number", 6).alias("word")).agg(F.bit_or(one).alias("bits"))
+    return words.groupBy("id").agg(F.collect_list(F.struct("word", "bits")).alias("wanted"))
+
+
+def _distinct_contexts(contexts: DataFrame) -> DataFrame:
+    """``(hash, place, context, owner, last)``: each context once, with the smallest and the greatest id that has it; those
+    of an anchor in one partition."""
+    leads = contexts.filter("last IS NOT NULL").select("hash", "place", "context", "id", "last").repartition("hash")
+    return leads.groupBy("hash", "place", "context").agg(F.min("id").alias("owner"), F.max("last").alias("last"))
 
 
 def _runs(found: DataFrame) -> DataFrame:
-    """Runs of removed string starts, ``(id, sum, first, last)``, of contexts at ``start`` with their ``minima``."""
+    """Runs of removed string starts, ``(id, sum, first, last)``, of contexts of ``n`` strings at ``start`` with their
+    ``minima``, or without them of contexts that are removed whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            whole = batch.filter(batch.column("minima").is_null())
+            ends = pa.array(whole.column("start").to_numpy() + whole.column("n").to_numpy() - 1, pa.int64())
+            yield pa.RecordBatch.from_arrays([whole.column(c) for c in ("id", "sum", "start")] + [ends], names=["id", "sum", "first", "last"])
+            batch = batch.filter(batch.column("minima").is_valid())
             counts = np.diff(batch.column("minima").offsets.to_numpy())
             row = np.repeat(np.arange(batch.num_rows), counts)
             within = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -333,8 +433,10 @@ def _spans(runs: DataFrame, length: int) -> DataFrame:
 
 
 def _removed_spans(contexts: DataFrame, minima: DataFrame, length: int) -> DataFrame:
-    found = contexts.select("id", "sum", "start", "hash", F.xxhash64("context").alias("digest")).join(minima, ["hash", "digest"])
-    return _spans(_runs(found.select("id", "sum", "start", "minima")), length)
+    n = F.octet_length("context") - (length - 1)
+    places = contexts.select("id", "sum", "start", n.cast("long").alias("n"), "hash", F.xxhash64("context").alias("digest"))
+    found = places.join(minima, ["hash", "digest"]).filter("minima IS NOT NULL OR owner < id")
+    return _spans(_runs(found.select("id", "sum", "start", "n", "minima")), length)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -348,11 +450,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
     copies = sized(written(copies.withColumn("copy", F.lit(True)), "suffix-copies"))
     search = rows.filter("id IS NOT NULL").filter(F.octet_length("text") >= length).join(copies, ["id", "sum"], "left_anti")
 
-    shared = sized(written(_shared_anchors(search, length), "suffix-anchors"), F.size("hashes"))
+    shared = sized(written(_shared_anchors(search, length), "suffix-anchors"), 2 * F.size("wanted"))
     release(spark)
-    contexts = written(_contexts(search.join(shared, ["id", "sum"]), length), "suffix-contexts")
+    contexts = written(_contexts(search.join(shared, "id"), length), "suffix-contexts")
     release(spark)
-    minima = written(_sorted_minima(contexts.groupBy("hash", "context").agg(F.min("id").alias("owner")), length), "suffix-minima")
+    minima = written(_sorted_minima(_distinct_contexts(contexts), length), "suffix-minima")
     release(spark)
     gone = sized(written(_removed_spans(contexts, minima, length), "suffix-spans"), 2 * F.size("gone"))
     release(spark)

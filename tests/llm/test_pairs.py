@@ -215,6 +215,29 @@ def test_suffix_dedup(spark, monkeypatch, length, collection, broadcast):
     assert found == brute_cut(rows, length)
 
 
+def test_anchors_shared_by_chance_are_not_sorted(spark):
+    """Texts that share 24 bytes may have an anchor in common, but no string of 50 bytes; those that share 50 do."""
+    def rows(shared):
+        return [(i, f"{i}" + prose(20 * i, 30) + " " + prose(1, 40)[:shared] + prose(20 * i + 1, 30) + f"{i}") for i in range(12)]
+
+    def kept(shared):
+        search = suffixes._keyed(documents(spark, rows(shared)), "text", "doc_id")
+        return {r.id for r in suffixes._shared_anchors(search, 50).collect()}
+
+    assert kept(24) == set() and kept(50) == kept(200) == set(range(12))
+    for shared in (50, 51, 67, 200):
+        found = sorted(((False, r.doc_id), r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for r in suffixes.remove_repeats(documents(spark, rows(shared))).collect())
+        assert found == brute_cut(rows(shared), 50) and found[1][2] >= shared
+
+
+def test_sides_of_an_anchor_cover_every_string():
+    for length in (17, 18, 20, 50, 51, 110):
+        for count in (suffixes.ROUGH_SIDES, suffixes.SIDES):
+            for before in range(length - suffixes.GRAM + 1):
+                after = length - suffixes.GRAM - before
+                assert any(a <= before and b <= after for a, b in suffixes.sides(length, count))
+
+
 def test_collection_is_a_suffix_array():
     rnd = random.Random(1)
     strings = [bytes(rnd.choice(b"ab\x00\xff") for _ in range(rnd.randrange(0, 30))) for _ in range(40)]
