@@ -122,9 +122,10 @@ def candidate_lists(leads: DataFrame, percent: int) -> DataFrame:
         if parts > 1:
             shared = [_kept(part, "jaccard-parts") for part in shared]
         rows = reduce(DataFrame.unionByName, shared)
-        rows = rows.withColumn("cnt", F.count("*").over(of_rep)).filter(F.col("cnt") >= least)
-        rows = written(rows.select("rep", "n", "token", "df", "cnt"), "jaccard-shared")
-        release(leads.sparkSession)
+        rows = rows.withColumn("cnt", F.count("*").over(of_rep)).filter(F.col("cnt") >= least).select("rep", "n", "token", "df", "cnt")
+        if parts > 1:
+            rows = written(rows, "jaccard-shared")
+            release(leads.sparkSession)
     rank = F.row_number().over(of_rep.orderBy("df", "token"))
     own = short(F.col("n")) + 1 - (lead - F.col("cnt"))
     return rows.withColumn("rank", rank).select("token", "rep", "n", (F.col("rank") <= own).alias("chosen"))

@@ -267,3 +267,13 @@ def test_shingles_of_leads_are_counted_in_parts(spark, monkeypatch):
     tokens = [{r.token for r in part.select("token").distinct().collect()} for part in parts]
     assert len(tokens) == jaccard.TOKEN_PARTS and sum(bool(own) for own in tokens) > 1
     assert all({token % jaccard.TOKEN_PARTS for token in own} <= {i} for i, own in enumerate(tokens))
+
+
+def test_lists_are_ranked_where_their_shingles_are_counted(spark, monkeypatch):
+    """The second pass leaves no table behind but the lists: its rows of a document are ranked without another exchange."""
+    purposes, write = [], jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda rows, purpose: purposes.append(purpose) or write(rows, purpose))
+    rows = corpus()
+    found = jaccard.join_similar(documents(spark, rows), 4, 85).select("doc_id", "component_id").collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == brute_components(rows, 4, 85)
+    assert purposes.count("jaccard-shared") == purposes.count("jaccard-lists") == 1
