@@ -14,7 +14,8 @@ input, removed ones included.
 4. Each line left meets the lines in front of it that share a prefix word. Length and positional filters, and a
    parity of 128 bits over the words, of which two similar lines differ in few, come with the join, so that
    nearly all pairs it makes are similar.
-5. The Jaccard similarity of the pairs is verified on the whole sets, read from the texts again.
+5. The Jaccard similarity of the pairs is verified on the whole sets, read from the texts again: of each line first
+   the pair whose parities are nearest, and all others only if that one is not similar.
 
 A word that very many lines share is salted in step 3, and its rows are split by adaptive execution in step 4. Words are
 compared by their 64-bit hashes; prefix rows are narrow and are shuffled once.
@@ -57,6 +58,14 @@ def _words(text: str | Column) -> Column:
     return F.when(other, F.split(text, SPACES)).otherwise(F.split(text, " "))
 
 
+def _plain(text: str) -> Column:
+    """A text in lower case whose words are parted by blanks and line ends alone."""
+    other = F.lit(False)
+    for blank in BLANKS[1:]:
+        other = other | (F.instr(text, blank) > 0)
+    return F.lower(F.when(other, F.translate(text, BLANKS[1:], " " * len(BLANKS[1:]))).otherwise(F.col(text)))
+
+
 def _hashes(line: str | Column) -> Column:
     """The distinct words of a line, as hashes."""
     return F.array_distinct(F.transform(F.array_remove(_words(line), ""), lambda w: F.xxhash64(w)))
@@ -85,27 +94,33 @@ def least_words(percent: int) -> int:
     return -(-percent // (100 - percent)) if percent < 100 else 1 << 30
 
 
-def _rarity(rows: DataFrame) -> Column:
+def _number(word: Column) -> Column:
+    """A word as its hash, without the highest byte."""
+    return F.shiftrightunsigned(F.xxhash64(word), 8)
+
+
+def _rarity(plain: DataFrame) -> Column:
     """How often the words of each bucket occur, on a logarithmic scale: an array of fixed size, a constant of the plan."""
-    lines = rows.select(F.explode(F.split("text", "\n")).alias("line"))
-    words = lines.select(F.explode(_words("line")).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
+    lines = plain.select(F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select(F.explode(F.split("line", " ")).alias("w")).filter("w <> ''")
+    counts = words.groupBy(_number(F.col("w")).bitwiseAND(F.lit(RARITY_BUCKETS - 1)).alias("bucket")).agg(F.count("*").alias("n"))
     level = F.least(F.floor(STEPS * F.log2("n")) + 1, F.lit(126))
     levels = [0] * RARITY_BUCKETS
     for row in counts.select("bucket", level.alias("level")).collect():
         levels[row.bucket] = row.level
-    return F.split(F.lit(" ".join(map(str, levels))), " ").cast("array<tinyint>")
+    return F.split(F.lit(" ".join(map(str, levels))), " ").cast("array<bigint>")
 
 
 def _ranked(line: str, levels: Column) -> Column:
-    """The distinct words of a line, rarest first, as numbers: rarity in the highest byte, the word's hash below."""
-    def number(w: Column) -> Column:
-        h = F.xxhash64(w)
-        level = F.get(levels, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")).cast("long")
-        return F.shiftleft(level, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
+    """The distinct words of a plain line, rarest first, as numbers: rarity in the highest byte, the word's hash below.
 
-    numbers = F.transform(_words(line), number)
-    return F.sort_array(F.array_distinct(F.array_remove(numbers, number(F.lit("")))))
+    Each word is hashed once, and ranked once however often it occurs.
+    """
+    def placed(h: Column) -> Column:
+        return F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(RARITY_BUCKETS - 1)).cast("int")), 56).bitwiseOR(h)
+
+    numbers = F.array_distinct(F.transform(F.array_remove(F.split(line, " "), ""), _number))
+    return F.sort_array(F.transform(numbers, placed))
 
 
 def _parity(words: str, half: int) -> Column:
@@ -124,9 +139,10 @@ def _parity(words: str, half: int) -> Column:
 
 def _line_table(rows: DataFrame, percent: int) -> DataFrame:
     """A written row per line with words: ``id, at, k1, k2`` (its set), ``n, prefix, b1, b2``."""
-    levels = _rarity(rows)
-    lines = rows.select("id", "sum", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    lines = lines.withColumn("line", F.btrim("line", F.lit(BLANKS))).filter("line <> ''")
+    plain = rows.select("id", "sum", _plain("text").alias("text"))
+    levels = _rarity(plain)
+    lines = plain.select("id", "sum", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.withColumn("line", F.btrim("line")).filter("line <> ''")
     lines = lines.select("id", _at("pos", F.col("sum")).alias("at"), _ranked("line", levels).alias("ranked"))
     n = F.size("ranked")
     taking_part = n >= least_words(percent)
@@ -147,27 +163,39 @@ def _rows_of(lines: DataFrame, words: Column) -> DataFrame:
     return rows.select(F.col("p").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("w"), *LINE, ni.alias("ni"), "b1", "b2", F.shiftright("p", 56).cast("int").alias("level"), *extra)
 
 
+def _flips(a: str, b: str, n: Column, m: Column) -> Column:
+    """Bits in which the parities of two lines of n and m words differ.
+
+    Where one line has few words, whose bits are all in the first half, those of the other are put together.
+    """
+    first, second = (F.col(f"{a}{bits}").bitwiseXOR(F.col(f"{b}{bits}")) for bits in ("b1", "b2"))
+    return F.when(F.least(n, m) > FEW_WORDS, F.bit_count(first) + F.bit_count(second)).otherwise(F.bit_count(first.bitwiseXOR(second)))
+
+
+def _part(side: str) -> tuple[Column, Column]:
+    """Length of a row's line, and the place of its word."""
+    return F.shiftright(f"{side}ni", 32), _low(F.col(f"{side}ni"))
+
+
 def _may_match(a: str, b: str, percent: int, placed: bool = True) -> Column:
     """Parity, length and (if the rows know it) positional filter on two rows of one prefix word, the first common one or not.
 
     In whole numbers, the cheapest and most telling condition first: sets of n and m words have at least
     percent (n + m) / (100 + percent) in common if they are similar, and differ in no more than the others.
     """
-    def part(name: str) -> tuple[Column, Column]:
-        return F.shiftright(f"{name}ni", 32), _low(F.col(f"{name}ni"))
-
-    (n, i), (m, j) = part(a), part(b)
-    first, second = (F.col(f"{a}{bits}").bitwiseXOR(F.col(f"{b}{bits}")) for bits in ("b1", "b2"))
-    # Where one line has few words, whose bits are all in the first half, those of the other are put together.
-    flips = F.when(F.least(n, m) > FEW_WORDS, F.bit_count(first) + F.bit_count(second)).otherwise(F.bit_count(first.bitwiseXOR(second)))
-    differ = (100 + percent) * flips <= (100 - percent) * (n + m)
+    (n, i), (m, j) = _part(a), _part(b)
+    differ = (100 + percent) * _flips(a, b, n, m) <= (100 - percent) * (n + m)
     ahead = (100 + percent) * (F.least(i, j) + F.least(n - i, m - j)) >= percent * (n + m)
     fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     return differ & ahead & fits if placed else differ & fits
 
 
 def _similar(pairs: DataFrame, rows: DataFrame, percent: int, purpose: str) -> DataFrame:
-    """Later lines ``(id, at)`` of those pairs ``(id, at, eid, eat)`` that are similar indeed."""
+    """Later lines ``(id, at)`` of those pairs ``(id, at, eid, eat, flips)`` that are similar indeed.
+
+    One similar pair is enough to remove a line. So the pair of fewest flips of each line is verified first, which
+    settles nearly all that have a similar one, and the others only of lines that it leaves over.
+    """
     pairs = written(pairs.distinct(), purpose)
     asked = pairs.select(*LINE).union(pairs.select("eid", "eat")).distinct()
     asked = asked.groupBy("id", _low(F.col("at")).alias("s")).agg(F.collect_set(_pos(F.col("at"))).alias("wanted"))
@@ -177,6 +205,15 @@ def _similar(pairs: DataFrame, rows: DataFrame, percent: int, purpose: str) -> D
     lines = texts.select("id", "sum", F.explode(F.arrays_zip(F.col("wanted").alias("pos"), F.transform("wanted", lambda p: F.get(parts, p)).alias("line"))).alias("l"))
     sets = lines.select("id", _at(F.col("l.pos").cast("long"), F.col("sum")).alias("at"), _hashes(F.col("l.line")).alias("words"))
     sets = written(sets.dropDuplicates(LINE), f"{purpose}-sets")
+    best = pairs.groupBy(*LINE).agg(F.min(F.struct("flips", "eid", "eat")).alias("e")).select(*LINE, "e.eid", "e.eat")
+    settled = written(_verified(best, sets, percent), f"{purpose}-best")
+    known = sized(settled.withColumnsRenamed({"id": "_id", "at": "_at"}))
+    others = pairs.join(known, pairs["id"].eqNullSafe(F.col("_id")) & (pairs["at"] == F.col("_at")), "left_anti")
+    return settled.union(_verified(others.select(*LINE, "eid", "eat"), sets, percent)).distinct()
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Later lines ``(id, at)`` of the similar ones among pairs of lines, by the whole ``sets`` of these."""
     earlier = sets.select(F.col("id").alias("_eid"), F.col("at").alias("_eat"), F.col("words").alias("earlier"))
     mine = sets.select(F.col("id").alias("_id"), F.col("at").alias("_at"), "words")
     both = pairs.join(mine, pairs["id"].eqNullSafe(F.col("_id")) & (pairs["at"] == F.col("_at")))
@@ -210,7 +247,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     met = F.array(F.first("own").over(group), *[F.lag("own", k).over(group) for k in range(1, NEAREST + 1)])
     star = star.withColumn("met", met).select(*LINE, "ni", "b1", "b2", F.explode("met").alias("e")).filter("e IS NOT NULL")
     star = star.select(*LINE, "ni", "b1", "b2", "e.*").filter(_may_match("", "e", percent, placed=False) & (place > F.col("place")))
-    settled = written(_similar(star.select(*LINE, F.col("place.id").alias("eid"), "eat"), rows, percent, "line-star"), "line-settled")
+    flips = _flips("", "e", _part("")[0], _part("e")[0]).alias("flips")
+    settled = written(_similar(star.select(*LINE, F.col("place.id").alias("eid"), "eat", flips), rows, percent, "line-star"), "line-settled")
 
     # Those left with all others in front of them.
     known = sized(settled.withColumnsRenamed({"id": "_id", "at": "_at"}))
@@ -223,7 +261,8 @@ def removed_lines(docs: DataFrame, percent: int = PERCENT, text: str = "text", k
     left = F.col("lsettled") * (F.shiftright("eni", 32) + F.col("esettled")) < 1
     rest = index.join(other, F.col("lw") == F.col("ew"))
     rest = rest.filter(_may_match("l", "e", percent) & left & (_place("lid", "lat") > _place("eid", "eat")))
-    more = _similar(rest.select(F.col("lid").alias("id"), F.col("lat").alias("at"), "eid", "eat"), rows, percent, "line-rest")
+    flips = _flips("l", "e", _part("l")[0], _part("e")[0]).alias("flips")
+    more = _similar(rest.select(F.col("lid").alias("id"), F.col("lat").alias("at"), "eid", "eat", flips), rows, percent, "line-rest")
     gone = repeats.union(settled).union(more).distinct()
     return gone.groupBy("id", _low(F.col("at")).alias("s")).agg(F.collect_set(_pos(F.col("at"))).alias("gone"))
 

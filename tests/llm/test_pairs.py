@@ -277,3 +277,27 @@ def test_lists_are_ranked_where_their_shingles_are_counted(spark, monkeypatch):
     found = jaccard.join_similar(documents(spark, rows), 4, 85).select("doc_id", "component_id").collect()
     assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == brute_components(rows, 4, 85)
     assert purposes.count("jaccard-shared") == purposes.count("jaccard-lists") == 1
+
+
+def test_pairs_of_a_settled_line_are_not_verified(spark, monkeypatch):
+    """Of 60 similar lines one pair each is verified; all pairs of a line only if its nearest one is not similar."""
+    seen, verified = [], lines._verified
+    monkeypatch.setattr(lines, "_verified", lambda pairs, *rest: seen.append(pairs.count()) or verified(pairs, *rest))
+    base = [f"b{i}" for i in range(40)]
+    rows = [(i, " ".join([*base, f"x{i}"])) for i in range(60)] + [(60, prose(7, 41)), (61, " ".join([*base, "y"]))]
+    frame = documents(spark, rows).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("sum"), "text")
+    ats = {r.id: r.at for r in frame.select("id", lines._at(F.lit(0).cast("long"), F.col("sum")).alias("at")).collect()}
+    pairs = [(i, ats[i], j, ats[j], 2) for i in range(60) for j in range(i)] + [(61, ats[61], 60, ats[60], 0), (61, ats[61], 5, ats[5], 2)]
+    given = spark.createDataFrame(pairs, "id bigint, at bigint, eid bigint, eat bigint, flips int")
+    found = {r.id for r in lines._similar(given, frame, 80, "line-test").collect()}
+    assert found == {*range(1, 60), 61} and seen == [60, 2]
+
+
+def test_words_of_a_line_are_hashed_once(spark):
+    levels = F.array_repeat(F.lit(1).cast("bigint"), lines.RARITY_BUCKETS)
+    text = "A b\tc\x0bA  Σας \x0c\rb\na É"
+    plain = documents(spark, [(1, text)]).select(lines._plain("text").alias("text"))
+    assert plain.first().text == "a b c a  σας   b\na é"
+    ranked = plain.select(lines._ranked("text", levels).alias("ranked"))
+    assert len(ranked.first().ranked) == len({"a", "b", "c", "σας", "b\na", "é"})
+    assert ranked._jdf.queryExecution().analyzed().toString().count("xxhash64(") == 1
