@@ -263,7 +263,9 @@ def class_links(sets: DataFrame, blocks: DataFrame, percent: int) -> DataFrame:
         a, b, n = zip(*out, strict=True) if out else ((), (), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "n": pa.array(n, pa.int64())})
 
-    return blocks.join(sets, "rep").groupBy("block").applyInArrow(run, "a bigint, b bigint, n bigint")
+    # The blocks are narrow and the sets are not: while the former are few, each set is shuffled to its blocks alone.
+    blocks = sized(blocks, F.lit(8) + 2 * F.coalesce(F.size("places"), F.lit(0)))
+    return sets.join(blocks, "rep").groupBy("block").applyInArrow(run, "a bigint, b bigint, n bigint")
 
 
 def blocks_of(lists: DataFrame) -> DataFrame:
@@ -353,10 +355,17 @@ def join_similar(
     release(docs.sparkSession)
     asked = sized(written(blocks.select("rep").distinct(), "jaccard-asked"))
     texts = docs.select(F.col(key).alias("rep"), F.col(text).alias("_text")).join(asked, "rep")
-    full = shingle_sets(texts, size, percent, "_text", "rep", whole=True).filter("n > 0").withColumnRenamed("id", "rep")
+    # Only rows of an id that repeats may be equal: the sets of all others are not shuffled to find out.
+    repeated = sets.select(F.col("id").alias("rep")).join(asked, "rep").groupBy("rep").count().filter("count > 1").select("rep")
+    repeated = sized(written(repeated, "jaccard-repeated"))
     many = sized(copies.select("digest", "n", "weight"))
-    full = full.join(many, ["digest", "n"], "left").select("rep", "tokens", F.coalesce("weight", F.lit(1)).alias("weight"))
-    full = written(full.dropDuplicates(["rep", "tokens"]), "jaccard-full")
+
+    def whole(texts: DataFrame) -> DataFrame:
+        full = shingle_sets(texts, size, percent, "_text", "rep", whole=True).filter("n > 0").withColumnRenamed("id", "rep")
+        return full.join(many, ["digest", "n"], "left").select("rep", "tokens", F.coalesce("weight", F.lit(1)).alias("weight"))
+
+    again = whole(texts.join(repeated, "rep", "left_semi")).dropDuplicates(["rep", "tokens"])
+    full = written(whole(texts.join(repeated, "rep", "left_anti")).unionByName(again), "jaccard-full")
     release(docs.sparkSession)
     found = written(class_links(full, blocks, percent), "jaccard-links")
     release(docs.sparkSession)

@@ -301,3 +301,15 @@ def test_words_of_a_line_are_hashed_once(spark):
     ranked = plain.select(lines._ranked("text", levels).alias("ranked"))
     assert len(ranked.first().ranked) == len({"a", "b", "c", "σας", "b\na", "é"})
     assert ranked._jdf.queryExecution().analyzed().toString().count("xxhash64(") == 1
+
+
+def test_whole_sets_are_shuffled_to_their_blocks_alone(spark, monkeypatch):
+    """Sets of ids that do not repeat are written without an exchange, and are not dealt by id to meet their blocks."""
+    plans, write = {}, jaccard.written
+    monkeypatch.setattr(jaccard, "written", lambda rows, purpose: plans.update({purpose: rows._jdf.queryExecution().optimizedPlan().toString()}) or write(rows, purpose))
+    rows = corpus()
+    found = jaccard.join_similar(documents(spark, rows), 4, 85).select("doc_id", "component_id").collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == brute_components(rows, 4, 85)
+    once, again = plans["jaccard-full"].split("Aggregate [rep", 1)
+    assert "LeftAnti" in once and "LeftSemi" in again
+    assert "strategy=broadcast" in plans["jaccard-links"]
